@@ -59,5 +59,6 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set as a regular-expression character class.
-WHITESPACE_CLASS = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same set as a character class. Spelled out character by character it is four times slower
+# in Java than as this Unicode property plus the four separators the property lacks.
+WHITESPACE_CLASS = r"[\x1c-\x1f\p{IsWhite_Space}]"

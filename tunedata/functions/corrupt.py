@@ -42,15 +42,23 @@ VARIANTS: tuple[Callable[[Column | str], Column], ...] = (
 )
 
 
-def rejected_variant(
+def variant_number(
     response: Column | str,
-    key: Column | str,
-    seed: int = SEED,
+    number: Column,
     variants: Sequence[Callable[[Column | str], Column]] = VARIANTS,
 ) -> Column:
-    """One variant per row, chosen by key. Only the chosen branch of the CASE is evaluated."""
-    number = pick(key, len(variants), seed)
+    """The variant with this number. Only the chosen branch of the CASE is evaluated."""
     chosen = F.when(number == 0, variants[0](response))
     for position, variant in enumerate(variants[1:], start=1):
         chosen = chosen.when(number == position, variant(response))
     return chosen
+
+
+def rejected_variant(
+    response: Column | str,
+    key: Column | str,
+    seed: int = SEED,
+    variants: Sequence[Callable[[Column | str], Column]] = VARIANTS,
+) -> Column:
+    """One variant per row, chosen by key."""
+    return variant_number(response, pick(key, len(variants), seed), variants)

@@ -9,16 +9,21 @@ from tunedata.constants import WHITESPACE_CLASS
 from tunedata.functions.text import as_column, or_empty
 
 # Stops at the first "<letter" for good (atomic group), so a text of unclosed tags costs one pass.
-_OPENING_TAG = r"\A(?>[\s\S]*?<[a-zA-Z])[^>]*>"
+_OPENING_TAG = r"(?s)\A(?>.*?<[a-zA-Z])[^>]*>"
 
 
 def _fence_pattern(language: str) -> str:
-    return rf"(?iu)```{language}{WHITESPACE_CLASS}([\s\S]*?)```"
+    return rf"(?isu)```{language}{WHITESPACE_CLASS}(.*?)```"
 
 
 def has_fence(col: Column | str, language: str) -> Column:
-    """True if the text holds a closed fence of this language, in any letter case."""
-    return or_empty(col).rlike(_fence_pattern(language))
+    """True if the text holds a closed fence of this language, in any letter case.
+
+    The plain search for a fence mark comes first: it is several times cheaper and settles most
+    texts that have none.
+    """
+    text = or_empty(col)
+    return F.contains(text, F.lit("```")) & text.rlike(_fence_pattern(language))
 
 
 def fence_blocks(col: Column | str, language: str) -> Column:
@@ -49,5 +54,6 @@ def has_opening_tag(col: Column | str) -> Column:
 
 def is_valid_html(col: Column | str) -> Column:
     """At least one html fence, and an opening tag in every one of them."""
-    blocks = html_blocks(col)
-    return (F.size(blocks) > 0) & F.forall(blocks, has_opening_tag)
+    # The minimum of booleans is their conjunction, and null for no block. Unlike a test of the
+    # size next to ``forall`` it names the blocks once, so they are extracted once.
+    return F.coalesce(F.array_min(F.transform(html_blocks(col), has_opening_tag)), F.lit(False))

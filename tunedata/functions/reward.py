@@ -25,7 +25,7 @@ from tunedata.functions.tags import blocks_length_ok, has_code_block, info_block
 COMPLIANCE_MODES = ("literal", "all_checks")
 
 
-def _weighted(code: Column, info: Column, length: Column) -> Column:
+def weighted(code: Column, info: Column, length: Column) -> Column:
     score = (
         code.cast("int") * CODE_WEIGHT
         + info.cast("int") * INFO_WEIGHT
@@ -34,14 +34,16 @@ def _weighted(code: Column, info: Column, length: Column) -> Column:
     return score.cast("double")
 
 
-def _counted(code: Column, info: Column, length: Column) -> Column:
+def counted(code: Column, info: Column, length: Column) -> Column:
     return (code.cast("int") + info.cast("int") + length.cast("int")).cast("double")
 
 
-def _compliant(reward: Column, total: Column, mode: str) -> Column:
+def compliant(code: Column, info: Column, length: Column, mode: str = "literal") -> Column:
     if mode not in COMPLIANCE_MODES:
         raise ValueError(f"mode must be one of {COMPLIANCE_MODES}, not {mode!r}")
-    return reward == LITERAL_COMPLIANT_REWARD if mode == "literal" else total == 3
+    if mode == "literal":
+        return weighted(code, info, length) == LITERAL_COMPLIANT_REWARD
+    return code & info & length
 
 
 def _checks(
@@ -56,7 +58,7 @@ def _checks(
 
 
 def compute_reward(response: Column | str) -> Column:
-    return _weighted(*_checks(response))
+    return weighted(*_checks(response))
 
 
 def explain_reward(response: Column | str) -> Column:
@@ -66,13 +68,12 @@ def explain_reward(response: Column | str) -> Column:
         code.alias("has_code"),
         info.alias("has_info"),
         length.alias("info_len"),
-        _counted(code, info, length).alias("total"),
+        counted(code, info, length).alias("total"),
     )
 
 
 def is_compliant(response: Column | str, mode: str = "literal") -> Column:
-    checks = _checks(response)
-    return _compliant(_weighted(*checks), _counted(*checks), mode)
+    return compliant(*_checks(response), mode)
 
 
 def with_breakdown(
@@ -83,20 +84,23 @@ def with_breakdown(
     The info blocks are extracted once, in a projection of their own; Catalyst does not merge it
     with the next one because that would repeat the regular expression.
     """
-    code, info, length = F.col("has_code"), F.col("has_info"), F.col("info_len")
+    checks = F.col("has_code"), F.col("has_info"), F.col("info_len")
     return (
         rows.withColumns({"_info": info_blocks(response), "has_code": has_code_block(response)})
         .withColumns({"has_info": F.size("_info") > 0, "info_len": blocks_length_ok(F.col("_info"))})
         .drop("_info")
         .withColumns(
-            {"reward_total": _counted(code, info, length), "reward": _weighted(code, info, length)}
+            {
+                "reward_total": counted(*checks),
+                "reward": weighted(*checks),
+                "compliant": compliant(*checks, mode),
+            }
         )
-        .withColumn("compliant", _compliant(F.col("reward"), F.col("reward_total"), mode))
     )
 
 
 def with_reward(rows: DataFrame, response: str = "response", into: str = "reward") -> DataFrame:
     """Add the weighted reward; every other column passes through."""
     info = F.col("_info")
-    reward = _weighted(has_code_block(response), F.size(info) > 0, blocks_length_ok(info))
+    reward = weighted(has_code_block(response), F.size(info) > 0, blocks_length_ok(info))
     return rows.withColumn("_info", info_blocks(response)).withColumn(into, reward).drop("_info")

@@ -23,7 +23,8 @@ def strip(col: Column | str) -> Column:
 
 
 def is_blank(col: Column | str) -> Column:
-    return strip(or_empty(col)) == ""
+    """True for whitespace only. Trims one side: that stops at the first other character."""
+    return F.ltrim(or_empty(col), F.lit(WHITESPACE)) == ""
 
 
 def tokens_up_to(col: Column | str, most: int) -> Column:

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tunedata.constants import METRIC_REPORT
 from tunedata.functions.fences import is_valid_html
-from tunedata.functions.reward import with_breakdown
-from tunedata.operators.syntax import syntax_counts
+from tunedata.functions.reward import compliant, counted
+from tunedata.functions.tags import blocks_length_ok, code_blocks, info_blocks
+from tunedata.operators.syntax import parsed_blocks, syntax_counts
 
 RATES = ("format_compliance", "python_syntax_rate")
 MEANS = ("avg_reward", "avg_code_score", "avg_info_score", "avg_len_score")
 
-_SUMS = ("n", "compliant", "total", "code", "info", "length", "blocks", "parsed")
+_SUMS = ("n", "compliant", "total", "code", "info", "length")
 
 
 def _ratio(part: str, whole: str) -> Column:
@@ -23,18 +24,45 @@ def _ratio(part: str, whole: str) -> Column:
     return F.when(F.col(whole) > 0, F.col(part).cast("double") / F.col(whole))
 
 
-def response_counts(
-    responses: DataFrame, response: str = "response", keys: Sequence[str] = (), mode: str = "literal"
+def _counters(
+    responses: DataFrame, response: str, keys: Sequence[str], mode: str
 ) -> DataFrame:
-    """Integer counters per group: partial sums in each task, one row per task and group shuffled."""
-    scored = with_breakdown(responses.select(*keys, F.col(response).alias("_text")), "_text", mode)
-    return scored.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("compliant").alias("compliant"),
-        F.coalesce(F.sum(F.col("reward_total").cast("bigint")), F.lit(0)).alias("total"),
-        F.count_if("has_code").alias("code"),
-        F.count_if("has_info").alias("info"),
-        F.count_if("info_len").alias("length"),
+    """Integer counters per (keys, block); the row with a null block counts the responses.
+
+    One scan serves both kinds of counters: a response fans out into one row of its own and one
+    row per code block. All that is summed per block text is collapsed within each task before
+    the shuffle, so hot groups and hot blocks arrive as one row per task.
+    """
+    code, info = F.col("_code"), F.col("_info")
+    checked = (
+        responses.select(
+            *keys, code_blocks(response).alias("_code"), info_blocks(response).alias("_info")
+        )
+        .withColumns(
+            {
+                "_has_code": F.size(code) > 0,
+                "_has_info": F.size(info) > 0,
+                "_info_len": blocks_length_ok(info),
+            }
+        )
+        .drop("_info")
+    )
+    checks = [F.col("_has_code"), F.col("_has_info"), F.col("_info_len")]
+    own_row_first = F.concat(F.array(F.lit(None).cast("string")), code)
+    rows = checked.withColumns(
+        {"_total": counted(*checks), "_compliant": compliant(*checks, mode)}
+    ).select(
+        *keys, *checks, "_total", "_compliant", F.posexplode(own_row_first).alias("_pos", "block")
+    )
+    own = F.col("_pos") == 0
+    return rows.groupBy(*keys, "block").agg(
+        F.count_if(own).alias("n"),
+        F.count_if(own & F.col("_compliant")).alias("compliant"),
+        F.coalesce(F.sum(F.when(own, F.col("_total").cast("bigint"))), F.lit(0)).alias("total"),
+        F.count_if(own & checks[0]).alias("code"),
+        F.count_if(own & checks[1]).alias("info"),
+        F.count_if(own & checks[2]).alias("length"),
+        F.count_if(~own).alias("copies"),
     )
 
 
@@ -43,14 +71,13 @@ def compute_metrics(
 ) -> DataFrame:
     """Evaluation record: one row, or one row per group of ``keys``.
 
-    Counters over responses and counters over code blocks come from two aggregations; they are
-    stacked and summed rather than joined. Without responses the rates are 0 and the means null.
+    Without responses the rates are 0 and the means null.
     """
-    per_response = response_counts(responses, response, keys, mode)
-    per_block = syntax_counts(responses, response, keys)
-    stacked = per_response.unionByName(per_block, allowMissingColumns=True)
-    sums = stacked.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS]
+    parsed = parsed_blocks(_counters(responses, response, keys, mode))
+    sums = parsed.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS],
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("blocks"),
+        F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("parsed"),
     )
     return sums.select(
         *keys,

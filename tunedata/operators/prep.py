@@ -16,8 +16,8 @@ from tunedata.constants import (
     SEED,
 )
 from tunedata.functions.chat import chat_prompt, sft_text
-from tunedata.functions.corrupt import VARIANTS, rejected_variant
-from tunedata.functions.sampling import in_sample
+from tunedata.functions.corrupt import VARIANTS, variant_number
+from tunedata.functions.sampling import in_sample, pick
 from tunedata.functions.text import or_empty, strip
 
 Gate = Callable[[Column], Column]
@@ -41,23 +41,33 @@ def pair_from_messages(
     """
     own_prompt, own_response = or_empty("prompt"), or_empty("response")
     if "conversation" not in records.columns:
-        return records.withColumns({"prompt": strip(own_prompt), "response": strip(own_response)})
+        return _settle(records, {"prompt": strip(own_prompt), "response": strip(own_response)})
 
     def said_by(role: str) -> Column:
         return F.filter("conversation", lambda message: message["role"] == role)
 
-    use_conversation = (own_prompt == "") & F.col("conversation").isNotNull()
-    asked, answered = said_by(prompt_role), said_by(response_role)
-    prompt = F.when(
-        use_conversation & (F.size(asked) > 0), or_empty(F.get(asked, F.lit(0))["content"])
-    ).otherwise(own_prompt)
-    response = F.when(
-        use_conversation & (F.size(answered) > 0),
-        or_empty(F.try_element_at(answered, F.lit(-1))["content"]),
-    ).otherwise(own_response)
-    return records.withColumns({"prompt": strip(prompt), "response": strip(response)}).drop(
-        "conversation"
-    )
+    def chosen(message: Column, own: Column) -> Column:
+        talk = (own_prompt == "") & message.isNotNull()
+        return strip(F.when(talk, or_empty(message["content"])).otherwise(own))
+
+    first_asked = F.get(said_by(prompt_role), F.lit(0))
+    last_answered = F.try_element_at(said_by(response_role), F.lit(-1))
+    pair = {
+        "prompt": chosen(first_asked, own_prompt),
+        "response": chosen(last_answered, own_response),
+    }
+    return _settle(records, pair).drop("conversation")
+
+
+def _settle(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Set columns so that a later filter on them reads the values.
+
+    Spark moves a filter below a projection and repeats the projection's expressions there; it
+    does not move one below a generator, here one that yields exactly one row.
+    """
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in columns]
+    values = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select(*others, F.inline(F.array(values)))
 
 
 def pair_from_turns(
@@ -122,18 +132,19 @@ def training_rows(
     chat = F.col("_chat")
     return (
         statused.filter(F.col("status") == "kept")
+        .select("prompt", "response", key.cast("string").alias("_key"))
         .select(
-            chat_prompt("prompt", system_prompt).alias("_chat"),
             "response",
-            key.cast("string").alias("_key"),
+            chat_prompt("prompt", system_prompt).alias("_chat"),
+            in_sample("_key", ratio, seed).alias("_sampled"),
+            pick("_key", len(variants), seed).alias("_number"),
         )
         .select(
             sft_text(chat, "response").alias("text"),
             chat.alias("prompt"),
             F.col("response").alias("chosen"),
             F.when(
-                in_sample("_key", ratio, seed),
-                rejected_variant("response", "_key", seed, variants),
+                F.col("_sampled"), variant_number("response", F.col("_number"), variants)
             ).alias("rejected"),
         )
     )

@@ -9,9 +9,10 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunedata.functions.fences import python_blocks
 from tunedata.functions.syntax import parses
@@ -21,12 +22,23 @@ from tunedata.operators.lookup import SPREAD, attach_by_key
 Extractor = Callable[[Column | str], Column]
 
 
-def _parse_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the column ``block`` by ``valid``; other columns pass through untouched.
+
+    A null block is no block and gets no verdict.
+    """
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         for batch in batches:
-            verdicts = [parses(block) for block in batch["block"]]
-            yield batch.drop(columns="block").assign(valid=verdicts)
+            blocks = batch.column("block").to_pylist()
+            valid = pa.array([None if b is None else parses(b) for b in blocks], pa.bool_())
+            yield batch.drop_columns(["block"]).append_column("valid", valid)
+
+
+def parsed_blocks(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``valid`` in place of ``block``, parsed in Python workers."""
+    others = T.StructType([field for field in blocks.schema if field.name != "block"])
+    return blocks.mapInArrow(_parse_batches, others.add("valid", T.BooleanType()))
 
 
 def block_hash(block: Column) -> Column:
@@ -39,12 +51,8 @@ def block_verdicts(blocks: DataFrame) -> DataFrame:
     ``distinct`` removes copies within each task before the shuffle, so a block with a third of
     all copies arrives once per task; this is the only shuffle of block texts.
     """
-    return (
-        blocks.select("block")
-        .distinct()
-        .select(block_hash(F.col("block")).alias("block_hash"), "block")
-        .mapInPandas(_parse_batches, "block_hash binary, valid boolean")
-    )
+    distinct = blocks.select("block").distinct()
+    return parsed_blocks(distinct.select(block_hash(F.col("block")).alias("block_hash"), "block"))
 
 
 def syntax_counts(
@@ -53,28 +61,23 @@ def syntax_counts(
     keys: Sequence[str] = (),
     extract: Extractor = code_blocks,
 ) -> DataFrame:
-    """``keys, blocks, parsed``: number of blocks and of those that parse, over blocks."""
-    blocks = responses.select(*keys, F.explode(extract(response)).alias("block"))
-    if not keys:
-        counted = (
-            blocks.groupBy("block")
-            .agg(F.count(F.lit(1)).alias("copies"))
-            .mapInPandas(_parse_batches, "copies bigint, valid boolean")
-        )
-        return counted.agg(*_totals())
-    # Copies collapse per (keys, hash) before the join, so a hash meets at most one row per group.
+    """``keys, blocks, parsed``: number of blocks and of those that parse, over blocks.
+
+    Copies collapse into a count per group, within each task and again after the shuffle, before
+    anything is parsed.
+    """
     copies = (
-        blocks.select(*keys, block_hash(F.col("block")).alias("block_hash"))
-        .groupBy(*keys, "block_hash")
+        responses.select(*keys, F.explode(extract(response)).alias("block"))
+        .groupBy(*keys, "block")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    return copies.join(block_verdicts(blocks), "block_hash").groupBy(*keys).agg(*_totals())
-
-
-def _totals() -> tuple[Column, Column]:
     return (
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("blocks"),
-        F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("parsed"),
+        parsed_blocks(copies)
+        .groupBy(*keys)
+        .agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("blocks"),
+            F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("parsed"),
+        )
     )
 
 

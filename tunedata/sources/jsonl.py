@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunedata.functions.text import strip
+from tunedata.functions.text import is_blank, strip
 
 MESSAGE = T.StructType(
     [T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]
@@ -31,28 +31,25 @@ PREFERENCE_RECORD = T.StructType(
 _STRICT = {"allowSingleQuotes": "false"}
 
 
-def _one_object(line: Column, schema: T.StructType) -> Column:
-    """The object on a line, or null unless the line is exactly one JSON object.
-
-    ``from_json`` alone ignores what follows the first object; read as the only element of an
-    array, trailing text breaks the array and a second object makes it longer.
-    """
-    found = F.from_json(F.concat(F.lit("["), line, F.lit("]")), T.ArrayType(schema), _STRICT)
-    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
-
-
 def decode_lines(
     lines: DataFrame, schema: T.StructType = RAW_RECORD, value: str = "value"
 ) -> DataFrame:
     """Drop blank lines and decode the others: the schema's fields plus ``malformed``.
 
-    Columns of ``lines`` other than ``value`` pass through.
+    A line must be exactly one JSON object. ``from_json`` alone ignores what follows the first
+    object; read as the only element of an array, trailing text breaks the array and a second
+    object makes it longer. Columns of ``lines`` other than ``value`` pass through.
+
+    Fields are taken from the array by ``explode``: Spark moves filters on them below a
+    projection, which would decode each line once more per use, but not below a generator.
     """
     others = [F.col(f"`{c}`") for c in lines.columns if c != value]
+    line = F.concat(F.lit("["), strip(value), F.lit("]"))
+    found, one = F.col("_found"), F.size("_found") == 1
     return (
-        lines.select(*others, strip(value).alias("_line"))
-        .filter(F.col("_line") != "")
-        .select(*others, _one_object(F.col("_line"), schema).alias("_object"))
+        lines.filter(~is_blank(value))
+        .select(*others, F.from_json(line, T.ArrayType(schema), _STRICT).alias("_found"))
+        .select(*others, F.explode_outer(F.when(one, found)).alias("_object"))
         .select(*others, "_object.*", F.col("_object").isNull().alias("malformed"))
     )
 
