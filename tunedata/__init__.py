@@ -37,6 +37,7 @@ from tunedata.operators.rollouts import (
     group_relative,
     prompt_table,
     rollout_requests,
+    score_rollouts,
 )
 from tunedata.operators.syntax import python_validity
 from tunedata.plans.evaluate import evaluate_responses

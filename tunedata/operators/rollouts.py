@@ -15,9 +15,11 @@ from tunedata.constants import (
     TAG_SYSTEM_PROMPT,
 )
 from tunedata.functions.chat import bare_prompt, chat_prompt
+from tunedata.functions.reward import with_reward
 from tunedata.functions.text import or_empty
 from tunedata.operators.limits import first_n
 from tunedata.operators.lookup import SPREAD, attach_by_key
+from tunedata.sources.sinks import materialize
 
 
 def rollout_prompt() -> Column:
@@ -59,6 +61,14 @@ def evaluation_requests(
     )
 
 
+def score_rollouts(
+    rollouts: DataFrame, ids: Sequence[str], response: str = "response"
+) -> DataFrame:
+    """``ids`` and ``reward`` of each rollout as a table of its own, without the texts."""
+    narrow = rollouts.select(*ids, F.col(response).alias("_text"))
+    return materialize(with_reward(narrow, "_text").drop("_text"), "rewards")
+
+
 def group_relative(
     rollouts: DataFrame,
     group: str,
@@ -71,8 +81,8 @@ def group_relative(
 
     Sample standard deviation; a group of one or of equal rewards scores 0. ``member`` identifies
     a rollout within its group. The statistics are partial aggregates and go back to the rows
-    by a salted join, so one prompt may hold any share of the rollouts. Pass narrow rows
-    (ids and reward): texts would be shuffled along.
+    by a salted join, so one prompt may hold any share of the rollouts. Pass narrow rows, such as
+    :func:`score_rollouts` gives: they are read three times, and texts would be shuffled along.
     """
     stats = rollouts.groupBy(group).agg(
         F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_deviation")

@@ -32,6 +32,7 @@ from tunedata.operators.rollouts import (
     prompt_or_text,
     prompt_table,
     rollout_requests,
+    score_rollouts,
 )
 from tunedata.operators.syntax import python_validity
 from tunedata.plans.evaluate import evaluate_responses
@@ -460,14 +461,14 @@ def rollout_requests_(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def group_relative_reward(spark: SparkSession, folder: str) -> DataFrame:
-    scored = with_reward(responses(spark, folder)).select(*ROW, "reward")
+    scored = score_rollouts(responses(spark, folder), ROW)
     return rounded(group_relative(scored, "conv_id", ["turn"]))
 
 
 @query
 def group_relative_by_source(spark: SparkSession, folder: str) -> DataFrame:
     """Few large groups."""
-    scored = with_reward(document_responses(spark, folder)).select("source", "doc_id", "reward")
+    scored = score_rollouts(document_responses(spark, folder), ["source", "doc_id"])
     return rounded(group_relative(scored, "source", ["doc_id"]))
 
 

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunedata.session import scratch_path
+
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -21,6 +23,18 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """Write narrow rows that several branches read, and read them back.
+
+    Cuts the lineage: the texts behind the rows are scanned once, and a lost executor costs no
+    second pass over them.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @contextmanager
 def _unsorted_partition_writes(spark: SparkSession, files: int) -> Iterator[None]:
     """Let a task keep ``files`` files open, so Spark does not sort the rows by folder first."""
