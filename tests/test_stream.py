@@ -1,0 +1,73 @@
+"""Reward monitor: batch and stream agree; late rows; restarts; tables kept as folders."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunedata.plans import fixture
+from tunedata.streaming.monitor import reward_windows, start_reward_monitor
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def drain(windows, base):
+    query = start_reward_monitor(windows, f"{base}/out", f"{base}/state", every=None)
+    query.awaitTermination()
+    return {r.window_start: tuple(r) for r in windows.sparkSession.read.parquet(f"{base}/out").collect()}
+
+
+def closed(windows, latest, delay):
+    found = {r.window_start: tuple(r) for r in windows.collect()}
+    return {start: row for start, row in found.items() if row[1] <= latest - delay}
+
+
+@pytest.mark.parametrize("layout", ["file", "folder"])
+def test_stream_equals_batch(spark, tmp_path, layout):
+    folder = FOLDER
+    if layout == "folder":
+        folder = str(tmp_path / "tables")
+        turns = fixture.table(spark, FOLDER, "conversations").repartition(5)
+        turns.write.parquet(f"{folder}/conversations.parquet")
+    batch = fixture.event_time(fixture.responses(spark, folder))
+    latest = batch.agg(F.max("event_time")).first()[0]
+    expected = closed(reward_windows(batch), latest, datetime.timedelta(minutes=10))
+    assert expected and drain(reward_windows(fixture.rollout_stream(spark, folder)), tmp_path) == expected
+
+
+def at(minute, text="<info>a</info>", source="x"):
+    return (datetime.datetime(2024, 1, 1, 0, 0) + datetime.timedelta(minutes=minute), source, text)
+
+
+SCHEMA = "event_time timestamp, source string, response string"
+
+
+def arrive(spark, tmp_path, name, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+
+def windows_of(spark, tmp_path, **options):
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in" / "*"))
+    return reward_windows(stream, delay="10 minutes", window="5 minutes", **options)
+
+
+def test_late_rows_and_restarts(spark, tmp_path):
+    """A row within the delay still counts, one beyond it is dropped; state outlives a restart."""
+    arrive(spark, tmp_path, "1", [at(1), at(2), at(12)])
+    first = drain(windows_of(spark, tmp_path), tmp_path)
+    assert first == {}  # latest 12 - 10 = 2: nothing is closed
+    arrive(spark, tmp_path, "2", [at(3, ""), at(30)])
+    second = drain(windows_of(spark, tmp_path), tmp_path)
+    assert {k.minute: (row[2], row[3]) for k, row in second.items()} == {0: (3, pytest.approx(4 / 3)), 10: (1, 2.0)}
+    arrive(spark, tmp_path, "3", [at(4), at(11), at(60)])
+    third = drain(windows_of(spark, tmp_path), tmp_path)
+    assert {k.minute: row[2] for k, row in third.items()} == {0: 3, 10: 1, 30: 1}
+
+
+def test_keys(spark, tmp_path):
+    arrive(spark, tmp_path, "1", [at(1), at(2, source="y"), at(3, "", "y"), at(50)])
+    base = str(tmp_path)
+    query = start_reward_monitor(windows_of(spark, tmp_path, keys=["source"]), f"{base}/out", f"{base}/s", every=None)
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{base}/out").collect()
+    assert {(r.source, r.n, r.avg_reward) for r in rows} == {("x", 1, 2.0), ("y", 2, 1.0)}

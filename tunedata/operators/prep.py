@@ -43,18 +43,16 @@ def pair_from_messages(
     if "conversation" not in records.columns:
         return _settle(records, {"prompt": strip(own_prompt), "response": strip(own_response)})
 
-    def said_by(role: str) -> Column:
-        return F.filter("conversation", lambda message: message["role"] == role)
+    def texts_of(role: str) -> Column:
+        said = F.filter("conversation", lambda message: message["role"] == role)
+        return F.transform(said, lambda message: or_empty(message["content"]))
 
     def chosen(message: Column, own: Column) -> Column:
-        talk = (own_prompt == "") & message.isNotNull()
-        return strip(F.when(talk, or_empty(message["content"])).otherwise(own))
+        return strip(F.when(own_prompt == "", F.coalesce(message, own)).otherwise(own))
 
-    first_asked = F.get(said_by(prompt_role), F.lit(0))
-    last_answered = F.try_element_at(said_by(response_role), F.lit(-1))
     pair = {
-        "prompt": chosen(first_asked, own_prompt),
-        "response": chosen(last_answered, own_response),
+        "prompt": chosen(F.get(texts_of(prompt_role), F.lit(0)), own_prompt),
+        "response": chosen(F.try_element_at(texts_of(response_role), F.lit(-1)), own_response),
     }
     return _settle(records, pair).drop("conversation")
 

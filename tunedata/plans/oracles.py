@@ -263,7 +263,7 @@ SELECT conv_id, turn, reward = 3 AS literal, reward_total = 3 AS all_checks FROM
         "info_length": f"WITH {_RESPONSES}, {_CHECKS} SELECT conv_id, turn, info_len FROM scored",
         "tag_blocks": rf"""WITH {_RESPONSES}, items AS (
   SELECT conv_id, turn,
-    {_positions("regexp_extract_all(response, '(?i)<python>([\s\S]*?)</python>', 1)")} AS item
+    {_positions(r"regexp_extract_all(response, '(?i)<python>([\s\S]*?)</python>', 1)")} AS item
   FROM responses)
 SELECT conv_id, turn, item.pos AS pos, item.block AS block FROM items""",
         "fence_flags": rf"""WITH {_RESPONSES} SELECT conv_id, turn, {_PYTHON_FENCE} AS has_python,

@@ -16,12 +16,7 @@ from tunedata.operators.prep import (
     training_rows,
     with_status,
 )
-from tunedata.sources.jsonl import (
-    PREFERENCE_RECORD,
-    SFT_RECORD,
-    read_jsonl,
-    read_jsonl_tolerant,
-)
+from tunedata.sources.jsonl import read_jsonl_tolerant, read_training_set
 from tunedata.sources.sinks import write_training_sets
 
 
@@ -62,7 +57,7 @@ def prepare_datasets(
         statused, output_dir, ratio=dpo_rejection_ratio, seed=seed, system_prompt=system_prompt
     )
     return {
-        "sft": read_jsonl(spark, f"{output_dir}/kind=sft", SFT_RECORD),
-        "dpo": read_jsonl(spark, f"{output_dir}/kind=dpo", PREFERENCE_RECORD),
+        "sft": read_training_set(spark, output_dir, "sft"),
+        "dpo": read_training_set(spark, output_dir, "dpo"),
         "stats": stats,
     }

@@ -64,3 +64,13 @@ def read_jsonl_tolerant(
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Rows of ``schema``; a bad line fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_training_set(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The ``sft`` or ``dpo`` rows that ``write_training_sets`` put below ``path``.
+
+    Reads through the root and prunes to the one folder, so a set without rows is no error.
+    """
+    record = {"sft": SFT_RECORD, "dpo": PREFERENCE_RECORD}[kind]
+    schema = T.StructType([*record, T.StructField("kind", T.StringType())])
+    return read_jsonl(spark, path, schema).filter(F.col("kind") == kind).select(record.names)
