@@ -2,12 +2,15 @@
 
 import datetime
 import decimal
+import subprocess
+import sys
 
 import pytest
 import rules
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tunedata.functions.syntax import parses
+from tunedata.functions.syntax import parse_batches, parses
 from tunedata.operators.metrics import (
     compute_metrics,
     html_valid_rate,
@@ -156,6 +159,21 @@ def test_python_validity_with_a_hot_block(spark):
         assert row.python_valid == (not invalid)
 
 
+def test_worker_code_needs_no_installed_package(tmp_path):
+    """What Spark sends to a worker must load where this package is not on the path."""
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(parse_batches))
+    check = f"""
+import pickle, pyarrow as pa
+parse = pickle.load(open({str(tmp_path / "f.pkl")!r}, "rb"))
+batch = pa.RecordBatch.from_pydict({{"k": [1, 2, 3], "_block": ["x", "x (", None]}})
+print([b.to_pydict() for b in parse([batch])])
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", check], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert done.stdout.strip() == "[{'k': [1, 2, 3], '_valid': [True, False, None]}]"
+
+
 @pytest.mark.parametrize(
     "source, valid",
     [

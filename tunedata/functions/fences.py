@@ -9,11 +9,11 @@ from tunedata.constants import WHITESPACE_CLASS
 from tunedata.functions.text import as_column, or_empty
 
 # Stops at the first "<letter" for good (atomic group), so a text of unclosed tags costs one pass.
-_OPENING_TAG = r"(?s)\A(?>.*?<[a-zA-Z])[^>]*>"
+_OPENING_TAG = r"(?s)\A(?>[^<]*+.*?<[a-zA-Z])[^>]*>"
 
 
 def _fence_pattern(language: str) -> str:
-    return rf"(?isu)```{language}{WHITESPACE_CLASS}(.*?)```"
+    return rf"(?s)```(?iu:{language}){WHITESPACE_CLASS}([^`]*+.*?)```"
 
 
 def has_fence(col: Column | str, language: str) -> Column:

@@ -1,21 +1,24 @@
-"""Python validity as a Column, for use as a gate inside a projection.
-
-Only the block array crosses to the Python worker; the row itself stays in the JVM. Where many
-rows share blocks, ``operators.syntax.python_validity`` parses each distinct block once instead.
-"""
+"""The Python parser as a leaf: the only code of this package that runs in Python workers."""
 
 from __future__ import annotations
 
 import ast
+import sys
 import warnings
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunedata.functions.fences import python_blocks
 
+# Workers receive these functions by value: the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def parses(source: str) -> bool:
     """Whether Python accepts the text. Any failure to parse counts as no."""
@@ -26,6 +29,19 @@ def parses(source: str) -> bool:
     return True
 
 
+def parse_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the column ``_block`` by ``_valid``; other columns pass through untouched.
+
+    A null block is no block and gets no verdict.
+    """
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for batch in batches:
+            blocks = batch.column("_block").to_pylist()
+            valid = pa.array([None if b is None else parses(b) for b in blocks], pa.bool_())
+            yield batch.drop_columns(["_block"]).append_column("_valid", valid)
+
+
 @F.pandas_udf(T.BooleanType())
 def _all_parse(blocks: pd.Series) -> pd.Series:
     verdicts: dict[str, bool] = {}
@@ -41,5 +57,10 @@ def _all_parse(blocks: pd.Series) -> pd.Series:
 
 
 def is_valid_python(col: Column | str) -> Column:
-    """At least one python fence, and every one of them parses."""
+    """At least one python fence, and every one of them parses.
+
+    Fit for a gate inside a projection: only the block array crosses to the worker, the row stays
+    in the JVM. Where many rows share blocks, ``operators.syntax.python_validity`` parses each
+    distinct block once instead.
+    """
     return _all_parse(python_blocks(col))

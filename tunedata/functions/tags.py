@@ -2,8 +2,9 @@
 
 Model output can degenerate into thousands of opening tags that are never closed. A plain lazy
 pattern scans to the end of the text from each of them; the patterns here take one or two passes
-whatever the text. ``.`` with the ``s`` flag spans lines and is several times faster in Java than
-``[\\s\\S]``.
+whatever the text. Three habits keep a pass cheap in Java: ``.`` with the ``s`` flag instead of
+``[\\s\\S]``; letter case ignored in the tag's name only, so that ``<`` is compared as it is; and
+``[^<]*+`` to run over plain text in one go.
 """
 
 from __future__ import annotations
@@ -15,13 +16,22 @@ from tunedata.constants import MAX_INFO_TOKENS, MIN_INFO_TOKENS
 from tunedata.functions.text import or_empty, tokens_up_to
 
 
+def _opening(tag: str) -> str:
+    return f"<(?iu:{tag})>"
+
+
+def _closing(tag: str) -> str:
+    return f"</(?iu:{tag})>"
+
+
 def has_tag_pair(col: Column | str, tag: str) -> Column:
     """True if an opening tag is followed by its closing tag.
 
-    If any opening tag is, the first one is; so the atomic group fixes the first one.
+    If any opening tag is, the first one is; so the atomic group fixes the first one. The search
+    for ``</`` settles most texts without tags at a fraction of the cost.
     """
     text = or_empty(col)
-    pair = rf"(?isu)\A(?>.*?<{tag}>).*?</{tag}>"
+    pair = rf"(?s)\A(?>[^<]*+.*?{_opening(tag)})[^<]*+.*?{_closing(tag)}"
     return F.contains(text, F.lit("</")) & text.rlike(pair)
 
 
@@ -30,8 +40,11 @@ def tag_blocks(col: Column | str, tag: str) -> Column:
 
     Text after the last closing tag cannot hold a pair and is set aside first.
     """
-    closed = F.regexp_extract(or_empty(col), rf"(?isu)\A.*</{tag}>", 0)
-    return F.regexp_extract_all(closed, F.lit(rf"(?isu)<{tag}>(.*?)</{tag}>"), 1)
+    text = or_empty(col)
+    up_to_last_closing = F.regexp_extract(text, rf"(?s)\A.*{_closing(tag)}", 0)
+    closed = F.when(F.contains(text, F.lit("</")), up_to_last_closing).otherwise("")
+    pair = rf"(?s){_opening(tag)}([^<]*+.*?){_closing(tag)}"
+    return F.regexp_extract_all(closed, F.lit(pair), 1)
 
 
 def has_code_block(col: Column | str) -> Column:

@@ -9,19 +9,11 @@ from pyspark.sql import functions as F
 
 from tunedata.constants import METRIC_REPORT
 from tunedata.functions.fences import is_valid_html
-from tunedata.functions.reward import compliant, counted
+from tunedata.functions.reward import compliant
 from tunedata.functions.tags import blocks_length_ok, code_blocks, info_blocks
-from tunedata.operators.syntax import parsed_blocks, syntax_counts
+from tunedata.operators.syntax import Extractor, parsed_blocks
 
 RATES = ("format_compliance", "python_syntax_rate")
-MEANS = ("avg_reward", "avg_code_score", "avg_info_score", "avg_len_score")
-
-_SUMS = ("n", "compliant", "total", "code", "info", "length")
-
-
-def _ratio(part: str, whole: str) -> Column:
-    """Quotient of two exact integer sums, so the order of summation cannot show; null over zero."""
-    return F.when(F.col(whole) > 0, F.col(part).cast("double") / F.col(whole))
 
 
 def _counters(
@@ -33,36 +25,30 @@ def _counters(
     row per code block. All that is summed per block text is collapsed within each task before
     the shuffle, so hot groups and hot blocks arrive as one row per task.
     """
-    code, info = F.col("_code"), F.col("_info")
+    code, info = F.col("_codes"), F.col("_infos")
+    checks = F.col("_code"), F.col("_info"), F.col("_length")
     checked = (
         responses.select(
-            *keys, code_blocks(response).alias("_code"), info_blocks(response).alias("_info")
+            *keys, code_blocks(response).alias("_codes"), info_blocks(response).alias("_infos")
         )
         .withColumns(
             {
-                "_has_code": F.size(code) > 0,
-                "_has_info": F.size(info) > 0,
-                "_info_len": blocks_length_ok(info),
+                "_code": F.size(code) > 0,
+                "_info": F.size(info) > 0,
+                "_length": blocks_length_ok(info),
             }
         )
-        .drop("_info")
+        .withColumn("_compliant", compliant(*checks, mode))
     )
-    checks = [F.col("_has_code"), F.col("_has_info"), F.col("_info_len")]
-    own_row_first = F.concat(F.array(F.lit(None).cast("string")), code)
-    rows = checked.withColumns(
-        {"_total": counted(*checks), "_compliant": compliant(*checks, mode)}
-    ).select(
-        *keys, *checks, "_total", "_compliant", F.posexplode(own_row_first).alias("_pos", "block")
-    )
-    own = F.col("_pos") == 0
-    return rows.groupBy(*keys, "block").agg(
-        F.count_if(own).alias("n"),
-        F.count_if(own & F.col("_compliant")).alias("compliant"),
-        F.coalesce(F.sum(F.when(own, F.col("_total").cast("bigint"))), F.lit(0)).alias("total"),
-        F.count_if(own & checks[0]).alias("code"),
-        F.count_if(own & checks[1]).alias("info"),
-        F.count_if(own & checks[2]).alias("length"),
-        F.count_if(~own).alias("copies"),
+    own_row_first = F.expr("posexplode(concat(array(cast(NULL AS string)), _codes)) AS (_pos, _block)")
+    rows = checked.select(*keys, "_code", "_info", "_length", "_compliant", own_row_first)
+    return rows.groupBy(*keys, "_block").agg(
+        F.expr("count_if(_pos = 0) AS _n"),
+        F.expr("count_if(_pos > 0) AS _copies"),
+        *[
+            F.expr(f"count_if(_pos = 0 AND {check}) AS {check}s")
+            for check in ("_code", "_info", "_length", "_compliant")
+        ],
     )
 
 
@@ -71,33 +57,49 @@ def compute_metrics(
 ) -> DataFrame:
     """Evaluation record: one row, or one row per group of ``keys``.
 
-    Without responses the rates are 0 and the means null.
+    Without responses the rates are 0 and the means null. All values are quotients of exact
+    integer sums, so the order of summation cannot show.
     """
     parsed = parsed_blocks(_counters(responses, response, keys, mode))
-    sums = parsed.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS],
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("blocks"),
-        F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("parsed"),
-    )
-    return sums.select(
-        *keys,
-        F.col("n").alias("n_samples"),
-        F.coalesce(_ratio("compliant", "n"), F.lit(0.0)).alias("format_compliance"),
-        F.coalesce(_ratio("parsed", "blocks"), F.lit(0.0)).alias("python_syntax_rate"),
-        _ratio("total", "n").alias("avg_reward"),
-        _ratio("code", "n").alias("avg_code_score"),
-        _ratio("info", "n").alias("avg_info_score"),
-        _ratio("length", "n").alias("avg_len_score"),
+    return parsed.groupBy(*keys).agg(
+        F.expr("coalesce(sum(_n), 0) AS n_samples"),
+        F.expr("coalesce(try_divide(sum(_compliants), sum(_n)), 0D) AS format_compliance"),
+        F.expr(f"coalesce({_SYNTAX_RATE}, 0D) AS python_syntax_rate"),
+        F.expr("try_divide(sum(_codes + _infos + _lengths), sum(_n)) AS avg_reward"),
+        F.expr("try_divide(sum(_codes), sum(_n)) AS avg_code_score"),
+        F.expr("try_divide(sum(_infos), sum(_n)) AS avg_info_score"),
+        F.expr("try_divide(sum(_lengths), sum(_n)) AS avg_len_score"),
     )
 
 
+_PARSED = "sum(_copies) FILTER (WHERE _valid)"
+_SYNTAX_RATE = f"try_divide({_PARSED}, sum(_copies))"
+
+
 def syntax_rate(
-    responses: DataFrame, response: str = "response", keys: Sequence[str] = ()
+    responses: DataFrame,
+    response: str = "response",
+    keys: Sequence[str] = (),
+    extract: Extractor = code_blocks,
 ) -> DataFrame:
-    """``keys, blocks, parsed, python_syntax_rate`` over tagged code blocks."""
-    counts = syntax_counts(responses, response, keys)
-    return counts.withColumn(
-        "python_syntax_rate", F.coalesce(_ratio("parsed", "blocks"), F.lit(0.0))
+    """``keys, blocks, parsed, python_syntax_rate``, over blocks, not responses.
+
+    Copies collapse into a count per group, within each task and again after the shuffle, before
+    anything is parsed.
+    """
+    copies = (
+        responses.select(*keys, F.explode(extract(response)).alias("_block"))
+        .groupBy(*keys, "_block")
+        .agg(F.expr("count(*) AS _copies"))
+    )
+    return (
+        parsed_blocks(copies)
+        .groupBy(*keys)
+        .agg(
+            F.expr("coalesce(sum(_copies), 0) AS blocks"),
+            F.expr(f"coalesce({_PARSED}, 0) AS parsed"),
+            F.expr(f"coalesce({_SYNTAX_RATE}, 0D) AS python_syntax_rate"),
+        )
     )
 
 
@@ -105,17 +107,10 @@ def html_valid_rate(
     responses: DataFrame, response: str = "response", keys: Sequence[str] = ()
 ) -> DataFrame:
     """``keys, n_samples, html_valid_rate``: share of responses whose html fences are all valid."""
-    return (
-        responses.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n_samples"),
-            F.count_if(is_valid_html(response)).alias("_valid"),
-        )
-        .select(
-            *keys,
-            "n_samples",
-            F.coalesce(_ratio("_valid", "n_samples"), F.lit(0.0)).alias("html_valid_rate"),
-        )
+    valid = responses.select(*keys, is_valid_html(response).alias("_valid"))
+    return valid.groupBy(*keys).agg(
+        F.expr("count(*) AS n_samples"),
+        F.expr("coalesce(try_divide(count_if(_valid), count(*)), 0D) AS html_valid_rate"),
     )
 
 

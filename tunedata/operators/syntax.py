@@ -6,39 +6,24 @@ blocks, removes copies, spreads the rest over Python workers and adds up the ver
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunedata.functions.fences import python_blocks
-from tunedata.functions.syntax import parses
-from tunedata.functions.tags import code_blocks
+from tunedata.functions.syntax import parse_batches
 from tunedata.operators.lookup import SPREAD, attach_by_key
+from tunedata.sources.sinks import materialize
 
 Extractor = Callable[[Column | str], Column]
 
 
-def _parse_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the column ``block`` by ``valid``; other columns pass through untouched.
-
-    A null block is no block and gets no verdict.
-    """
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        for batch in batches:
-            blocks = batch.column("block").to_pylist()
-            valid = pa.array([None if b is None else parses(b) for b in blocks], pa.bool_())
-            yield batch.drop_columns(["block"]).append_column("valid", valid)
-
-
 def parsed_blocks(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``valid`` in place of ``block``, parsed in Python workers."""
-    others = T.StructType([field for field in blocks.schema if field.name != "block"])
-    return blocks.mapInArrow(_parse_batches, others.add("valid", T.BooleanType()))
+    """``blocks`` with ``_valid`` in place of ``_block``, parsed in Python workers."""
+    others = T.StructType([field for field in blocks.schema if field.name != "_block"])
+    return blocks.mapInArrow(parse_batches, others.add("_valid", T.BooleanType()))
 
 
 def block_hash(block: Column) -> Column:
@@ -46,39 +31,13 @@ def block_hash(block: Column) -> Column:
 
 
 def block_verdicts(blocks: DataFrame) -> DataFrame:
-    """``block_hash, valid`` per distinct ``block``.
+    """``_hash, _valid`` per distinct ``_block``.
 
     ``distinct`` removes copies within each task before the shuffle, so a block with a third of
     all copies arrives once per task; this is the only shuffle of block texts.
     """
-    distinct = blocks.select("block").distinct()
-    return parsed_blocks(distinct.select(block_hash(F.col("block")).alias("block_hash"), "block"))
-
-
-def syntax_counts(
-    responses: DataFrame,
-    response: str = "response",
-    keys: Sequence[str] = (),
-    extract: Extractor = code_blocks,
-) -> DataFrame:
-    """``keys, blocks, parsed``: number of blocks and of those that parse, over blocks.
-
-    Copies collapse into a count per group, within each task and again after the shuffle, before
-    anything is parsed.
-    """
-    copies = (
-        responses.select(*keys, F.explode(extract(response)).alias("block"))
-        .groupBy(*keys, "block")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    return (
-        parsed_blocks(copies)
-        .groupBy(*keys)
-        .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("blocks"),
-            F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("parsed"),
-        )
-    )
+    distinct = blocks.select("_block").distinct()
+    return parsed_blocks(distinct.select(block_hash(F.col("_block")).alias("_hash"), "_block"))
 
 
 def python_validity(
@@ -90,22 +49,26 @@ def python_validity(
 ) -> DataFrame:
     """``key, python_valid``: at least one block, and all blocks parse.
 
-    ``key`` must identify a row. Texts stay where they are: past the de-duplication only hashes
-    and verdicts move.
+    ``key`` must identify a row. Texts are scanned twice, for the blocks and for their hashes;
+    past the de-duplication only keys, hashes and verdicts move.
     """
     hashed = rows.select(
         *key, F.array_distinct(F.transform(extract(text), block_hash)).alias("_hashes")
     )
     # A row without blocks gets a hash of its own key. It matches no verdict, and unlike a null
     # it does not send all such rows to one task.
-    own = F.array(F.unhex(F.sha2(F.concat_ws("\x00", F.lit("none"), *[F.col(k).cast("string") for k in key]), 256)))
-    wanted = hashed.select(
-        *key,
-        F.explode(F.when(F.size("_hashes") > 0, F.col("_hashes")).otherwise(own)).alias("block_hash"),
+    parts = [F.col(name).cast("string") for name in key]
+    own = F.array(block_hash(F.concat_ws("\x00", F.lit("no block"), *parts)))
+    found = F.col("_hashes")
+    wanted = materialize(
+        hashed.select(
+            *key, F.explode(F.when(F.size(found) > 0, found).otherwise(own)).alias("_hash")
+        ),
+        "block-hashes",
     )
-    verdicts = block_verdicts(rows.select(F.explode(extract(text)).alias("block")))
+    verdicts = block_verdicts(rows.select(F.explode(extract(text)).alias("_block")))
     return (
-        attach_by_key(wanted, verdicts, "block_hash", spread_by=key, spread=spread)
+        attach_by_key(wanted, verdicts, "_hash", spread_by=key, spread=spread)
         .groupBy(*key)
-        .agg(F.bool_and(F.coalesce("valid", F.lit(False))).alias("python_valid"))
+        .agg(F.bool_and(F.coalesce("_valid", F.lit(False))).alias("python_valid"))
     )
