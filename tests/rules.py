@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ast
 import random
-import re
 
 PIECES = [
     "<python>", "</python>", "<PYTHON>", "</Python>", "<info>", "</info>", "<INFO>", "</iNFO>",
@@ -20,24 +19,62 @@ def random_texts(count: int, seed: int = 7) -> list[str]:
     return ["".join(generator.choices(PIECES, k=generator.randint(0, 14))) for _ in range(count)]
 
 
-def find(pattern: str, text: str) -> list[str]:
-    return re.findall(pattern, text, re.IGNORECASE)
+FOLDED = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)} | {"\u0130": "i", "\u0131": "i"})
+
+
+def fold(text: str) -> str:
+    """Letter case removed, one character for one."""
+    return text.translate(FOLDED)
+
+
+def between_tags(text: str, tag: str) -> list[str]:
+    folded, found, at = fold(text), [], 0
+    while (start := folded.find(f"<{tag}>", at)) >= 0:
+        body = start + len(tag) + 2
+        end = folded.find(f"</{tag}>", body)
+        if end < 0:
+            break
+        found.append(text[body:end])
+        at = end + len(tag) + 3
+    return found
+
+
+def between_fences(text: str, language: str) -> list[str]:
+    folded, found, at = fold(text), [], 0
+    while (start := folded.find("```" + language, at)) >= 0:
+        body = start + 3 + len(language) + 1
+        if not text[body - 1 : body].isspace():
+            at = start + 1
+            continue
+        end = text.find("```", body)
+        if end < 0:
+            break
+        found.append(text[body:end])
+        at = end + 3
+    return found
 
 
 def python_fences(text: str) -> list[str]:
-    return find(r"```python\s([\s\S]*?)```", text)
+    return between_fences(text, "python")
 
 
 def html_fences(text: str) -> list[str]:
-    return find(r"```html\s([\s\S]*?)```", text)
+    return between_fences(text, "html")
 
 
 def code_tags(text: str) -> list[str]:
-    return find(r"<python>([\s\S]*?)</python>", text)
+    return between_tags(text, "python")
 
 
 def info_tags(text: str) -> list[str]:
-    return find(r"<info>([\s\S]*?)</info>", text)
+    return between_tags(text, "info")
+
+
+def opens_tag(text: str) -> bool:
+    return any(
+        mark == "<" and letter.isascii() and letter.isalpha() and ">" in text[i + 2 :]
+        for i, (mark, letter) in enumerate(zip(text, text[1:]))
+    )
 
 
 def parses(block: str) -> bool:
@@ -49,13 +86,13 @@ def parses(block: str) -> bool:
 
 
 def valid_python(text: str) -> bool:
-    blocks = python_fences(text)
-    return bool(blocks) and all(parses(block) for block in blocks)
+    verdicts = {parses(block) for block in python_fences(text)}
+    return verdicts == {True}
 
 
 def valid_html(text: str) -> bool:
-    blocks = html_fences(text)
-    return bool(blocks) and all(re.search(r"<[a-zA-Z][^>]*>", block) for block in blocks)
+    verdicts = {opens_tag(block) for block in html_fences(text)}
+    return verdicts == {True}
 
 
 def checks(text: str) -> tuple[bool, bool, bool]:
@@ -89,9 +126,23 @@ def metrics(texts: list[str]) -> dict[str, float | None]:
     }
 
 
+def without_fences(text: str) -> str:
+    text = text.strip()
+    for mark in ("```python", "```html", "```"):
+        text = "".join(text.split(mark))
+    return text
+
+
+def without_first_closing_fence(text: str) -> str:
+    at = text.find("```\n")
+    while at >= 0 and text.startswith(("python", "html"), at + 4):
+        at = text.find("```\n", at + 1)
+    return text if at < 0 else text[:at] + text[at + 3 :]
+
+
 VARIANTS = [
-    lambda t: t.strip().replace("```python", "").replace("```html", "").replace("```", ""),
-    lambda t: t.replace("```python", "```js"),
-    lambda t: t.replace("```html", "```xml"),
-    lambda t: re.sub("```\n(?!python|html)", "\n", t, count=1),
+    without_fences,
+    lambda text: "```js".join(text.split("```python")),
+    lambda text: "```xml".join(text.split("```html")),
+    without_first_closing_fence,
 ]

@@ -1,6 +1,5 @@
 """Column functions against the plain rules on random texts and edge cases."""
 
-import re
 import sys
 import time
 
@@ -33,7 +32,7 @@ RULES = [
     (fences.python_blocks, rules.python_fences),
     (fences.html_blocks, rules.html_fences),
     (fences.is_valid_html, rules.valid_html),
-    (fences.has_opening_tag, lambda t: bool(re.search(r"<[a-zA-Z][^>]*>", t))),
+    (fences.has_opening_tag, rules.opens_tag),
     (syntax.is_valid_python, rules.valid_python),
     (tags.has_code_block, lambda t: bool(rules.code_tags(t))),
     (tags.has_info_block, lambda t: bool(rules.info_tags(t))),

@@ -22,6 +22,13 @@ INFERENCE_SYSTEM_PROMPT = (
 )
 ROLLOUT_USER_PROMPT = "Write a random Python script."
 
+# Fence marks, and the wrong languages that damaged variants carry.
+FENCE = "```"
+PYTHON_FENCE = "```python"
+HTML_FENCE = "```html"
+WRONG_PYTHON_FENCE = "```js"
+WRONG_HTML_FENCE = "```xml"
+
 # Conversation roles and defaults.
 PROMPT_ROLE = "student"
 RESPONSE_ROLE = "tutor"

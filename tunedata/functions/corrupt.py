@@ -7,7 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tunedata.constants import SEED
+from tunedata.constants import (
+    FENCE,
+    HTML_FENCE,
+    PYTHON_FENCE,
+    SEED,
+    WRONG_HTML_FENCE,
+    WRONG_PYTHON_FENCE,
+)
 from tunedata.functions.sampling import pick
 from tunedata.functions.text import as_column, strip
 
@@ -18,20 +25,23 @@ def _replace(col: Column, old: str, new: str = "") -> Column:
 
 def strip_fences(col: Column | str) -> Column:
     """Plain text: no fence marks left."""
-    return _replace(_replace(_replace(strip(col), "```python"), "```html"), "```")
+    plain = strip(col)
+    for mark in (PYTHON_FENCE, HTML_FENCE, FENCE):
+        plain = _replace(plain, mark)
+    return plain
 
 
 def python_fence_to_js(col: Column | str) -> Column:
-    return _replace(as_column(col), "```python", "```js")
+    return _replace(as_column(col), PYTHON_FENCE, WRONG_PYTHON_FENCE)
 
 
 def html_fence_to_xml(col: Column | str) -> Column:
-    return _replace(as_column(col), "```html", "```xml")
+    return _replace(as_column(col), HTML_FENCE, WRONG_HTML_FENCE)
 
 
 def drop_first_closing_fence(col: Column | str) -> Column:
     """Remove the first fence mark that ends a line, unless python/html follows on the next one."""
-    return F.regexp_replace(as_column(col), r"(?s)\A(.*?)```\n(?!python|html)", "$1\n")
+    return F.regexp_replace(as_column(col), rf"(?s)\A(.*?){FENCE}\n(?!python|html)", "$1\n")
 
 
 VARIANTS: tuple[Callable[[Column | str], Column], ...] = (

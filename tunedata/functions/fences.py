@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tunedata.constants import WHITESPACE_CLASS
+from tunedata.constants import FENCE, WHITESPACE_CLASS
 from tunedata.functions.text import as_column, or_empty
 
 # Stops at the first "<letter" for good (atomic group), so a text of unclosed tags costs one pass.
@@ -13,7 +13,7 @@ _OPENING_TAG = r"(?s)\A(?>[^<]*+.*?<[a-zA-Z])[^>]*>"
 
 
 def _fence_pattern(language: str) -> str:
-    return rf"(?s)```(?iu:{language}){WHITESPACE_CLASS}([^`]*+.*?)```"
+    return rf"(?s){FENCE}(?iu:{language}){WHITESPACE_CLASS}([^`]*+.*?)```"
 
 
 def has_fence(col: Column | str, language: str) -> Column:
@@ -23,7 +23,7 @@ def has_fence(col: Column | str, language: str) -> Column:
     texts that have none.
     """
     text = or_empty(col)
-    return F.contains(text, F.lit("```")) & text.rlike(_fence_pattern(language))
+    return F.contains(text, F.lit(FENCE)) & text.rlike(_fence_pattern(language))
 
 
 def fence_blocks(col: Column | str, language: str) -> Column:

@@ -19,6 +19,11 @@ from tunedata.constants import (
 )
 from tunedata.plans.fixture import DOCUMENT_SQL, EVENT_EPOCH, PAIR_SQL, RESPONSE_SQL
 
+# Patterns, in the checking database's syntax.
+_TAG_PAIR = "(?is)<{tag}>(.*?)</{tag}>"
+_FENCE_PAIR = "(?is)```{language}{space}(.*?)```"
+_OPENING_TAG = "<[a-zA-Z][^>]*>"
+
 # No text of the given tables holds whitespace beyond ASCII.
 _SPACES = "concat(chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), ' ')"
 _SPACE_CLASS = r"[\s\x0b\x1c-\x1f]"
@@ -45,6 +50,14 @@ def _chat(prompt: str, system: str) -> str:
     return f"concat({head}, {prompt}, {_text(f'{TURN_END}' + chr(10) + ASSISTANT_START)})"
 
 
+def _tag(tag: str) -> str:
+    return _TAG_PAIR.format(tag=tag)
+
+
+def _fence(language: str) -> str:
+    return _FENCE_PAIR.format(language=language, space=_SPACE_CLASS)
+
+
 def _hash(key: str, salt: str) -> str:
     return f"cast('0x' || substr(md5('{salt}:' || {key}), 1, 8) AS bigint)"
 
@@ -53,9 +66,9 @@ _RESPONSES = f"""responses AS (
   SELECT conv_id, turn, {RESPONSE_SQL} AS response FROM conversations WHERE role = 'assistant')"""
 _DOCUMENTS = f"""responses AS (SELECT doc_id, source, {DOCUMENT_SQL} AS response FROM documents)"""
 
-_CHECKS = rf"""found AS (
-  SELECT *, regexp_matches(response, '(?i)<python>[\s\S]*?</python>') AS has_code,
-         regexp_extract_all(response, '(?i)<info>([\s\S]*?)</info>', 1) AS infos FROM responses),
+_CHECKS = f"""found AS (
+  SELECT *, regexp_matches(response, '{_tag("python")}') AS has_code,
+         regexp_extract_all(response, '{_tag("info")}', 1) AS infos FROM responses),
 checks AS (
   SELECT *, len(infos) > 0 AS has_info,
          len(infos) > 0 AND len(list_filter(regexp_split_to_array(array_to_string(infos, ' '),
@@ -64,13 +77,13 @@ scored AS (
   SELECT *, cast(2 * has_code::int + 2 * has_info::int + info_len::int AS double) AS reward,
          cast(has_code::int + has_info::int + info_len::int AS double) AS reward_total FROM checks)"""
 
-_TAG_BLOCKS = r"""blocks AS (
-  SELECT *, unnest(regexp_extract_all(response, '(?i)<python>([\s\S]*?)</python>', 1)) AS block
+_TAG_BLOCKS = f"""blocks AS (
+  SELECT *, unnest(regexp_extract_all(response, '{_tag("python")}', 1)) AS block
   FROM responses)"""
 
 
 def _fences(language: str) -> str:
-    return rf"regexp_extract_all(response, '(?i)```{language}{_SPACE_CLASS}([\s\S]*?)```', 1)"
+    return f"regexp_extract_all(response, '{_fence(language)}', 1)"
 
 
 def _metrics(source: str, compliant: str = "reward = 3", keys: str = "") -> str:
@@ -98,7 +111,7 @@ SELECT {key_list}count(*) AS blocks, count(*) FILTER ({_PARSES}) AS parsed,
 def _html_rule(blocks: str) -> str:
     return (
         f"len({blocks}) > 0 AND len(list_filter({blocks}, "
-        "lambda b: NOT regexp_matches(b, '<[a-zA-Z][^>]*>'))) = 0"
+        f"lambda b: NOT regexp_matches(b, '{_OPENING_TAG}'))) = 0"
     )
 
 
@@ -171,7 +184,7 @@ counts AS (SELECT count(*) FILTER (NOT empty AND accepted) AS sft,
   FROM statused)"""
 
 
-_PYTHON_FENCE = rf"regexp_matches(response, '(?i)```python{_SPACE_CLASS}[\s\S]*?```')"
+_PYTHON_FENCE = f"regexp_matches(response, '{_fence('python')}')"
 _PYTHON_FENCES_PARSE = (
     f"len({_fences('python')}) > 0 AND "
     f"len(list_filter({_fences('python')}, lambda block: NOT ({_PARSES}))) = 0"
@@ -261,13 +274,13 @@ SELECT conv_id, turn, response, reward FROM scored""",
         "compliant_modes": f"""WITH {_RESPONSES}, {_CHECKS}
 SELECT conv_id, turn, reward = 3 AS literal, reward_total = 3 AS all_checks FROM scored""",
         "info_length": f"WITH {_RESPONSES}, {_CHECKS} SELECT conv_id, turn, info_len FROM scored",
-        "tag_blocks": rf"""WITH {_RESPONSES}, items AS (
+        "tag_blocks": f"""WITH {_RESPONSES}, items AS (
   SELECT conv_id, turn,
-    {_positions(r"regexp_extract_all(response, '(?i)<python>([\s\S]*?)</python>', 1)")} AS item
+    {_positions(f"regexp_extract_all(response, '{_tag('python')}', 1)")} AS item
   FROM responses)
 SELECT conv_id, turn, item.pos AS pos, item.block AS block FROM items""",
-        "fence_flags": rf"""WITH {_RESPONSES} SELECT conv_id, turn, {_PYTHON_FENCE} AS has_python,
-  regexp_matches(response, '(?i)```html{_SPACE_CLASS}[\s\S]*?```') AS has_html FROM responses""",
+        "fence_flags": f"""WITH {_RESPONSES} SELECT conv_id, turn, {_PYTHON_FENCE} AS has_python,
+  regexp_matches(response, '{_fence('html')}') AS has_html FROM responses""",
         "fence_blocks": f"""WITH {_RESPONSES}, items AS (
   SELECT conv_id, turn, 'python' AS language, {_positions(_fences('python'))} AS item FROM responses
   UNION ALL
