@@ -8,6 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tunedata.operators.prep import pair_from_messages, training_rows, with_status
 from tunedata.plans import fixture
 from tunedata.sources.jsonl import read_jsonl_tolerant
+from tunedata.sources.tables import read_texts
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {
@@ -59,10 +60,23 @@ def test_aggregates_are_partial_before_the_shuffle(spark):
     assert "partial_min" in flat and "partial_max" in flat
 
 
-def test_row_local_queries_do_not_shuffle(spark):
+def test_only_one_wave_tables_are_dealt_out(spark, tmp_path):
+    small = read_texts(spark, f"{FOLDER}/conversations.parquet")
+    assert "RoundRobinPartitioning(4)" in plan(small)
+    spark.range(100_000).repartition(24).write.parquet(str(tmp_path / "many"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(2**27))
+    try:
+        many = read_texts(spark, str(tmp_path / "many"))
+        assert many.rdd.getNumPartitions() == 24 and "Exchange" not in plan(many)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_row_local_queries_do_not_shuffle_by_key(spark):
     for name in ("reward_weighted", "corrupt_choice", "hash_sample", "fence_blocks", "html_valid",
                  "messages_array", "conv_to_pair_nested", "jsonl_conversations", "rollout_requests"):
-        assert "Exchange" not in plan(queries()[name](spark, FOLDER)), name
+        text = plan(queries()[name](spark, FOLDER))
+        assert "hashpartitioning" not in text and "SinglePartition" not in text, name
 
 
 def test_entry(spark):

@@ -45,6 +45,7 @@ from tunedata.plans.fixture import (
     responses,
     rollout_stream,
     table,
+    texts,
 )
 from tunedata.plans.preference import load_preference_pairs
 from tunedata.plans.prepare import write_prepared
@@ -212,7 +213,7 @@ def html_valid_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\n```"),
         F.when(F.col("page_id") % 4 == 0, "\n```html\nno tag < here >\n```").otherwise(""),
     )
-    return table(spark, folder, "pages").select("page_id", is_valid_html(fenced).alias("html_valid"))
+    return texts(spark, folder, "pages").select("page_id", is_valid_html(fenced).alias("html_valid"))
 
 
 @query

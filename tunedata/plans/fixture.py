@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunedata.sources.tables import read_table, read_texts
+
 EVENT_EPOCH = 1_700_000_000
 
 
@@ -34,12 +36,16 @@ PAIR_SQL = decorated_sql("conv_id", "response")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_texts(spark, f"{folder}/{name}.parquet")
 
 
 def responses(spark: SparkSession, folder: str) -> DataFrame:
     """``conv_id, turn, response`` of all assistant turns."""
-    return decorate_turns(table(spark, folder, "conversations"))
+    return decorate_turns(texts(spark, folder, "conversations"))
 
 
 def decorate_turns(turns: DataFrame) -> DataFrame:
@@ -50,7 +56,7 @@ def decorate_turns(turns: DataFrame) -> DataFrame:
 
 def document_responses(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, source, response`` of all documents."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         "doc_id", "source", F.expr(DOCUMENT_SQL).alias("response")
     )
 
@@ -95,7 +101,7 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
             F.get(roles, (i % 3).cast("int")).alias("role"), line.alias("content")
         ),
     )
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         number.cast("string").alias("id"),
         F.when(number % 4 == 0, "")
         .when(number % 4 == 1, F.lit(None))
