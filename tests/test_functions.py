@@ -26,7 +26,11 @@ def values(texts, column):
 RULES = [
     (text.strip, str.strip),
     (text.is_blank, lambda t: not t.strip()),
-    (lambda c: text.tokens_up_to(c, 5), lambda t: min(len(t.split()), 6)),
+    (lambda c: text.has_tokens(c, 1, 1), lambda t: len(t.split()) == 1),
+    (lambda c: text.has_tokens(c, 2, 5), lambda t: 2 <= len(t.split()) <= 5),
+    (lambda c: text.has_tokens(c, 0, 3), lambda t: len(t.split()) <= 3),
+    (lambda c: text.has_tokens(c, -1, 0), lambda t: len(t.split()) == 0),
+    (lambda c: text.has_tokens(c, 3, 2), lambda t: False),
     (fences.has_python_block, lambda t: bool(rules.python_fences(t))),
     (fences.has_html_block, lambda t: bool(rules.html_fences(t))),
     (fences.python_blocks, rules.python_fences),
@@ -98,6 +102,12 @@ def test_info_length_bounds_are_inclusive(spark):
     assert {row.n for row in frame.collect() if row.ok} == {10, 11, 499, 500}
 
 
+def test_many_tokens_need_no_deep_stack(spark):
+    rows = spark.createDataFrame([(n, "wo \n" * n) for n in (199_999, 200_000, 300_000, 300_001)], "n int, t string")
+    found = rows.filter(text.has_tokens("t", 200_000, 300_000)).select("n").collect()
+    assert {row.n for row in found} == {200_000, 300_000}
+
+
 def test_null_text_counts_as_empty(spark):
     row = spark.createDataFrame([(None,)], "t string").select(
         reward.compute_reward("t").alias("r"),
@@ -130,7 +140,7 @@ def test_with_reward_keeps_other_columns(spark):
 )
 def test_degenerate_texts_take_one_pass(spark, column):
     """Repeated openers without a closer make a plain lazy pattern quadratic (many minutes here)."""
-    unit = ["<info>", "<python>", "<a", " ", "```\npython "]
+    unit = ["<info>", "<python>", "<a", "<", "</", "<info></", " ", "```\npython "]
     rows = spark.createDataFrame([("x" + u * (1_500_000 // len(u)) + "x",) for u in unit], "t string")
     start = time.time()
     rows.select(column("t").alias("v")).write.format("noop").mode("overwrite").save()

@@ -13,25 +13,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tunedata.constants import MAX_INFO_TOKENS, MIN_INFO_TOKENS
-from tunedata.functions.text import or_empty, tokens_up_to
+from tunedata.functions.text import has_tokens, or_empty
 
 
-def _opening(tag: str) -> str:
-    return f"<(?iu:{tag})>"
-
-
-def _closing(tag: str) -> str:
-    return f"</(?iu:{tag})>"
+def _up_to(mark: str) -> str:
+    """All text before ``mark``, a tag without its ``<``; never given back."""
+    return f"(?:[^<]++|<(?!{mark}))*+"
 
 
 def has_tag_pair(col: Column | str, tag: str) -> Column:
     """True if an opening tag is followed by its closing tag.
 
-    If any opening tag is, the first one is; so the atomic group fixes the first one. The search
-    for ``</`` settles most texts without tags at a fraction of the cost.
+    If any opening tag is, the first one is; so the pattern goes to the first one and stays. The
+    search for ``</`` settles most texts without tags at a fraction of the cost.
     """
     text = or_empty(col)
-    pair = rf"(?s)\A(?>[^<]*+.*?{_opening(tag)})[^<]*+.*?{_closing(tag)}"
+    opening, closing = f"(?iu:{tag})>", f"/(?iu:{tag})>"
+    pair = rf"\A{_up_to(opening)}<{opening}{_up_to(closing)}<{closing}"
     return F.contains(text, F.lit("</")) & text.rlike(pair)
 
 
@@ -41,9 +39,9 @@ def tag_blocks(col: Column | str, tag: str) -> Column:
     Text after the last closing tag cannot hold a pair and is set aside first.
     """
     text = or_empty(col)
-    up_to_last_closing = F.regexp_extract(text, rf"(?s)\A.*{_closing(tag)}", 0)
+    up_to_last_closing = F.regexp_extract(text, rf"(?s)\A.*</(?iu:{tag})>", 0)
     closed = F.when(F.contains(text, F.lit("</")), up_to_last_closing).otherwise("")
-    pair = rf"(?s){_opening(tag)}([^<]*+.*?){_closing(tag)}"
+    pair = rf"(?s)<(?iu:{tag})>([^<]*+.*?)</(?iu:{tag})>"
     return F.regexp_extract_all(closed, F.lit(pair), 1)
 
 
@@ -67,8 +65,7 @@ def blocks_length_ok(
     blocks: Column, min_tokens: int = MIN_INFO_TOKENS, max_tokens: int = MAX_INFO_TOKENS
 ) -> Column:
     """Token count of all blocks together lies in the inclusive range; no block means false."""
-    tokens = tokens_up_to(F.array_join(blocks, " "), max_tokens)
-    return (F.size(blocks) > 0) & tokens.between(min_tokens, max_tokens)
+    return (F.size(blocks) > 0) & has_tokens(F.array_join(blocks, " "), min_tokens, max_tokens)
 
 
 def info_length_ok(

@@ -27,12 +27,17 @@ def is_blank(col: Column | str) -> Column:
     return F.ltrim(or_empty(col), F.lit(WHITESPACE)) == ""
 
 
-def tokens_up_to(col: Column | str, most: int) -> Column:
-    """Number of whitespace-separated tokens, counted exactly up to ``most``.
+def has_tokens(col: Column | str, least: int, most: int) -> Column:
+    """True if the text holds ``least`` to ``most`` whitespace-separated tokens, both inclusive.
 
-    Any larger number is returned as ``most + 1``: ``split`` stops cutting there, so a block of
-    many megabytes does not turn into an array of millions of strings.
+    One pass that stops after token ``most``; nothing is cut out, so a block of many megabytes
+    does not turn into an array of strings. Possessive quantifiers never go back.
     """
-    body = strip(or_empty(col))
-    pieces = F.size(F.split(body, f"{WHITESPACE_CLASS}+", most + 1))
-    return pieces - (body == "").cast("int")  # the empty text splits into one empty piece
+    space, other = WHITESPACE_CLASS, WHITESPACE_CLASS.replace("[", "[^", 1)
+    text = or_empty(col)
+    if most < 1:
+        return is_blank(text) & F.lit(least <= 0 <= most)
+    further = f"{{{max(least, 1) - 1},{most - 1}}}+"
+    counted = rf"\A{space}*+{other}++(?:{space}++{other}++){further}{space}*+\z"
+    found = text.rlike(counted) if least <= most else F.lit(False)
+    return is_blank(text) | found if least <= 0 else found
