@@ -12,6 +12,7 @@ from tunedata.llm.decontaminate import contaminations
 from tunedata.llm.exact_dedup import duplicate_groups
 from tunedata.llm.language import identify, learn_dictionaries
 from tunedata.llm.mixing import mixed_sizes
+from tunedata.llm.ngram_join import linked
 from tunedata.llm.quality import fit, with_scores, with_statistics
 from tunedata.llm.token_files import tokenize
 from tunedata.llm.warc import archive_pages
@@ -60,6 +61,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return linked(table(spark, folder, "documents"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
 
@@ -91,6 +96,7 @@ _QUERIES: dict[str, Query] = {
         op1_warc,
         op2_exact_dedup,
         op3_quality,
+        op5_ngram_join,
         op6_mixing,
         op7_language,
         op8_token_files,
