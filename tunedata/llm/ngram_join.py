@@ -19,13 +19,12 @@ import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import discard, internal, materialize
+from tunedata.llm.common import add_up, discard, internal, materialize, pack_arrays, unpack_array
 from tunedata.llm.components import components
 from tunedata.llm.hashing import mix, shingles, word_hashes
 
@@ -85,9 +84,8 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             arrays += [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         if kind is not None:
-            parts = [x.astype("<u8").tobytes() for x in counts.reshape(CELL_BLOCKS, -1)]
             arrays = [pa.nulls(CELL_BLOCKS, kind), pa.nulls(CELL_BLOCKS, pa.int64()), pa.nulls(CELL_BLOCKS, pa.int64())]
-            arrays += [pa.array(range(CELL_BLOCKS), pa.int32()), pa.array(parts, pa.binary())]
+            arrays += pack_arrays(range(CELL_BLOCKS), counts.reshape(CELL_BLOCKS, -1)).columns
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = rows.select("key").schema
@@ -99,14 +97,10 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 def _rarity(cells: DataFrame) -> np.ndarray:
     """One byte per cell: how often its n-grams occur, on a logarithmic scale."""
 
-    def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<u8").astype(float) for x in parts["counts"])
-        scaled = np.minimum(6 * np.log2(total + 1), 255).astype(np.uint8)
-        return pd.DataFrame({"block": parts["block"][:1], "levels": [scaled.tobytes()]})
-
     levels = np.zeros((CELL_BLOCKS, (1 << CELL_BITS) // CELL_BLOCKS), np.uint8)
-    for row in cells.groupBy("block").applyInPandas(add, "block int, levels binary").collect():
-        levels[row["block"]] = np.frombuffer(row["levels"], np.uint8)
+    for row in add_up(cells, "block", "counts", "<i8").collect():
+        total = unpack_array(row["value"], "<i8")
+        levels[row["key"]] = np.minimum(6 * np.log2(total + 1.0), 255).astype(np.uint8)
     return levels.ravel()
 
 

@@ -12,14 +12,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tunedata.llm.common import internal
+from tunedata.llm.common import add_up, internal, pack_arrays, unpack_array
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -182,18 +181,12 @@ def fit(labelled: DataFrame, vector: str = "statistics", label: str = "label", f
                 part = x.T @ np.hstack([x, y[:, None]])
                 total = part if total is None else total + part
         if total is not None:
-            places = pa.array(range(len(total)), pa.int32())
-            yield pa.RecordBatch.from_arrays([places, pa.array(list(total))], names=["at", "values"])
+            yield pack_arrays(range(len(total)), total)
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        # Sorted, so that the sum does not depend on the order of arrival.
-        parts = np.array(sorted(map(tuple, rows["values"])))
-        return pd.DataFrame({"at": rows["at"][:1], "values": [parts.sum(axis=0)]})
-
-    shape = "at int, values array<double>"
-    summed = fitting.mapInArrow(equations, shape).groupBy("at").applyInPandas(add, shape).collect()
+    parts = fitting.mapInArrow(equations, "key int, value binary")
+    summed = add_up(parts, "key", "value", "<f8").collect()
     if summed:
-        matrix = np.array([row["values"] for row in sorted(summed, key=lambda row: row["at"])])
+        matrix = np.array([unpack_array(row["value"], "<f8") for row in sorted(summed, key=lambda row: row["key"])])
         normal, right = matrix[:, :-1], matrix[:, -1]
         penalty = RIDGE * normal[-1, -1] * np.eye(len(normal))
         penalty[-1, -1] = 0

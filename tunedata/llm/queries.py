@@ -11,6 +11,7 @@ from tunedata.llm.common import id_remainder, materialize, table
 from tunedata.llm.decontaminate import contaminations
 from tunedata.llm.exact_dedup import duplicate_groups
 from tunedata.llm.language import identify, learn_dictionaries
+from tunedata.llm.lm import score
 from tunedata.llm.mixing import mixed_sizes
 from tunedata.llm.ngram_join import linked
 from tunedata.llm.quality import fit, with_scores, with_statistics
@@ -90,6 +91,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score(table(spark, folder, "documents"), id_remainder(7) == 2)
+
+
 _QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -101,6 +106,7 @@ _QUERIES: dict[str, Query] = {
         op7_language,
         op8_token_files,
         op9_decontamination,
+        op10_lm_scoring,
     )
 }
 
