@@ -15,6 +15,7 @@ from tunedata.llm.lm import score
 from tunedata.llm.mixing import mixed_sizes
 from tunedata.llm.ngram_join import linked
 from tunedata.llm.quality import fit, with_scores, with_statistics
+from tunedata.llm.substrings import removals
 from tunedata.llm.token_files import tokenize
 from tunedata.llm.warc import archive_pages
 
@@ -62,6 +63,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return removals(table(spark, folder, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return linked(table(spark, folder, "documents"))
 
@@ -101,6 +106,7 @@ _QUERIES: dict[str, Query] = {
         op1_warc,
         op2_exact_dedup,
         op3_quality,
+        op4_substring_dedup,
         op5_ngram_join,
         op6_mixing,
         op7_language,
