@@ -1,0 +1,50 @@
+import collections
+import hashlib
+
+import pytest
+from llm_cases import documents, frame
+
+from tunedata.llm.exact_dedup import deduplicate, duplicate_groups
+
+
+def expected(rows):
+    groups = collections.defaultdict(list)
+    for row in rows:
+        groups[hashlib.sha256((row[1] or "").encode()).hexdigest()].append(row[0])
+    return groups
+
+
+@pytest.mark.parametrize("counters", [64, 4096])
+def test_groups_match_brute_force(spark, counters):
+    rows = documents() + [(5000 + i, "hot", "en", "s", 3, *"abcdefg") for i in range(300)]
+    groups = expected(rows)
+    found = duplicate_groups(frame(spark, rows), counters=counters).collect()
+    assert len(found) == len(rows)
+    kept = collections.Counter()
+    for row in found:
+        members = groups[row["text_sha256"]]
+        assert row["doc_id"] in members
+        assert row["group_size"] == len(members)
+        assert row["keep_id"] == max((m for m in members if m is not None), default=None)
+        if row["kept"]:
+            kept[row["text_sha256"]] += 1
+            assert row["doc_id"] == row["keep_id"]
+    assert kept == dict.fromkeys(groups, 1)
+
+
+def test_hot_digest_is_removed_on_the_map_side(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i}", "en", "s", 3, *"abcdefg") for i in range(900)]
+    plan = duplicate_groups(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_survivors_keep_their_columns(spark):
+    rows = documents()
+    found = deduplicate(frame(spark, rows))
+    assert found.columns == frame(spark, rows).columns
+    texts = [r["text"] or "" for r in found.collect()]
+    assert sorted(texts) == sorted({r[1] or "" for r in rows})
+
+
+def test_empty_table(spark):
+    assert duplicate_groups(frame(spark, [])).collect() == []

@@ -1,0 +1,241 @@
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given as gives
+from hypothesis import settings
+from hypothesis import strategies as st
+from llm_cases import FOLDER, documents, frame, given
+
+from tunedata.llm import substrings
+from tunedata.llm.components import components
+from tunedata.llm.decontaminate import contaminations, decontaminate
+from tunedata.llm.hashing import shingles, word_hashes
+from tunedata.llm.ngram_join import linked, one_per_group
+from tunedata.llm.substrings import removals, without_repeats
+
+
+def grams(text, width=5):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+
+def brute_components(rows, percent=75):
+    """Position in rows -> smallest id of its component."""
+    sets = [grams(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] and common * 100 >= percent * (len(sets[i]) + len(sets[j]) - common):
+                parent[find(i)] = find(j)
+    names = collections.defaultdict(list)
+    for i, row in enumerate(rows):
+        names[find(i)].append(row[0])
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in names.items()}
+    return [(r[0], len(s), r[0] if not s else least[find(i)]) for i, (r, s) in enumerate(zip(rows, sets, strict=True))]
+
+
+def near_copies(count, length, edits, seed):
+    """A chain and a cloud of edited copies, next to texts that share a passage only."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(length)]
+    rows = []
+    for i in range(count):
+        own = list(base)
+        for _ in range(edits):
+            own[draw.randrange(length)] = f"e{draw.randrange(10**6)}"
+        rows.append((10_000 + i, " ".join(own), "en", "s", 1, *"abcdefg"))
+        if i % 3 == 0:
+            base[draw.randrange(length)] = f"b{draw.randrange(10**6)}"
+    passage = base[: length // 2]
+    for i in range(count):
+        own = passage + [f"p{draw.randrange(10**6)}" for _ in range(length // 2)]
+        rows.append((20_000 + i, " ".join(own), "en", "s", 1, *"abcdefg"))
+    return rows
+
+
+@pytest.mark.parametrize("edits", [1, 3])
+def test_links_match_brute_force(spark, edits):
+    rows = documents() + near_copies(40, 90, edits, edits)
+    found = linked(frame(spark, rows)).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter(brute_components(rows))
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = documents()
+    docs = frame(spark, rows)
+    kept = one_per_group(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    names = {(r[0], r[1]): c for r, (_, _, c) in zip(rows, brute_components(rows), strict=True)}
+    expected = {(k, t) for (k, t), c in names.items() if k == c}
+    assert collections.Counter((r.doc_id, r.text) for r in found) == dict.fromkeys(expected, 1)
+
+
+def test_join_of_empty_table(spark):
+    assert linked(frame(spark, [])).collect() == []
+    assert one_per_group(frame(spark, [])).collect() == []
+
+
+def test_components_of_paths_and_stars(spark):
+    draw = random.Random(5)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 90)] + [(300, 300)]
+    edges += [(b, a) for a, b in edges[:10]]
+    draw.shuffle(edges)
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    expected = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(90)}
+    assert found == expected
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@gives(st.lists(st.sampled_from(["a", "B", "b", "ab", "é", "É", " ", "\t", "\x0b", "\x1c", "\xa0", "\n"]), max_size=40))
+def test_words_and_shingles(parts):
+    data = "".join(parts).encode()
+    words = data.lower().split()  # bytes: ASCII only
+    words = re.findall(rb"[^\x20\x09-\x0d]+", data.lower())
+    found = word_hashes(data)
+    assert len(found) == len(words)
+    assert len(set(found.tolist())) == len(set(words))
+    assert len(shingles(found, 5)) == len(grams(data.decode()))
+
+
+def brute_removals(rows, width):
+    texts = [(r[1] or "").encode() for r in rows]
+    places = collections.Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
+    found = []
+    for row, text in zip(rows, texts, strict=True):
+        gone = bytearray(len(text))
+        for i in range(len(text) - width + 1):
+            if places[text[i : i + width]] > 1:
+                gone[i : i + width] = b"\1" * width
+        kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
+        runs = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        found.append((row[0], len(text), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return found
+
+
+def passages(seed):
+    """Texts that share passages of lengths around the width, at their ends and in the middle."""
+    draw = random.Random(seed)
+    letters = "abcdefghij é"
+
+    def text(n):
+        return "".join(draw.choice(letters) for _ in range(n))
+
+    shared = [text(n) for n in (150, 190, 199, 200, 201, 230, 400, 900)]
+    rows = []
+    for i in range(60):
+        parts = [text(draw.randrange(0, 300)) if draw.random() < 0.5 else draw.choice(shared) for _ in range(4)]
+        rows.append((30_000 + i, "".join(parts), "en", "s", 1, *"abcdefg"))
+    rows.append((40_000, "z" * 1000, "en", "s", 1, *"abcdefg"))
+    rows.append((40_001, text(300) * 3, "en", "s", 1, *"abcdefg"))
+    return rows
+
+
+@pytest.mark.parametrize("width", [200, 128])
+def test_removals_match_brute_force(spark, width):
+    rows = [r for r in documents() if len(r[1] or "") < 30_000][:70] + documents()[-30:] + passages(width)
+    rows = [r for r in rows if len(r[1] or "") < 100_000]
+    found = removals(frame(spark, rows), width=width).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter(brute_removals(rows, width))
+
+
+def test_pieces_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK", 700)
+    rows = passages(3) + [(50_000, "".join(r[1] for r in passages(4)), "en", "s", 1, *"abcdefg")]
+    found = removals(frame(spark, rows)).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter(brute_removals(rows, 200))
+
+
+def test_what_is_left(spark):
+    rows = passages(9)
+    kept = {r.doc_id: bytes(r.kept) for r in without_repeats(frame(spark, rows)).collect()}
+    for key, _, _, _, sha in brute_removals(rows, 200):
+        assert hashlib.sha256(kept[key]).hexdigest() == sha
+    assert removals(frame(spark, [])).collect() == []
+
+
+def test_merged_runs():
+    spans = np.array([[5, 9], [0, 3], [3, 4], [8, 12]])
+    assert substrings.merged(spans).tolist() == [[0, 4], [5, 12]]
+
+
+def leaks():
+    """Rows with whole, edited and torn benchmark items, and what they contain."""
+    items = given("benchmark", "item_id, text")
+    rows, expected = [], set()
+    for n, (item, text) in enumerate(items[:12]):
+        words = text.split()
+        edited = list(words)
+        for at in range(7, len(edited), 12):
+            edited[at] = "substituted"
+        for shift, (body, hit) in enumerate(
+            ((text, True), (" ".join(edited).upper() + "!!", True), (" ".join(words[: len(words) // 5]), False))
+        ):
+            key = 60_000 + 10 * n + shift
+            rows.append((key, f"before it , {body} -- behind", "en", "s", 1, *"abcdefg"))
+            if hit:
+                expected.add((key, item))
+    return items, rows, expected
+
+
+def test_contaminations(spark):
+    items, rows, expected = leaks()
+    clean = [r for r in documents() if not any(t in (r[1] or "") for _, t in items)]
+    benchmark = spark.createDataFrame(
+        [*[(i, t, "x") for i, t in items], (900, None, "x"), (901, "", "x"), (902, "of the and", "x")],
+        "item_id bigint, text string, words string",
+    )
+    docs = frame(spark, rows + clean)
+    found = {(r.doc_id, r.item_id) for r in contaminations(docs, benchmark).collect()}
+    assert found == expected
+    left = decontaminate(docs, benchmark)
+    assert left.columns == docs.columns
+    bad = {k for k, _ in expected}
+    assert collections.Counter((r.doc_id, r.text) for r in left.collect()) == collections.Counter(
+        (r[0], r[1]) for r in rows + clean if r[0] not in bad
+    )
+
+
+def test_exact_items_in_the_given_rows(spark):
+    items = given("benchmark", "item_id, text")
+    docs = given()
+    expected = {(d[0], i) for i, t in items for d in docs if t in d[1]}
+    assert expected
+    found = contaminations(
+        spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
+def test_contaminations_without_rows(spark):
+    benchmark = spark.createDataFrame(given("benchmark", "item_id, text"), "item_id bigint, text string")
+    assert contaminations(frame(spark, []), benchmark).collect() == []
+    assert contaminations(frame(spark), benchmark.filter("false")).collect() == []
+
+
+def test_contaminations_without_broadcast(spark, monkeypatch):
+    from tunedata.llm import decontaminate as module
+
+    monkeypatch.setattr(module, "broadcast_if_small", lambda rows, limit=0: rows)
+    items, rows, expected = leaks()
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminations(frame(spark, rows), benchmark).collect()} == expected
+
+
+def test_seed_plan_is_native(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plan = contaminations(docs, spark.read.parquet(f"{FOLDER}/benchmark.parquet"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -57,9 +58,9 @@ def _words_of_piece(data: np.ndarray) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * _powers("down", _INVERSE, len(data) + 1)[starts])
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One uint64 per word, words being separated by ASCII white space and A-Z lower-cased."""
-    data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+def word_hashes(text: bytes | pa.Buffer | None) -> np.ndarray:
+    """One uint64 per word of UTF-8 bytes, split at ASCII white space, A-Z lower-cased."""
+    data = np.frombuffer(text or b"", np.uint8)
     if len(data) <= PIECE:
         return _words_of_piece(data) if len(data) else np.zeros(0, np.uint64)
     found, begin = [], 0

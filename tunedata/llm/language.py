@@ -144,7 +144,7 @@ def identify(
         raise ValueError("the added names clash with columns of the table")
     (flag,) = internal(docs, "_letter")
     ready = docs.withColumn(flag, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    schema = docs.schema
+    schema = docs.select("*").schema  # one of its own, since add() changes it
     for name, kind in zip(names, ("string", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
     return ready.mapInArrow(_predict(dictionaries, text, names, level, margin), schema)

@@ -21,10 +21,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tunedata.llm.common import add_up, discard, internal, materialize, pack_arrays, unpack_array
+from tunedata.llm.common import add_up, broadcast_if_small, discard, internal, materialize, pack_arrays, unpack_array
 from tunedata.llm.components import components
 from tunedata.llm.hashing import mix, shingles, word_hashes
 
@@ -34,7 +35,6 @@ WIDTH = 5
 PERCENT = 75
 CELL_BITS = 20
 CELL_BLOCKS = 64
-FILTER_BITS = 1 << 24
 # Fixed numbers; a column's hub is the row that is smallest after flipping bits by one of them.
 FLIPS = (0, 0x2545F4914F6CDD1D, -0x61C8864680B583EB, 0x3C6EF372FE94F82A)
 MAX_ROWS = 20_000
@@ -51,17 +51,26 @@ def set_id(grams: np.ndarray) -> int:
 def _sets(batch: pa.RecordBatch, column: int, width: int) -> Iterator[np.ndarray]:
     texts = batch.column(column)
     for at in range(batch.num_rows):
-        yield shingles(word_hashes(texts[at].as_py()), width)
+        yield shingles(word_hashes(texts[at].as_buffer()), width)
 
 
 def _cell(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
+def _content(text: str) -> Column:
+    return F.col(text).cast("binary").alias("text")
+
+
+def _pick(key: str, text: str) -> Column:
+    """Tells rows apart, but for repeated ones."""
+    return F.xxhash64(key, text).alias("pick")
+
+
 def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Per row: key, n, sid; per task and block of cells: block, counts."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    names = ["key", "n", "sid", "block", "counts"]
+    """Per row: key, pick, n, sid; per task and block of cells: block, counts."""
+    rows = docs.select(F.col(key).alias("key"), _pick(key, text), _content(text))
+    names = ["key", "pick", "n", "sid", "block", "counts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
@@ -69,7 +78,7 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         for batch in batches:
             kind = batch.schema.field(0).type
             n, sid, waiting, waits = [], [], [], 0
-            for grams in _sets(batch, 1, width):
+            for grams in _sets(batch, 2, width):
                 n.append(len(grams))
                 sid.append(set_id(grams))
                 waiting.append(_cell(grams))
@@ -80,16 +89,17 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             if waits:
                 counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
             size = batch.num_rows
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64())]
+            arrays = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64())]
             arrays += [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         if kind is not None:
-            arrays = [pa.nulls(CELL_BLOCKS, kind), pa.nulls(CELL_BLOCKS, pa.int64()), pa.nulls(CELL_BLOCKS, pa.int64())]
+            arrays = [pa.nulls(CELL_BLOCKS, kind), *[pa.nulls(CELL_BLOCKS, pa.int64())] * 3]
             arrays += pack_arrays(range(CELL_BLOCKS), counts.reshape(CELL_BLOCKS, -1)).columns
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    schema = rows.select("key").schema
-    for name, kind in (("n", "long"), ("sid", "long"), ("block", "integer"), ("counts", "binary")):
+    # The rows that carry counts have no key, whatever the table says of its own.
+    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType)])
+    for name, kind in (("pick", "long"), ("n", "long"), ("sid", "long"), ("block", "integer"), ("counts", "binary")):
         schema = schema.add(name, kind)
     return rows.mapInArrow(run, schema)
 
@@ -138,56 +148,38 @@ def _entries(docs: DataFrame, text: str, width: int, percent: int, levels: np.nd
         if found:
             yield columns(found)
 
-    return docs.select(text).mapInArrow(run, "gram bigint, sid bigint, n int, place int")
+    return docs.select(_content(text)).mapInArrow(run, "gram bigint, sid bigint, n int, place int")
 
 
-def _wanted_bits(wanted: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over the trailing bits of the wanted identities."""
-    bit = F.col("sid").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
-    maps = (
-        wanted.select(bit.alias("bit"))
-        .groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))
-        .collect()
-    )
-    bits = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
-    for row in maps:
-        bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
-    return bits.ravel()
-
-
-def _members(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """sid, size and grams of the sets in ``wanted`` (sid), each once.
-
-    The bitmap, 2 MB whatever the input, spares most other sets the shuffle; the join decides.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(_wanted_bits(wanted))
+def _members(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
+    """sid and grams of the sets in ``wanted`` (pick), which names one row for each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sids, found, size = [], [], 0
             for grams in _sets(batch, 0, width):
-                sid = set_id(grams)
-                bit = sid & (FILTER_BITS - 1)
-                if len(grams) and shared.value[bit >> 3] >> (bit & 7) & 1:
-                    sids.append(sid)
-                    found.append(grams.view(np.int64))
-                    size += len(grams)
+                sids.append(set_id(grams))
+                found.append(grams.view(np.int64))
+                size += len(grams)
                 if size >= MAX_ROWS:
                     yield pa.RecordBatch.from_pydict({"sid": sids, "grams": found})
                     sids, found, size = [], [], 0
             if sids:
                 yield pa.RecordBatch.from_pydict({"sid": sids, "grams": found})
 
-    sets = docs.select(text).mapInArrow(run, "sid bigint, grams array<bigint>")
-    return sets.groupBy("sid").agg(F.first("grams").alias("grams")).join(wanted, "sid", "left_semi")
+    rows = docs.select(_pick(key, text), _content(text)).join(broadcast_if_small(wanted), "pick", "left_semi")
+    sets = rows.select("text").mapInArrow(run, "sid bigint, grams array<bigint>")
+    return sets.groupBy("sid").agg(F.first("grams").alias("grams"))
 
 
-def _links(docs: DataFrame, text: str, width: int, percent: int, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole overlap reaches the threshold."""
-    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    wanted, asked = materialize(wanted, "wanted")
-    members, path = materialize(_members(docs, text, width, wanted), "members")
+def _links(
+    docs: DataFrame, key: str, text: str, width: int, percent: int, pairs: DataFrame, rows: DataFrame
+) -> DataFrame:
+    """The pairs (a, b) whose whole overlap reaches the threshold; ``rows`` has pick and sid."""
+    asked_for = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    chosen = rows.join(asked_for, "sid", "left_semi").groupBy("sid").agg(F.min("pick").alias("pick"))
+    wanted, asked = materialize(chosen.select("pick"), "wanted")
+    members, path = materialize(_members(docs, key, text, width, wanted), "members")
     left = members.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
     right = members.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
     sizes = F.size("left"), F.size("right")
@@ -205,6 +197,20 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _close(percent: int) -> Column:
+    """Sets of these sizes can be similar at all."""
+    return F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+
+
+def _reaches(percent: int) -> Column:
+    """If this is the first column that the rows share, what follows still reaches the bound.
+
+    Of a pair that reaches it, the first shared column passes, so no pair is lost.
+    """
+    rest = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    return rest * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+
+
 def linked(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -219,7 +225,7 @@ def linked(
     """
     spark = docs.sparkSession
     sets, sets_path = materialize(_read_sets(docs, key, text, width), "sets")
-    rows = sets.filter(F.col("block").isNull()).select("key", "n", "sid")
+    rows = sets.filter(F.col("block").isNull()).select("key", "pick", "n", "sid")
     levels = _rarity(sets.filter(F.col("block").isNotNull()).select("block", "counts"))
     entries, entries_path = materialize(_entries(docs, text, width, percent, levels), "entries")
 
@@ -235,10 +241,12 @@ def linked(
     shared, shared_path = materialize(entries.join(hubs, "gram"), "shared")
     discard(spark, entries_path)
 
-    first, first_path = materialize(
-        shared.filter(F.col("sid") != F.col("hub")).select(*_ordered("sid", "hub")).distinct(), "pairs"
-    )
-    links = _links(docs, text, width, percent, first)
+    hub_entries = shared.filter(F.col("sid") == F.col("hub")).select("gram", "sid", "n", "place").distinct()
+    a, b = shared.alias("a"), hub_entries.alias("b")
+    same = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.sid") != F.col("b.sid"))
+    starred = a.join(b, same & _close(percent) & _reaches(percent))
+    first, first_path = materialize(starred.select(*_ordered("a.sid", "b.sid")).distinct(), "pairs")
+    links = _links(docs, key, text, width, percent, first, rows)
     roots = components(links)
 
     # What the hubs have not settled: entries of a column whose rows are still in several groups.
@@ -256,16 +264,14 @@ def linked(
     open_entries, open_path = materialize(placed.join(mixed, "gram", "left_semi").distinct(), "open")
     a, b = open_entries.alias("a"), open_entries.alias("b")
     need = (F.col("a.n") + F.col("b.n")) * percent
-    reach = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) * (100 + percent) >= need
     suffix = F.floor(F.greatest("a.n", "b.n") * percent / 100)
-    close = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
     product = a.join(
-        b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") < F.col("b.root")) & close
+        b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") < F.col("b.root")) & _close(percent)
     ).groupBy(F.col("a.sid").alias("x"), F.col("b.sid").alias("y"))
     # Shared entries plus all that may follow the shorter list must still reach the bound.
     bounded = product.agg(
         F.count(F.lit(1)).alias("overlap"),
-        F.max(reach).alias("reach"),
+        F.max(_reaches(percent)).alias("reach"),
         F.max(suffix + 1).alias("suffix"),
         F.max(need).alias("need"),
     ).filter(F.col("reach") & ((F.col("overlap") + F.col("suffix")) * (100 + percent) >= F.col("need")))
@@ -274,7 +280,7 @@ def linked(
         tried, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"
     )
     second, second_path = materialize(second, "pairs")
-    more = _links(docs, text, width, percent, second)
+    more = _links(docs, key, text, width, percent, second, rows)
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     discard(spark, shared_path, first_path, open_path, second_path)
 
