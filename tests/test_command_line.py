@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from tunedata.__main__ import main
 
 
@@ -22,3 +24,22 @@ def test_prepare_evaluate_and_pairs(spark, tmp_path, capsys):
     main(["evaluate", "--responses", str(tmp_path / "responses.jsonl"), "--output", str(tmp_path / "m")])
     assert "Samples evaluated     : 40" in capsys.readouterr().out
     assert spark.read.json(str(tmp_path / "m")).first().avg_info_score == 1.0
+
+
+def test_plain_files_and_mistakes(spark, tmp_path, capsys):
+    pairs = [{"prompt": f"p{i}", "chosen": "a", "rejected": "a" if i < 3 else "b"} for i in range(8)]
+    (tmp_path / "dpo").mkdir()
+    for path in (tmp_path / "dpo_train.jsonl", tmp_path / "dpo" / "part.jsonl"):
+        path.write_text("\n".join(map(json.dumps, pairs)))
+    for path in ("dpo_train.jsonl", "dpo"):
+        main(["pairs", "--data", str(tmp_path / path)])
+        assert [x.strip() for x in capsys.readouterr().out.splitlines()[3].split("|")[1:4]] == ["8", "5", "3"]
+    (tmp_path / "sft_train.jsonl").write_text('{"text": "only text"}\n{"prompt": "p", "text": "t"}\n')
+    main(["requests", "--data", str(tmp_path / "sft_train.jsonl"), "--output", str(tmp_path / "r")])
+    assert {r.prompt for r in spark.read.json(str(tmp_path / "r")).collect()} == {"only text", "p"}
+    (tmp_path / "bad.jsonl").write_text('{"prompt": "p", "chosen": "a"}\n')
+    with pytest.raises(Exception, match="rejected"):
+        main(["pairs", "--data", str(tmp_path / "bad.jsonl")])
+    (tmp_path / "responses.jsonl").write_text('{"response": "x"}\n')
+    with pytest.raises(Exception, match="reponse"):
+        main(["evaluate", "--responses", str(tmp_path / "responses.jsonl"), "--column", "reponse"])

@@ -10,7 +10,7 @@ import rules
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tunedata.functions.syntax import parse_batches, parses
+from tunedata.functions.syntax import _parsed, parses
 from tunedata.operators.metrics import (
     compute_metrics,
     html_valid_rate,
@@ -126,7 +126,9 @@ def test_syntax_rate_counts_blocks_not_responses(spark, responses):
 
 
 def test_syntax_rate_by_group(responses):
-    for row in syntax_rate(responses, keys=["source"]).collect():
+    found = syntax_rate(responses, keys=["source"]).collect()
+    assert {r.source for r in found} == {k for k, v in by_source().items() if any(map(rules.code_tags, v))}
+    for row in found:
         blocks = [b for t in by_source()[row.source] for b in rules.code_tags(t)]
         assert (row.blocks, row.parsed) == (len(blocks), sum(map(rules.parses, blocks)))
 
@@ -143,7 +145,7 @@ def test_python_validity_of_each_row(responses):
 
 
 def test_python_validity_with_a_hot_block(spark):
-    """More than a third of the rows share one block; the join spreads them."""
+    """More than a third of the rows share one block; it is parsed once per batch."""
     hot, bad = "```python\nx = 1\n```", "```python\nx = (\n```"
     rows = spark.range(0, 9000, 1, 4).select(
         "id",
@@ -152,7 +154,7 @@ def test_python_validity_with_a_hot_block(spark):
         .otherwise(F.concat(F.lit("```python\ny = "), F.col("id").cast("string"), F.lit("\n```")))
         .alias("response"),
     )
-    found = python_validity(rows, ["id"], spread=8).collect()
+    found = python_validity(rows, ["id"]).collect()
     assert len(found) == 9000
     for row in found:
         invalid = row.id % 2 and (row.id % 3 == 0 or row.id % 5 == 0)
@@ -161,17 +163,16 @@ def test_python_validity_with_a_hot_block(spark):
 
 def test_worker_code_needs_no_installed_package(tmp_path):
     """What Spark sends to a worker must load where this package is not on the path."""
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(parse_batches))
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_parsed.func))
     check = f"""
-import pickle, pyarrow as pa
-parse = pickle.load(open({str(tmp_path / "f.pkl")!r}, "rb"))
-batch = pa.RecordBatch.from_pydict({{"k": [1, 2, 3], "_block": ["x", "x (", None]}})
-print([b.to_pydict() for b in parse([batch])])
+import pickle, pandas
+parsed = pickle.load(open({str(tmp_path / "f.pkl")!r}, "rb"))
+print(parsed(pandas.Series([["x", "x (", "x"], [], None])).tolist())
 """
     done = subprocess.run(
         [sys.executable, "-c", check], cwd=tmp_path, capture_output=True, text=True, check=True
     )
-    assert done.stdout.strip() == "[{'k': [1, 2, 3], '_valid': [True, False, None]}]"
+    assert done.stdout.strip() == "[2, 0, 0]"
 
 
 @pytest.mark.parametrize(

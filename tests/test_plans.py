@@ -4,11 +4,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tunedata.operators.prep import pair_from_messages, training_rows, with_status
 from tunedata.plans import fixture
+from tunedata.plans.catalog import all_queries as queries
+from tunedata.plans.oracles import all_oracles as oracle_sql
 from tunedata.sources.jsonl import read_jsonl_tolerant
-from tunedata.sources.tables import read_texts
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {
@@ -60,16 +61,28 @@ def test_aggregates_are_partial_before_the_shuffle(spark):
     assert "partial_min" in flat and "partial_max" in flat
 
 
-def test_only_one_wave_tables_are_dealt_out(spark, tmp_path):
-    small = read_texts(spark, f"{FOLDER}/conversations.parquet")
-    assert "RoundRobinPartitioning(4)" in plan(small)
-    spark.range(100_000).repartition(24).write.parquet(str(tmp_path / "many"))
-    spark.conf.set("spark.sql.files.openCostInBytes", str(2**27))
-    try:
-        many = read_texts(spark, str(tmp_path / "many"))
-        assert many.rdd.getNumPartitions() == 24 and "Exchange" not in plan(many)
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+def test_plans_do_not_depend_on_table_sizes(spark):
+    for name in ("conversations", "documents", "pages"):
+        assert "Exchange" not in plan(fixture.table(spark, FOLDER, name))
+
+
+def test_no_block_text_is_shuffled(spark):
+    for name in ("eval_by_source", "syntax_rate_by_source"):
+        text = plan(queries()[name](spark, FOLDER))
+        assert text.count("Exchange") == 1 and text.count("FileScan") == 1, name
+    for name in ("python_valid", "python_valid_column"):
+        assert "Exchange" not in plan(queries()[name](spark, FOLDER)), name
+
+
+def test_first_rows_are_chosen_by_narrow_keys(spark):
+    """The top n runs over keys and hashes; the texts behind them are fetched by a join."""
+    for name in ("first_n", "eval_requests"):
+        text = plan(queries()[name](spark, FOLDER))
+        assert "rangepartitioning" not in text, name
+        top = re.search(r"TakeOrderedAndProject\(.*", text).group()
+        output = re.search(r"output=\[(.*)\]", top).group(1)
+        assert "text" not in output and "_raw" not in output, name
+        assert "_tie" in output, name
 
 
 def test_row_local_queries_do_not_shuffle_by_key(spark):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunedata.constants import TAG_SYSTEM_PROMPT
+from tunedata.operators import limits
 from tunedata.operators.limits import first_n
 from tunedata.operators.lookup import attach_by_key
 from tunedata.operators.rollouts import (
@@ -50,14 +51,39 @@ def test_evaluation_requests(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 499, 500, 501])
-@pytest.mark.parametrize("merge_limit", [0, 1000])
-def test_first_n(spark, n, merge_limit):
+def test_first_n(spark, n):
     rows = spark.range(500).select(((F.col("id") * 37) % 500).alias("k"), F.col("id").alias("v")).repartition(5)
-    found = first_n(rows, n, "k", merge_limit).collect()
+    found = first_n(rows, n, "k").collect()
     assert sorted(r.k for r in found) == list(range(min(n, 500)))
     assert all((r.v * 37) % 500 == r.k for r in found)
 
 
+def test_first_n_with_ties_and_repeats(spark):
+    """The same rows from any partitioning, and beyond the bound for a broadcast."""
+    rows = [(i % 3, f"v{i // 2}", None if i % 5 == 0 else i % 7) for i in range(100)] + [(0, "same", 1)] * 30
+    frame = spark.createDataFrame(rows, "k int, v string, _order0 int")
+    limits.BROADCAST_KEYS, before = 100, limits.BROADCAST_KEYS
+    try:
+        for n in (5, 40, 101, 200):
+            found = {
+                str(sorted(map(str, first_n(frame.repartition(parts), n, ["k"] if n != 40 else ["_order0", "k"]).collect())))
+                for parts in (1, 4, 16)
+            }
+            assert len(found) == 1
+            assert first_n(frame, n, "k").count() == min(n, len(rows))
+            keys = sorted(r.k for r in first_n(frame, n, "k").collect())
+            assert keys == sorted(k for k, _, _ in rows)[:n]
+    finally:
+        limits.BROADCAST_KEYS = before
+
+
+def test_requests_in_the_order_of_their_prompts(spark):
+    rows = spark.createDataFrame([(i, f"p{9 - i}") for i in range(9)], "id int, prompt string")
+    found = evaluation_requests(rows, "prompt", 3)
+    assert found.columns == ["prompt", "request"]
+    assert sorted(r.prompt for r in found.collect()) == ["p1", "p2", "p3"]
+
+
 def relative(rewards, eps=1e-4):
     spread = statistics.stdev(rewards) if len(rewards) > 1 else 0.0
     return [(r - statistics.fmean(rewards)) / (spread + eps) for r in rewards]
@@ -83,6 +109,8 @@ def test_group_relative_with_hot_null_and_single_groups(spark):
     assert len(found) == 3000
     for gen, score in expected.items():
         assert found[gen] == pytest.approx(score, abs=1e-9)
+    tenths = spark.createDataFrame([("a", i, 0.1) for i in range(3)], "prompt_id string, gen int, reward double")
+    assert {r.advantage for r in group_relative(tenths, "prompt_id", ["gen"]).collect()} == {0.0}
     equal = spark.createDataFrame([("a", i, 5.0) for i in range(4)], "prompt_id string, gen int, reward double")
     assert {r.advantage for r in group_relative(equal, "prompt_id", ["gen"]).collect()} == {0.0}
 
@@ -116,4 +144,3 @@ def test_score_rollouts_leaves_the_texts_behind(spark):
     scored = score_rollouts(rows, ["id"])
     assert scored.columns == ["id", "reward"]
     assert {(r.id, r.reward) for r in scored.collect()} == {(1, 2.0), (2, 0.0)}
-    assert "RLIKE" not in scored._jdf.queryExecution().toString()

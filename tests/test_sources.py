@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tunedata.plans.preference import load_preference_pairs
 from tunedata.sources.jsonl import SFT_RECORD, decode_lines, read_jsonl, read_jsonl_tolerant
 from tunedata.sources.sinks import write_metrics, write_rows, write_training_sets
 
@@ -74,6 +75,19 @@ def test_strict_scan_fails_on_a_bad_line(spark, tmp_path):
         read_jsonl(spark, str(tmp_path), SFT_RECORD).collect()
 
 
+@pytest.mark.parametrize("line", BAD)
+def test_strict_scan_is_as_strict_as_the_tolerant_one(spark, tmp_path, line):
+    (tmp_path / "rows.jsonl").write_text('{"prompt":"a"}\n' + line + "\n")
+    with pytest.raises(Exception, match="Malformed"):
+        read_jsonl(spark, str(tmp_path), SFT_RECORD).collect()
+
+
+def test_required_fields(spark, tmp_path):
+    (tmp_path / "pairs.jsonl").write_text('{"prompt":"a","chosen":"b","rejected":"c"}\n{"prompt":"a","chosen":"b"}\n')
+    with pytest.raises(Exception, match="rejected"):
+        load_preference_pairs(spark, str(tmp_path)).collect()
+
+
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_rows_survive_the_round_trip(spark, tmp_path, fmt):
     texts = ['quote " and \\ slash/', "line\nend\r", "tab\t\x00null", "é \U0001f600 \u2028", ""]

@@ -1,7 +1,7 @@
 """Command line: ``python -m tunedata COMMAND``; the session takes its settings from spark-defaults.
 
     python -m tunedata prepare  --input raw/ --output data/ [--dpo-ratio 0.5] [--seed 42]
-    python -m tunedata requests --data data/ --order text --output requests/ [--n-samples 200]
+    python -m tunedata requests --data data/ --order hash --output requests/ [--n-samples 200]
     python -m tunedata evaluate --responses responses/ [--keys source] [--output metrics/]
     python -m tunedata pairs    --data data/
 
@@ -13,6 +13,8 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunedata.constants import EVAL_SAMPLES, PAIR_RATIO, SEED
 from tunedata.functions.reward import COMPLIANCE_MODES
@@ -21,15 +23,15 @@ from tunedata.operators.pairs import informative_pairs, pair_report
 from tunedata.operators.rollouts import evaluation_requests
 from tunedata.plans.evaluate import evaluate_responses
 from tunedata.plans.prepare import prepare_datasets
-from tunedata.sources.jsonl import read_training_set
+from tunedata.sources.jsonl import read_jsonl, read_training_set
 from tunedata.sources.sinks import write_rows
 
 
 def _table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
-    schema = ", ".join(f"`{name}` string" for name in columns)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    return read_jsonl(spark, path, schema, columns[-1:])
 
 
 def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -40,6 +42,7 @@ def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _requests(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = read_training_set(spark, args.data, "sft")
+    rows = rows.withColumn("prompt", F.coalesce("prompt", "text")).withColumn("hash", F.md5("text"))
     write_rows(evaluation_requests(rows, args.order, args.n_samples), args.output)
 
 
@@ -69,7 +72,7 @@ def _arguments() -> argparse.ArgumentParser:
 
     requests = commands.add_parser("requests", help="first rows as generation requests")
     requests.add_argument("--data", required=True)
-    requests.add_argument("--order", nargs="+", default=["text"])
+    requests.add_argument("--order", nargs="+", default=["hash"])
     requests.add_argument("--n-samples", type=int, default=EVAL_SAMPLES)
     requests.add_argument("--output", required=True)
     requests.set_defaults(run=_requests)

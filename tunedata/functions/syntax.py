@@ -5,10 +5,8 @@ from __future__ import annotations
 import ast
 import sys
 import warnings
-from collections.abc import Iterable, Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,21 +27,9 @@ def parses(source: str) -> bool:
     return True
 
 
-def parse_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the column ``_block`` by ``_valid``; other columns pass through untouched.
-
-    A null block is no block and gets no verdict.
-    """
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        for batch in batches:
-            blocks = batch.column("_block").to_pylist()
-            valid = pa.array([None if b is None else parses(b) for b in blocks], pa.bool_())
-            yield batch.drop_columns(["_block"]).append_column("_valid", valid)
-
-
-@F.pandas_udf(T.BooleanType())
-def _all_parse(blocks: pd.Series) -> pd.Series:
+@F.pandas_udf(T.IntegerType())
+def _parsed(blocks: pd.Series) -> pd.Series:
+    """How many blocks of each row parse; copies within a batch are parsed once."""
     verdicts: dict[str, bool] = {}
 
     def valid(block: str) -> bool:
@@ -53,14 +39,19 @@ def _all_parse(blocks: pd.Series) -> pd.Series:
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        return blocks.map(lambda found: len(found) > 0 and all(valid(block) for block in found))
+        return blocks.map(lambda found: 0 if found is None else sum(map(valid, found))).astype("int32")
 
 
-def is_valid_python(col: Column | str) -> Column:
-    """At least one python fence, and every one of them parses.
+def parsed_count(blocks: Column) -> Column:
+    """How many strings of an array Python accepts.
 
-    Fit for a gate inside a projection: only the block array crosses to the worker, the row stays
-    in the JVM. Where many rows share blocks, ``operators.syntax.python_validity`` parses each
-    distinct block once instead.
+    Only the array crosses to the worker, the row stays in the JVM, and nothing is shuffled. Batches
+    are bounded by ``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``.
     """
-    return _all_parse(python_blocks(col))
+    return _parsed(blocks)
+
+
+def is_valid_python(col: Column | str) -> Column:
+    """At least one python fence, and every one of them parses."""
+    blocks = python_blocks(col)
+    return (F.size(blocks) > 0) & (parsed_count(blocks) == F.size(blocks))

@@ -4,43 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunedata.session import ensure_checkpoint_dir
+# More keys than that are not broadcast; the rows that they name are then found by a shuffle.
+BROADCAST_KEYS = 100_000
 
-# Up to here each task keeps its n smallest rows and one task merges them.
-MERGE_LIMIT = 100_000
 
-
-def first_n(
-    rows: DataFrame, n: int, order: str | Sequence[str], merge_limit: int = MERGE_LIMIT
-) -> DataFrame:
+def first_n(rows: DataFrame, n: int, order: str | Sequence[str]) -> DataFrame:
     """The ``n`` smallest rows by ``order``, or all rows if there are fewer.
 
-    ``order`` should be unique per row; otherwise ties at the border are broken arbitrarily.
+    Rows with equal keys are ordered by a hash of all their columns, so the choice does not depend on
+    the partitioning; equal rows are interchangeable. The top n runs over keys and hashes only; the
+    rows themselves are fetched for the chosen keys and never meet in one task.
     """
     order = [order] if isinstance(order, str) else list(order)
-    if n <= merge_limit:
-        return rows.orderBy(*order).limit(n)
-    return _first_n_ranked(rows, n, order)
-
-
-def _first_n_ranked(rows: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The same without a merge in one task: sort by range, count the ranges, cut the border one.
-
-    The sorted rows are checkpointed, which fixes the range a row lies in; a lost executor
-    cannot redraw the ranges between the count and the cut.
-    """
-    ensure_checkpoint_dir(rows.sparkSession)
-    ranges = rows.sort(*order).checkpoint().withColumn("_range", F.spark_partition_id())
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per range: as many as there are shuffle partitions, however large the table is.
-    before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    quota = sizes.select("_range", "_size", (F.lit(n) - F.coalesce(before, F.lit(0))).alias("_quota"))
-    placed = ranges.join(F.broadcast(quota.filter(F.col("_quota") > 0)), "_range")
-    whole = placed.filter(F.col("_size") <= F.col("_quota"))
-    border = placed.filter(F.col("_size") > F.col("_quota"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    cut = border.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_quota"))
-    return whole.select(*rows.columns).unionByName(cut.select(*rows.columns))
+    taken = max((len(c) for c in rows.columns), default=0) * "_"  # longer than any name: no clash
+    names = [f"{taken}_order{i}" for i in range(len(order))]
+    tie_name, copies = f"{taken}_tie", f"{taken}_copies"
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    keys = [F.col(f"`{c}`").alias(k) for c, k in zip(order, names, strict=True)]
+    keyed = rows.select("*", *keys, tie.alias(tie_name))
+    top = keyed.select(*names, tie_name).orderBy(*names, tie_name).limit(n)
+    chosen = top.groupBy(*names, tie_name).agg(F.count(F.lit(1)).alias(copies))
+    if n <= BROADCAST_KEYS:
+        chosen = F.broadcast(chosen)
+    same = keyed[tie_name] == chosen[tie_name]
+    for name in names:
+        same &= keyed[name].eqNullSafe(chosen[name])
+    found = keyed.join(chosen, same).drop(*[chosen[c] for c in (*names, tie_name)])
+    once = found.dropDuplicates([*names, tie_name])
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    return once.select(*own, F.explode(F.sequence(F.lit(1), copies)).alias(copies)).drop(copies)

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from tunedata.constants import METRIC_REPORT
 from tunedata.functions.fences import is_valid_html
 from tunedata.functions.reward import compliant
+from tunedata.functions.syntax import parsed_count
 from tunedata.functions.tags import blocks_length_ok, code_blocks, info_blocks
-from tunedata.operators.syntax import Extractor, parsed_blocks
+from tunedata.operators.syntax import Extractor
 
 RATES = ("format_compliance", "python_syntax_rate")
 
 
-def _counters(
-    responses: DataFrame, response: str, keys: Sequence[str], mode: str
+def compute_metrics(
+    responses: DataFrame, response: str = "response", keys: Sequence[str] = (), mode: str = "literal"
 ) -> DataFrame:
-    """Integer counters per (keys, block); the row with a null block counts the responses.
+    """Evaluation record: one row, or one row per group of ``keys``.
 
-    One scan serves both kinds of counters: a response fans out into one row of its own and one
-    row per code block. All that is summed per block text is collapsed within each task before
-    the shuffle, so hot groups and hot blocks arrive as one row per task.
+    One scan and one aggregation: a response becomes a few integers where it lies, and their sums are
+    shuffled. Without responses the rates are 0 and the means null. All values are quotients of
+    exact integer sums, so the order of summation cannot show.
     """
     code, info = F.col("_codes"), F.col("_infos")
     checks = F.col("_code"), F.col("_info"), F.col("_length")
@@ -31,49 +32,28 @@ def _counters(
         responses.select(
             *keys, code_blocks(response).alias("_codes"), info_blocks(response).alias("_infos")
         )
-        .withColumns(
-            {
-                "_code": F.size(code) > 0,
-                "_info": F.size(info) > 0,
-                "_length": blocks_length_ok(info),
-            }
+        .select(
+            *keys,
+            (F.size(code) > 0).alias("_code"),
+            (F.size(info) > 0).alias("_info"),
+            blocks_length_ok(info).alias("_length"),
+            F.greatest(F.size(code), F.lit(0)).alias("_blocks"),
+            parsed_count(code).alias("_parsed"),
         )
         .withColumn("_compliant", compliant(*checks, mode))
     )
-    own_row_first = F.expr("posexplode(concat(array(cast(NULL AS string)), _codes)) AS (_pos, _block)")
-    rows = checked.select(*keys, "_code", "_info", "_length", "_compliant", own_row_first)
-    return rows.groupBy(*keys, "_block").agg(
-        F.expr("count_if(_pos = 0) AS _n"),
-        F.expr("count_if(_pos > 0) AS _copies"),
-        *[
-            F.expr(f"count_if(_pos = 0 AND {check}) AS {check}s")
-            for check in ("_code", "_info", "_length", "_compliant")
-        ],
-    )
-
-
-def compute_metrics(
-    responses: DataFrame, response: str = "response", keys: Sequence[str] = (), mode: str = "literal"
-) -> DataFrame:
-    """Evaluation record: one row, or one row per group of ``keys``.
-
-    Without responses the rates are 0 and the means null. All values are quotients of exact
-    integer sums, so the order of summation cannot show.
-    """
-    parsed = parsed_blocks(_counters(responses, response, keys, mode))
-    return parsed.groupBy(*keys).agg(
-        F.expr("coalesce(sum(_n), 0) AS n_samples"),
-        F.expr("coalesce(try_divide(sum(_compliants), sum(_n)), 0D) AS format_compliance"),
+    return checked.groupBy(*keys).agg(
+        F.expr("count(*) AS n_samples"),
+        F.expr("coalesce(try_divide(count_if(_compliant), count(*)), 0D) AS format_compliance"),
         F.expr(f"coalesce({_SYNTAX_RATE}, 0D) AS python_syntax_rate"),
-        F.expr("try_divide(sum(_codes + _infos + _lengths), sum(_n)) AS avg_reward"),
-        F.expr("try_divide(sum(_codes), sum(_n)) AS avg_code_score"),
-        F.expr("try_divide(sum(_infos), sum(_n)) AS avg_info_score"),
-        F.expr("try_divide(sum(_lengths), sum(_n)) AS avg_len_score"),
+        F.expr("try_divide(count_if(_code) + count_if(_info) + count_if(_length), count(*)) AS avg_reward"),
+        F.expr("try_divide(count_if(_code), count(*)) AS avg_code_score"),
+        F.expr("try_divide(count_if(_info), count(*)) AS avg_info_score"),
+        F.expr("try_divide(count_if(_length), count(*)) AS avg_len_score"),
     )
 
 
-_PARSED = "sum(_copies) FILTER (WHERE _valid)"
-_SYNTAX_RATE = f"try_divide({_PARSED}, sum(_copies))"
+_SYNTAX_RATE = "try_divide(sum(_parsed), sum(_blocks))"
 
 
 def syntax_rate(
@@ -84,22 +64,17 @@ def syntax_rate(
 ) -> DataFrame:
     """``keys, blocks, parsed, python_syntax_rate``, over blocks, not responses.
 
-    Copies collapse into a count per group, within each task and again after the shuffle, before
-    anything is parsed.
+    Groups of ``keys`` without a block have no row.
     """
-    copies = (
-        responses.select(*keys, F.explode(extract(response)).alias("_block"))
-        .groupBy(*keys, "_block")
-        .agg(F.expr("count(*) AS _copies"))
+    counted = (
+        responses.select(*keys, extract(response).alias("_found"))
+        .select(*keys, F.size("_found").alias("_blocks"), parsed_count(F.col("_found")).alias("_parsed"))
+        .filter("_blocks > 0")
     )
-    return (
-        parsed_blocks(copies)
-        .groupBy(*keys)
-        .agg(
-            F.expr("coalesce(sum(_copies), 0) AS blocks"),
-            F.expr(f"coalesce({_PARSED}, 0) AS parsed"),
-            F.expr(f"coalesce({_SYNTAX_RATE}, 0D) AS python_syntax_rate"),
-        )
+    return counted.groupBy(*keys).agg(
+        F.expr("coalesce(sum(_blocks), 0) AS blocks"),
+        F.expr("coalesce(sum(_parsed), 0) AS parsed"),
+        F.expr(f"coalesce({_SYNTAX_RATE}, 0D) AS python_syntax_rate"),
     )
 
 

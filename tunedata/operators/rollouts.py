@@ -19,7 +19,6 @@ from tunedata.functions.reward import with_reward
 from tunedata.functions.text import or_empty
 from tunedata.operators.limits import first_n
 from tunedata.operators.lookup import SPREAD, attach_by_key
-from tunedata.sources.sinks import materialize
 
 
 def rollout_prompt() -> Column:
@@ -53,20 +52,33 @@ def evaluation_requests(
     n: int = EVAL_SAMPLES,
     system_prompt: str = TAG_SYSTEM_PROMPT,
 ) -> DataFrame:
-    """First ``n`` rows as ``order, prompt, request``: the bare prompt and its templated form."""
+    """First ``n`` rows as ``order, prompt, request``: the bare prompt and its templated form.
+
+    An order column named prompt or request gives way to the result of that name. Order by an id or
+    a hash where there is one: the keys of the chosen rows pass through one task.
+    """
     order = [order] if isinstance(order, str) else list(order)
-    chosen = first_n(rows.select(*order, prompt_or_text(rows).alias("_raw")), n, order)
-    return chosen.select(*order, bare_prompt("_raw").alias("prompt")).withColumn(
-        "request", chat_prompt("prompt", system_prompt)
+    names = [f"_by{i}" for i in range(len(order))]
+    keyed = rows.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(order, names, strict=True)],
+        prompt_or_text(rows).alias("_raw"),
+    )
+    prompt = bare_prompt("_raw")
+    kept = [F.col(k).alias(c) for c, k in zip(order, names, strict=True) if c not in ("prompt", "request")]
+    return first_n(keyed, n, names).select(
+        *kept, prompt.alias("prompt"), chat_prompt(prompt, system_prompt).alias("request")
     )
 
 
 def score_rollouts(
     rollouts: DataFrame, ids: Sequence[str], response: str = "response"
 ) -> DataFrame:
-    """``ids`` and ``reward`` of each rollout as a table of its own, without the texts."""
+    """``ids`` and ``reward`` of each rollout, without the texts.
+
+    Write the result before :func:`group_relative` where reading the texts again is dear.
+    """
     narrow = rollouts.select(*ids, F.col(response).alias("_text"))
-    return materialize(with_reward(narrow, "_text").drop("_text"), "rewards")
+    return with_reward(narrow, "_text").drop("_text")
 
 
 def group_relative(
@@ -85,11 +97,15 @@ def group_relative(
     :func:`score_rollouts` gives: they are read three times, and texts would be shuffled along.
     """
     stats = rollouts.groupBy(group).agg(
-        F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_deviation")
+        F.avg(reward).alias("_mean"),
+        F.stddev_samp(reward).alias("_deviation"),
+        (F.min(reward) == F.max(reward)).alias("_equal"),
     )
     score = (F.col(reward) - F.col("_mean")) / (F.coalesce("_deviation", F.lit(0.0)) + F.lit(eps))
+    # A mean of equal numbers may miss them by a rounding error.
+    score = F.when(F.col("_equal") & F.col(reward).isNotNull(), F.lit(0.0)).otherwise(score)
     return (
         attach_by_key(rollouts, stats, group, spread_by=member, spread=spread)
         .withColumn("advantage", score)
-        .drop("_mean", "_deviation")
+        .drop("_mean", "_deviation", "_equal")
     )

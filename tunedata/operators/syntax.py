@@ -1,7 +1,7 @@
-"""Syntax checks of Python blocks: each distinct block is parsed once.
+"""Syntax checks of Python blocks, row by row.
 
-Python's own parser is the one thing here that Spark has no expression for. Spark extracts the
-blocks, removes copies, spreads the rest over Python workers and adds up the verdicts.
+Python's own parser is the one thing here that Spark has no expression for. Blocks are extracted by
+Spark, parsed in Arrow batches where their row lies, and only counts go on: no block is shuffled.
 """
 
 from __future__ import annotations
@@ -10,65 +10,19 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tunedata.functions.fences import python_blocks
-from tunedata.functions.syntax import parse_batches
-from tunedata.operators.lookup import SPREAD, attach_by_key
-from tunedata.sources.sinks import materialize
+from tunedata.functions.syntax import parsed_count
 
 Extractor = Callable[[Column | str], Column]
 
 
-def parsed_blocks(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``_valid`` in place of ``_block``, parsed in Python workers."""
-    others = T.StructType([field for field in blocks.schema if field.name != "_block"])
-    return blocks.mapInArrow(parse_batches, others.add("_valid", T.BooleanType()))
-
-
-def block_hash(block: Column) -> Column:
-    return F.unhex(F.sha2(block, 256))
-
-
-def block_verdicts(blocks: DataFrame) -> DataFrame:
-    """``_hash, _valid`` per distinct ``_block``.
-
-    ``distinct`` removes copies within each task before the shuffle, so a block with a third of
-    all copies arrives once per task; this is the only shuffle of block texts.
-    """
-    distinct = blocks.select("_block").distinct()
-    return parsed_blocks(distinct.select(block_hash(F.col("_block")).alias("_hash"), "_block"))
-
-
 def python_validity(
-    rows: DataFrame,
-    key: Sequence[str],
-    text: str = "response",
-    extract: Extractor = python_blocks,
-    spread: int = SPREAD,
+    rows: DataFrame, key: Sequence[str], text: str = "response", extract: Extractor = python_blocks
 ) -> DataFrame:
-    """``key, python_valid``: at least one block, and all blocks parse.
-
-    ``key`` must identify a row. Texts are scanned twice, for the blocks and for their hashes;
-    past the de-duplication only keys, hashes and verdicts move.
-    """
-    hashed = rows.select(
-        *key, F.array_distinct(F.transform(extract(text), block_hash)).alias("_hashes")
-    )
-    # A row without blocks gets a hash of its own key. It matches no verdict, and unlike a null
-    # it does not send all such rows to one task.
-    parts = [F.col(name).cast("string") for name in key]
-    own = F.array(block_hash(F.concat_ws("\x00", F.lit("no block"), *parts)))
-    found = F.col("_hashes")
-    wanted = materialize(
-        hashed.select(
-            *key, F.explode(F.when(F.size(found) > 0, found).otherwise(own)).alias("_hash")
-        ),
-        "block-hashes",
-    )
-    verdicts = block_verdicts(rows.select(F.explode(extract(text)).alias("_block")))
-    return (
-        attach_by_key(wanted, verdicts, "_hash", spread_by=key, spread=spread)
-        .groupBy(*key)
-        .agg(F.bool_and(F.coalesce("_valid", F.lit(False))).alias("python_valid"))
+    """``key, python_valid``: at least one block, and all blocks parse."""
+    counted = rows.select(*key, extract(text).alias("_blocks")).select(
+        *key, F.size("_blocks").alias("_found"), parsed_count(F.col("_blocks")).alias("_parsed")
     )
+    valid = (F.col("_found") > 0) & (F.col("_found") == F.col("_parsed"))
+    return counted.select(*key, F.coalesce(valid, F.lit(False)).alias("python_valid"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +32,6 @@ from tunedata.operators.rollouts import (
     evaluation_requests,
     group_relative,
     prompt_or_text,
-    prompt_table,
     rollout_requests,
     score_rollouts,
 )
@@ -45,11 +46,9 @@ from tunedata.plans.fixture import (
     responses,
     rollout_stream,
     table,
-    texts,
 )
 from tunedata.plans.preference import load_preference_pairs
 from tunedata.plans.prepare import write_prepared
-from tunedata.session import scratch_path
 from tunedata.sources.jsonl import SFT_RECORD, decode_lines, read_jsonl
 from tunedata.sources.sinks import write_rows
 from tunedata.streaming.monitor import reward_windows, start_reward_monitor
@@ -67,6 +66,20 @@ def query(build: Query) -> Query:
     return build
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table that a query writes and reads back.
+
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. Without that setting a local
+    session gets a temporary folder; any other session is refused.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="tunedata-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -213,7 +226,7 @@ def html_valid_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\n```"),
         F.when(F.col("page_id") % 4 == 0, "\n```html\nno tag < here >\n```").otherwise(""),
     )
-    return texts(spark, folder, "pages").select("page_id", is_valid_html(fenced).alias("html_valid"))
+    return table(spark, folder, "pages").select("page_id", is_valid_html(fenced).alias("html_valid"))
 
 
 @query
@@ -346,12 +359,6 @@ def first_n_(spark: SparkSession, folder: str) -> DataFrame:
     return first_n(table(spark, folder, "conversations"), 200, ROW)
 
 
-@query
-def first_n_ranked(spark: SparkSession, folder: str) -> DataFrame:
-    """The same by ranges, as for an n too large for one task."""
-    return first_n(table(spark, folder, "conversations"), 200, ROW, merge_limit=0)
-
-
 @query
 def training_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Both sets written in one pass and read back."""
@@ -434,12 +441,6 @@ def pref_load(spark: SparkSession, folder: str) -> DataFrame:
 # Prompts and rollouts
 
 
-@query
-def prompt_table_(spark: SparkSession, folder: str) -> DataFrame:
-    """The constant prompt, once per turn of the conversations."""
-    return prompt_table(spark, table(spark, folder, "conversations").count())
-
-
 @query
 def prompt_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """A table with ``text`` but no ``prompt``."""
@@ -449,8 +450,8 @@ def prompt_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def eval_requests(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training(spark, folder)
-    return evaluation_requests(rows, "text").select("prompt", "request")
+    rows = _training(spark, folder).withColumn("order", F.md5("text"))
+    return evaluation_requests(rows, "order", 50).select("prompt", "request")
 
 
 @query

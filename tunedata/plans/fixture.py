@@ -10,23 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.sources.tables import read_table, read_texts
+from tunedata.sources.tables import read_table
 
 EVENT_EPOCH = 1_700_000_000
 
 
 def decorated_sql(pick: str, text: str = "text") -> str:
-    """SQL text of a response: ``text`` with markup, chosen by ``pick`` modulo 8."""
+    """SQL text of a response: the whole ``text`` with markup, chosen by ``pick`` modulo 8.
+
+    Code grows with the rows: most blocks carry the row's number, some are long, some are repeated,
+    and every seventh holds the same block. Those that do not parse contain an open bracket.
+    """
+    name = f"concat('v', cast(({pick}) AS string))"
+    valid = f"concat({name}, ' = 1', chr(10))"
+    broken = f"concat({name}, ' = (', chr(10))"
+    long = (
+        f"concat('def f', {name}, '(a):', chr(10), repeat(concat('    a = a + 1', chr(10)), "
+        f"cast(({pick}) % 97 AS int)), '    return a', chr(10))"
+    )
+    fenced = f"concat('```python', chr(10), {{}}, '```')"
+    either = f"CASE WHEN ({pick}) % 7 = 0 THEN concat('x = 1', chr(10)) WHEN ({pick}) % 3 = 0 THEN {broken} ELSE {valid} END"
     return f"""CASE ({pick}) % 8
  WHEN 0 THEN {text}
- WHEN 1 THEN concat('<info>', {text}, '</info>', chr(10), '<python>', chr(10), 'x = 1', chr(10), '</python>')
- WHEN 2 THEN concat('<PYTHON>', chr(10), 'def f(a):', chr(10), '    return a', chr(10), '</Python>')
+ WHEN 1 THEN concat('<info>', {text}, '</info>', chr(10), '<python>', chr(10), {either}, '</python>')
+ WHEN 2 THEN concat({text}, chr(10), '<PYTHON>', chr(10), {long}, '</Python>')
  WHEN 3 THEN concat('<info>', {text}, '</info>')
- WHEN 4 THEN concat('<info>short one</info>', chr(10), '<python>', chr(10), 'x = (', chr(10), '</python>')
- WHEN 5 THEN concat({text}, chr(10), '```python', chr(10), 'x = 1', chr(10), '```', chr(10), 'done')
- WHEN 6 THEN concat('```html', chr(10), '<p>hi</p>', chr(10), '```', chr(10), 'tail', chr(10),
-                    '```python', chr(10), 'y = 2', chr(10), '```')
- ELSE concat('<info>', {text}, '</info> and <info>', {text}, '</info> <python>pass</python><python>y = </python>')
+ WHEN 4 THEN concat('<info>short one</info>', chr(10), {text}, '<python>', chr(10), {broken}, '</python>')
+ WHEN 5 THEN concat({text}, chr(10), {fenced.format(either)}, chr(10), 'done')
+ WHEN 6 THEN concat({text}, chr(10), '```html', chr(10), '<p>hi</p>', chr(10), '```', chr(10), 'tail', chr(10),
+                    {fenced.format(long)})
+ ELSE concat('<info>', {text}, '</info> and <info>', {text}, '</info> <python>pass</python><python>y = (</python>')
 END"""
 
 
@@ -39,13 +52,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet")
 
 
-def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_texts(spark, f"{folder}/{name}.parquet")
-
-
 def responses(spark: SparkSession, folder: str) -> DataFrame:
     """``conv_id, turn, response`` of all assistant turns."""
-    return decorate_turns(texts(spark, folder, "conversations"))
+    return decorate_turns(table(spark, folder, "conversations"))
 
 
 def decorate_turns(turns: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def decorate_turns(turns: DataFrame) -> DataFrame:
 
 def document_responses(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, source, response`` of all documents."""
-    return texts(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         "doc_id", "source", F.expr(DOCUMENT_SQL).alias("response")
     )
 
@@ -70,8 +79,9 @@ def event_time(rows: DataFrame) -> DataFrame:
 def rollout_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The responses with event time as a stream over the table's files."""
     schema = table(spark, folder, "conversations").schema
-    # The pattern matches a table kept as a single file as well as one kept as a folder.
-    turns = spark.readStream.schema(schema).parquet(f"{folder}/conversations.parquet*")
+    # A pattern lists a table kept as a single file as well as one kept as a folder; this one
+    # matches that name only.
+    turns = spark.readStream.schema(schema).parquet(f"{folder}/conversations.parque[t]")
     return event_time(decorate_turns(turns))
 
 
@@ -101,7 +111,7 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
             F.get(roles, (i % 3).cast("int")).alias("role"), line.alias("content")
         ),
     )
-    return texts(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         number.cast("string").alias("id"),
         F.when(number % 4 == 0, "")
         .when(number % 4 == 1, F.lit(None))

@@ -11,7 +11,6 @@ from tunedata.constants import (
     INFERENCE_SYSTEM_PROMPT,
     METRIC_REPORT,
     PREP_REPORT,
-    ROLLOUT_USER_PROMPT,
     SYSTEM_START,
     TAG_SYSTEM_PROMPT,
     TURN_END,
@@ -28,12 +27,8 @@ _OPENING_TAG = "<[a-zA-Z][^>]*>"
 _SPACES = "concat(chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), ' ')"
 _SPACE_CLASS = r"[\s\x0b\x1c-\x1f]"
 
-# Known answers: the code blocks of the decorated texts that parse.
-_PARSES = (
-    "block IN (concat(chr(10), 'x = 1', chr(10)), "
-    "concat(chr(10), 'def f(a):', chr(10), '    return a', chr(10)), "
-    "'pass', concat('x = 1', chr(10)), concat('y = 2', chr(10)))"
-)
+# By construction: the code blocks of the decorated texts that do not parse open a bracket.
+_PARSES = "NOT contains(block, '= (')"
 
 
 def _text(value: str) -> str:
@@ -329,7 +324,6 @@ SELECT conv_id, status, CASE status WHEN 'malformed' THEN '' ELSE prompt END AS
         "prep_report_gated": f"WITH {_prep_counts(_PYTHON_FENCE)} SELECT * FROM counts",
         "prep_report_syntax_gate": f"WITH {_prep_counts(_PYTHON_FENCES_PARSE)} SELECT * FROM counts",
         "first_n": "SELECT * FROM conversations ORDER BY conv_id, turn LIMIT 200",
-        "first_n_ranked": "SELECT * FROM conversations ORDER BY conv_id, turn LIMIT 200",
         "training_sets": f"""WITH {_TRAINING}
 SELECT text, prompt, chosen, NULL::varchar AS rejected, 'sft' AS kind FROM training
 UNION ALL SELECT NULL, prompt, chosen, rejected, 'dpo' FROM training WHERE rejected IS NOT NULL""",
@@ -347,11 +341,9 @@ WHERE {_hash("conv_id || ':' || turn", '42')} < 2147483648""",
   count(*) FILTER (chosen <> rejected) AS after, count(*) FILTER (chosen = rejected) AS identical
 FROM preferences""",
         "pref_load": f"WITH {_PREFERENCES} SELECT * FROM preferences WHERE chosen <> rejected",
-        "prompt_table": f"""SELECT {_chat(f"'{ROLLOUT_USER_PROMPT}'", TAG_SYSTEM_PROMPT)} AS prompt
-FROM conversations""",
         "prompt_fallback": "SELECT conv_id, turn, text AS prompt FROM conversations",
         "eval_requests": f"""WITH {_TRAINING}, chosen_rows AS (
-  SELECT prompt AS source FROM training ORDER BY text LIMIT 200),
+  SELECT prompt AS source FROM training ORDER BY md5(text) LIMIT 50),
 bare AS (SELECT {_BARE} AS prompt FROM chosen_rows)
 SELECT prompt, {_chat("prompt", TAG_SYSTEM_PROMPT)} AS request FROM bare""",
         "rollout_requests": """SELECT conv_id, turn, text AS prompt, g.gen

@@ -9,5 +9,5 @@ from tunedata.sources.jsonl import PREFERENCE_RECORD, read_jsonl
 
 
 def load_preference_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Strict scan, required columns, no identical pairs."""
-    return informative_pairs(read_jsonl(spark, path, PREFERENCE_RECORD))
+    """Strict scan, no identical pairs; a row without one of the three fields fails the job."""
+    return informative_pairs(read_jsonl(spark, path, PREFERENCE_RECORD, PREFERENCE_RECORD.names))

@@ -49,12 +49,18 @@ def prepare_datasets(
     seed: int = SEED,
     gate: Gate = accept_all,
     system_prompt: str = FENCE_SYSTEM_PROMPT,
+    variants: Sequence[Callable[[Column | str], Column]] = VARIANTS,
+    key: Column | None = None,
 ) -> dict[str, DataFrame | dict[str, int]]:
-    """Prepare a JSON-lines file or folder; returns ``sft``, ``dpo`` and the counters ``stats``."""
+    """Prepare a JSON-lines file or folder; returns ``sft``, ``dpo`` and the counters ``stats``.
+
+    The sample hashes ``key``, by default the id or, without one, the content: then all copies of a
+    record are sampled alike.
+    """
     records = read_jsonl_tolerant(spark, input_path)
     statused = with_status(pair_from_messages(records), gate)
     stats = write_prepared(
-        statused, output_dir, ratio=dpo_rejection_ratio, seed=seed, system_prompt=system_prompt
+        statused, output_dir, key, dpo_rejection_ratio, seed, system_prompt, variants
     )
     return {
         "sft": read_training_set(spark, output_dir, "sft"),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -20,24 +17,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table, in the shared folder ``spark.checkpoint.dir`` names.
-
-    Only a local session may fall back to this machine's temporary folder: elsewhere executors
-    would not see each other's files.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tunedata-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``checkpoint()`` at the shared folder; a folder that is already set stays."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(spark, "checkpoints"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,16 +63,39 @@ def read_jsonl_tolerant(
     return decode_lines(spark.read.text(path), schema)
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Rows of ``schema``; a bad line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+def _must(condition: Column, message: str) -> Column:
+    """True where ``condition`` holds; elsewhere the job fails."""
+    return F.when(condition, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+
+
+def read_jsonl(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, required: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of ``schema``; a line that is not one JSON object fails the job.
+
+    So does a row in which a ``required`` field is absent or null. Partition columns of the path
+    pass through.
+    """
+    return _strict(spark.read.text(path), schema, required)
+
+
+def _strict(lines: DataFrame, schema: T.StructType, required: Sequence[str]) -> DataFrame:
+    rows = decode_lines(lines, schema)
+    rows = rows.filter(_must(~F.col("malformed"), "Malformed JSON line"))
+    for name in required:
+        rows = rows.filter(_must(F.col(name).isNotNull(), f"required field {name} is missing"))
+    return rows.drop("malformed")
 
 
 def read_training_set(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The ``sft`` or ``dpo`` rows that ``write_training_sets`` put below ``path``.
+    """The ``sft`` or ``dpo`` rows below ``path``.
 
-    Reads through the root and prunes to the one folder, so a set without rows is no error.
+    A plain file, a folder of files, or the folder that ``write_training_sets`` made: there the
+    path names the kind, and a kind without rows is no error. Preference pairs must be complete.
     """
     record = {"sft": SFT_RECORD, "dpo": PREFERENCE_RECORD}[kind]
-    schema = T.StructType([*record, T.StructField("kind", T.StringType())])
-    return read_jsonl(spark, path, schema).filter(F.col("kind") == kind).select(record.names)
+    required = record.names if kind == "dpo" else ()
+    lines = spark.read.text(path)
+    if "kind" in lines.columns:
+        lines = lines.filter(F.col("kind") == kind)
+    return _strict(lines, record, required).select(record.names)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunedata.session import scratch_path
-
+_LOCK = Lock()
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -23,27 +23,19 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
-def materialize(rows: DataFrame, name: str) -> DataFrame:
-    """Write narrow rows that several branches read, and read them back.
-
-    Cuts the lineage: the texts behind the rows are scanned once, and a lost executor costs no
-    second pass over them.
-    """
-    spark = rows.sparkSession
-    path = scratch_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 @contextmanager
 def _unsorted_partition_writes(spark: SparkSession, files: int) -> Iterator[None]:
-    """Let a task keep ``files`` files open, so Spark does not sort the rows by folder first."""
-    before = spark.conf.get(_OPEN_FILES)
-    spark.conf.set(_OPEN_FILES, str(files))
-    try:
-        yield
-    finally:
-        spark.conf.set(_OPEN_FILES, before)
+    """Let a task keep ``files`` files open, so Spark does not sort the rows by folder first.
+
+    The setting is the session's; the lock keeps two of these writes from restoring each other's.
+    """
+    with _LOCK:
+        before = spark.conf.get(_OPEN_FILES)
+        spark.conf.set(_OPEN_FILES, str(files))
+        try:
+            yield
+        finally:
+            spark.conf.set(_OPEN_FILES, before)
 
 
 def write_training_sets(training: DataFrame, path: str, fmt: str = "json") -> None:

@@ -7,16 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose texts are about to be searched, on enough tasks to use the cluster.
-
-    Spark cuts a small file into a split per core but cannot read less than a row group, so most
-    of those splits are empty and one core does the work. If all splits fit in one wave of tasks,
-    which bounds the table to one split size per core, its rows are dealt out evenly first. A
-    larger table is never shuffled here. Asking a plain scan for its splits runs no job.
-    """
-    rows = read_table(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() <= cores else rows
