@@ -3,10 +3,14 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tunedata.plans import fixture
-from tunedata.streaming.monitor import reward_windows, start_reward_monitor
+from tunedata.streaming.monitor import (
+    late_rows,
+    read_reward_windows,
+    reward_windows,
+    start_reward_monitor,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +18,9 @@ FOLDER = "/root/testdata/sf0.001"
 def drain(windows, base):
     query = start_reward_monitor(windows, f"{base}/out", f"{base}/state", every=None)
     query.awaitTermination()
-    return {r.window_start: tuple(r) for r in windows.sparkSession.read.parquet(f"{base}/out").collect()}
-
-
-def closed(windows, latest, delay):
-    found = {r.window_start: tuple(r) for r in windows.collect()}
-    return {start: row for start, row in found.items() if row[1] <= latest - delay}
+    found = read_reward_windows(windows.sparkSession, f"{base}/out", windows.schema).collect()
+    assert len({r.window_start for r in found}) == len(found)
+    return {r.window_start: tuple(r) for r in found}, late_rows(query)
 
 
 @pytest.mark.parametrize("layout", ["file", "folder"])
@@ -30,9 +31,9 @@ def test_stream_equals_batch(spark, tmp_path, layout):
         turns = fixture.table(spark, FOLDER, "conversations").repartition(5)
         turns.write.parquet(f"{folder}/conversations.parquet")
     batch = fixture.event_time(fixture.responses(spark, folder))
-    latest = batch.agg(F.max("event_time")).first()[0]
-    expected = closed(reward_windows(batch), latest, datetime.timedelta(minutes=10))
-    assert expected and drain(reward_windows(fixture.rollout_stream(spark, folder)), tmp_path) == expected
+    expected = {r.window_start: tuple(r) for r in reward_windows(batch).collect()}
+    found, late = drain(reward_windows(fixture.rollout_stream(spark, folder)), tmp_path)
+    assert expected and found == expected and late == 0
 
 
 def at(minute, text="<info>a</info>", source="x"):
@@ -54,14 +55,18 @@ def windows_of(spark, tmp_path, **options):
 def test_late_rows_and_restarts(spark, tmp_path):
     """A row within the delay still counts, one beyond it is dropped; state outlives a restart."""
     arrive(spark, tmp_path, "1", [at(1), at(2), at(12)])
-    first = drain(windows_of(spark, tmp_path), tmp_path)
-    assert first == {}  # latest 12 - 10 = 2: nothing is closed
+    first, late = drain(windows_of(spark, tmp_path), tmp_path)
+    assert {k.minute: row[2] for k, row in first.items()} == {0: 2, 10: 1} and late == 0
     arrive(spark, tmp_path, "2", [at(3, ""), at(30)])
-    second = drain(windows_of(spark, tmp_path), tmp_path)
-    assert {k.minute: (row[2], row[3]) for k, row in second.items()} == {0: (3, pytest.approx(4 / 3)), 10: (1, 2.0)}
+    second, late = drain(windows_of(spark, tmp_path), tmp_path)
+    assert {k.minute: (row[2], row[3]) for k, row in second.items()} == {
+        0: (3, pytest.approx(4 / 3)), 10: (1, 2.0), 30: (1, 2.0)
+    } and late == 0
     arrive(spark, tmp_path, "3", [at(4), at(11), at(60)])
-    third = drain(windows_of(spark, tmp_path), tmp_path)
-    assert {k.minute: row[2] for k, row in third.items()} == {0: 3, 10: 1, 30: 1}
+    third, late = drain(windows_of(spark, tmp_path), tmp_path)
+    assert {(k.hour, k.minute): row[2] for k, row in third.items()} == {
+        (0, 0): 3, (0, 10): 1, (0, 30): 1, (1, 0): 1
+    } and late == 2
 
 
 def test_keys(spark, tmp_path):
@@ -69,5 +74,8 @@ def test_keys(spark, tmp_path):
     base = str(tmp_path)
     query = start_reward_monitor(windows_of(spark, tmp_path, keys=["source"]), f"{base}/out", f"{base}/s", every=None)
     query.awaitTermination()
-    rows = spark.read.parquet(f"{base}/out").collect()
-    assert {(r.source, r.n, r.avg_reward) for r in rows} == {("x", 1, 2.0), ("y", 2, 1.0)}
+    windows = windows_of(spark, tmp_path, keys=["source"])
+    rows = read_reward_windows(spark, f"{base}/out", windows.schema).collect()
+    assert {(r.source, r.n, r.avg_reward, r.window_start.minute) for r in rows} == {
+        ("x", 1, 2.0, 0), ("y", 2, 1.0, 0), ("x", 1, 2.0, 50)
+    }

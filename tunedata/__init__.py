@@ -44,6 +44,11 @@ from tunedata.plans.evaluate import evaluate_responses
 from tunedata.plans.prepare import prepare_datasets
 from tunedata.plans.preference import load_preference_pairs
 from tunedata.sources.jsonl import read_jsonl, read_jsonl_tolerant
-from tunedata.streaming.monitor import reward_windows, start_reward_monitor
+from tunedata.streaming.monitor import (
+    late_rows,
+    read_reward_windows,
+    reward_windows,
+    start_reward_monitor,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -51,7 +51,7 @@ from tunedata.plans.preference import load_preference_pairs
 from tunedata.plans.prepare import write_prepared
 from tunedata.sources.jsonl import SFT_RECORD, decode_lines, read_jsonl
 from tunedata.sources.sinks import write_rows
-from tunedata.streaming.monitor import reward_windows, start_reward_monitor
+from tunedata.streaming.monitor import read_reward_windows, reward_windows, start_reward_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -489,9 +489,8 @@ def reward_window_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reward_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same as a stream: windows that are closed once all rows have been read."""
+    """The same as a stream: all windows, the open ones too, once all rows have been read."""
     base = scratch_path(spark, "reward-stream")
     windows = reward_windows(rollout_stream(spark, folder))
     start_reward_monitor(windows, f"{base}/windows", f"{base}/state", every=None).awaitTermination()
-    written = spark.read.schema(windows.schema).parquet(f"{base}/windows")
-    return _epoch_windows(written)
+    return _epoch_windows(read_reward_windows(spark, f"{base}/windows", windows.schema))

@@ -233,7 +233,7 @@ def _relative(source: str, group: str, member: str) -> str:
 SELECT {group}, {member}, reward, round(gap / (deviation + 1e-4), 6) AS advantage FROM stats"""
 
 
-def _windows(closed: str = "true") -> str:
+def _windows() -> str:
     return f"""WITH {_RESPONSES}, {_CHECKS},
 timed AS (SELECT *, {EVENT_EPOCH} + conv_id * 60 + turn AS seconds FROM scored),
 windows AS (SELECT (seconds // 300) * 300 AS window_start, (seconds // 300) * 300 + 300 AS window_end,
@@ -241,7 +241,7 @@ windows AS (SELECT (seconds // 300) * 300 AS window_start, (seconds // 300) * 30
   round(avg(has_code::int), 6) AS avg_code_score, round(avg(has_info::int), 6) AS avg_info_score,
   round(avg(info_len::int), 6) AS avg_len_score, round(avg((reward = 3)::int), 6) AS format_compliance
 FROM timed GROUP BY ALL)
-SELECT * FROM windows WHERE {closed}"""
+SELECT * FROM windows"""
 
 
 def _corrupt(variant: str) -> str:
@@ -351,5 +351,5 @@ FROM conversations CROSS JOIN range(4) AS g(gen) WHERE role = 'user'""",
         "group_relative_reward": _relative(_RESPONSES, "conv_id", "turn"),
         "group_relative_by_source": _relative(_DOCUMENTS, "source", "doc_id"),
         "reward_window_table": _windows(),
-        "reward_stream": _windows("window_end <= (SELECT max(seconds) FROM timed) - 600"),
+        "reward_stream": _windows(),
     }

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tunedata.functions.reward import with_breakdown
 
+MEANS = (
+    "n", "avg_reward", "avg_reward_total", "avg_code_score", "avg_info_score", "avg_len_score",
+    "format_compliance",
+)
+
 
 def reward_windows(
     rollouts: DataFrame,
@@ -50,17 +56,40 @@ def reward_windows(
 def start_reward_monitor(
     windows: DataFrame, output: str, checkpoint: str, every: str | None = "1 minute"
 ) -> StreamingQuery:
-    """Append closed windows to a Parquet table, exactly once.
+    """Write the windows of a stream to a Parquet table; read it by :func:`read_reward_windows`.
 
-    ``every=None`` handles what is there and stops. ``checkpoint`` and ``output`` must be on
-    storage that all executors share; a restart with the same checkpoint goes on where it was.
+    With a period, closed windows are appended, exactly once. ``every=None`` handles what is there
+    and stops; such a run delivers the windows that are still open as well: every batch writes those
+    that it changed to a folder of its own, over again if it is repeated. ``checkpoint`` and ``output``
+    must be on storage that all executors share; a restart with the same checkpoint goes on where it
+    was. Rows later than the delay are dropped; :func:`late_rows` counts them.
     """
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (
-        windows.writeStream.format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+    stream = windows.writeStream.option("checkpointLocation", checkpoint)
+    if every is not None:
+        appended = stream.format("parquet").option("path", output).outputMode("append")
+        return appended.trigger(processingTime=every).start()
+
+    def write(changed: DataFrame, number: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    return stream.foreachBatch(write).outputMode("update").trigger(availableNow=True).start()
+
+
+def read_reward_windows(spark: SparkSession, output: str, schema: StructType) -> DataFrame:
+    """The windows below ``output``, each as its latest batch left it."""
+    rows = spark.read.parquet(output)
+    if "batch" not in rows.columns:
+        return rows.select(schema.names)
+    names = [name for name in schema.names if name not in MEANS]
+    latest = rows.groupBy(*names).agg(F.max("batch").alias("_latest"))
+    latest = latest.select(*[F.col(name).alias(f"_{name}") for name in names], "_latest")
+    same = F.col("batch") == F.col("_latest")
+    for name in names:
+        same &= F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return rows.join(latest, same).select(schema.names)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the batches of a query still in its progress history dropped as too late."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
