@@ -13,7 +13,9 @@ import struct
 import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ CHUNK = 1_000_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _SEGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_SIMPLE = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -181,40 +183,52 @@ class Encoder:
         self.segments: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, missing: list[str]) -> None:
-        cuts: dict[str, tuple[str, ...]] = {}
-        unknown: dict[str, None] = {}
+    def _learn(self, missing: set[str]) -> None:
+        pieces, segments = self.pieces, self.segments
+        cuts: list[tuple[str, str, str]] = []  # segment and its one or two encoded parts
+        unknown: set[str] = set()
         for segment in missing:
             match = _SIMPLE.fullmatch(segment)
-            if match:
-                space, word, marks = match.groups()
-                cut = (space, word) if space == "\n" else (space + word,)
-                cut += (marks,) if marks else ()
+            if match is None:
+                first, second = segment, ""
             else:
-                cut = (segment,)
-            cuts[segment] = cut
-            for piece in cut:
-                if piece not in self.pieces:
-                    unknown[piece] = None
-        found = self.tokenizer.encode_batch_fast(list(unknown), add_special_tokens=False)
-        for piece, encoding in zip(unknown, found, strict=True):
-            self.pieces[piece] = np.array(encoding.ids, "<u4").tobytes()
-        for segment, cut in cuts.items():
-            known = [self.pieces[piece] for piece in cut]
-            self.segments[segment] = known[0] if len(known) == 1 else b"".join(known)
+                first, second = match.groups()
+            cuts.append((segment, first, second))
+            if first not in pieces:
+                unknown.add(first)
+            if second and second not in pieces:
+                unknown.add(second)
+        parts = list(unknown)
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        for piece, encoding in zip(parts, found, strict=True):
+            pieces[piece] = array("I", encoding.ids).tobytes()
+        for segment, first, second in cuts:
+            segments[segment] = pieces[first] + pieces[second] if second else pieces[first]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.segments) > self.memo:
+        if len(self.segments) > self.memo:  # they are soon put together again from the pieces
             self.segments.clear()
-        if len(self.pieces) > self.memo:
+        if len(self.pieces) > 2 * self.memo:
             self.pieces.clear()
-            self.segments.clear()
         cut = [_SEGMENT.findall(text) for text in texts]
-        missing = list({s for one in cut for s in one if s not in self.segments})
+        get = self.segments.get
+        found = [list(map(get, one)) for one in cut]
+        missing = {s for one, ids in zip(cut, found, strict=True) if None in ids for s, i in zip(one, ids) if i is None}
         if missing:
             self._learn(missing)
-        get = self.segments.__getitem__
-        return [np.frombuffer(b"".join(map(get, one)), "<u4") for one in cut]
+            get = self.segments.__getitem__
+            for n, (one, ids) in enumerate(zip(cut, found, strict=True)):
+                if None in ids:
+                    found[n] = [i or get(s) for s, i in zip(one, ids)]
+        return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
+
+
+def _worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: Spark keeps workers, so what one task learned serves the next."""
+    held = sys.modules.setdefault("_tunedata_encoders", ModuleType("_tunedata_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -262,7 +276,7 @@ def write_tokens(
         encoder = writer = None
         for keys, texts in _chunks(batches):
             if writer is None:
-                encoder = Encoder(tokenizer)
+                encoder = _worker_encoder(tokenizer)
                 bits = bits_for(encoder.tokenizer.get_vocab_size())
                 part = TaskContext.get().partitionId()
                 path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tok"
