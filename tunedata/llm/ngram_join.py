@@ -9,8 +9,8 @@ formed as a whole:
   table of fixed size tells, which counts n-grams by the leading bits of their hashes.
 * Within a block every row is first paired with few hubs only. Verified pairs join rows to groups,
   and the remaining entries of the block, between rows of different groups, are made afterwards.
-  Sizes, positions and counts of shared columns discard pairs that cannot reach the threshold.
-* What is left gets its whole overlap counted.
+  Sizes and positions discard pairs that cannot reach the threshold any more.
+* What is left gets its whole overlap counted, and is discarded below the bound.
 """
 
 from __future__ import annotations
@@ -227,7 +227,7 @@ def linked(
     sets, sets_path = materialize(_read_sets(docs, key, text, width), "sets")
     rows = sets.filter(F.col("block").isNull()).select("key", "pick", "n", "sid")
     levels = _rarity(sets.filter(F.col("block").isNotNull()).select("block", "counts"))
-    entries, entries_path = materialize(_entries(docs, text, width, percent, levels), "entries")
+    entries = _entries(docs, text, width, percent, levels)  # made twice: dearer to write than to make
 
     flips = F.array(*[F.lit(x).cast("bigint") for x in FLIPS])
     flip = F.element_at(flips, (F.pmod("gram", F.lit(len(FLIPS))) + 1).cast("int"))
@@ -239,7 +239,6 @@ def linked(
         .select("gram", F.col("low").bitwiseXOR(flip).alias("hub"))
     )
     shared, shared_path = materialize(entries.join(hubs, "gram"), "shared")
-    discard(spark, entries_path)
 
     hub_entries = shared.filter(F.col("sid") == F.col("hub")).select("gram", "sid", "n", "place").distinct()
     a, b = shared.alias("a"), hub_entries.alias("b")
@@ -263,18 +262,9 @@ def linked(
     )
     open_entries, open_path = materialize(placed.join(mixed, "gram", "left_semi").distinct(), "open")
     a, b = open_entries.alias("a"), open_entries.alias("b")
-    need = (F.col("a.n") + F.col("b.n")) * percent
-    suffix = F.floor(F.greatest("a.n", "b.n") * percent / 100)
-    product = a.join(
-        b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") < F.col("b.root")) & _close(percent)
-    ).groupBy(F.col("a.sid").alias("x"), F.col("b.sid").alias("y"))
-    # Shared entries plus all that may follow the shorter list must still reach the bound.
-    bounded = product.agg(
-        F.count(F.lit(1)).alias("overlap"),
-        F.max(_reaches(percent)).alias("reach"),
-        F.max(suffix + 1).alias("suffix"),
-        F.max(need).alias("need"),
-    ).filter(F.col("reach") & ((F.col("overlap") + F.col("suffix")) * (100 + percent) >= F.col("need")))
+    apart = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") < F.col("b.root"))
+    product = a.join(b, apart & _close(percent) & _reaches(percent))
+    bounded = product.select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
     tried = first.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
     second = bounded.select(*_ordered("x", "y")).join(
         tried, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"
