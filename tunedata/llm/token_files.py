@@ -330,7 +330,9 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                     yield batch(rows)
 
     schema = "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return files.repartition("path").mapInArrow(read, schema + ", ids array<bigint>" * with_ids)
+    # A given number of tasks: AQE would merge the few small rows of a manifest into one task that reads all files.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInArrow(read, schema + ", ids array<bigint>" * with_ids)
 
 
 def tokenize(docs: DataFrame, tokenizer: str, folder: str | None = None, **options) -> DataFrame:
