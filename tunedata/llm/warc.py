@@ -339,7 +339,9 @@ def read_warc(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     carries: empty for a revisit.
     """
     files = manifest.select("path", F.col("records").cast("bigint").alias("records"))
-    return files.repartition("path").mapInArrow(_reader(with_payload), RECORD)
+    # A given number of tasks: AQE would merge the few small rows of a manifest into one task that reads all archives.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInArrow(_reader(with_payload), RECORD)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
