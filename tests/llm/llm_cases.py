@@ -58,6 +58,6 @@ def remainder(doc_id, divisor):
 def write_tables(spark, folder, rows=None):
     """A folder of tables with the odd rows, for the registered queries."""
     frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
-    for name in ("benchmark", "labels", "pages"):
+    for name in ("benchmark", "labels", "pages", "conversations", "embeddings"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     return str(folder)

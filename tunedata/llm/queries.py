@@ -14,10 +14,13 @@ from tunedata.llm.language import identify, learn_dictionaries
 from tunedata.llm.lm import score
 from tunedata.llm.mixing import mixed_sizes
 from tunedata.llm.ngram_join import linked
+from tunedata.llm.prefix_trie import rebuilt_prefixes
 from tunedata.llm.quality import fit, with_scores, with_statistics
+from tunedata.llm.sharding import sharded_documents
 from tunedata.llm.substrings import removals
 from tunedata.llm.token_files import tokenize
 from tunedata.llm.warc import archive_pages
+from tunedata.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +103,18 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score(table(spark, folder, "documents"), id_remainder(7) == 2)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return rebuilt_prefixes(table(spark, folder, "conversations"))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharded_documents(table(spark, folder, "documents"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
 _QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -113,6 +128,9 @@ _QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_decontamination,
         op10_lm_scoring,
+        op11_prefix_trie,
+        op12_sharding,
+        op13_whitening,
     )
 }
 
