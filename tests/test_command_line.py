@@ -43,3 +43,20 @@ def test_plain_files_and_mistakes(spark, tmp_path, capsys):
     (tmp_path / "responses.jsonl").write_text('{"response": "x"}\n')
     with pytest.raises(Exception, match="reponse"):
         main(["evaluate", "--responses", str(tmp_path / "responses.jsonl"), "--column", "reponse"])
+
+
+def test_gates_corruptions_and_quarantine(spark, tmp_path, capsys):
+    """A response must pass every gate; pairs are damaged in the chosen way only."""
+    raw = [{"id": str(i), "prompt": "q", "response": f"```python\nx = {'(' if i % 2 else i}\n```\n"} for i in range(30)]
+    raw += [{"id": "h", "prompt": "q", "response": "no fence"}]
+    (tmp_path / "raw.jsonl").write_text("\n".join(map(json.dumps, raw)) + "\n{bad\n")
+    data = tmp_path / "data"
+    main(["prepare", "--input", str(tmp_path / "raw.jsonl"), "--output", str(data), "--dpo-ratio", "1",
+          "--gate", "python", "valid-python", "--corrupt", "js", "--quarantine"])
+    shown = dict(line.strip().split(": ") for line in capsys.readouterr().out.splitlines())
+    assert shown == {"sft": "15", "dpo": "15", "skipped": "17", "malformed": "1", "empty": "0", "noncompliant": "16"}
+    pairs = spark.read.json(str(data / "kind=dpo")).collect()
+    assert {r.rejected == r.chosen.replace("```python", "```js") for r in pairs} == {True}
+    assert spark.read.json(str(data / "kind=quarantine")).count() == 17
+    with pytest.raises(SystemExit):
+        main(["prepare", "--input", "x", "--gate", "unknown"])

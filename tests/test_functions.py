@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunedata.constants import FENCE_SYSTEM_PROMPT, WHITESPACE, WHITESPACE_CLASS
 from tunedata.functions import chat, corrupt, fences, reward, sampling, syntax, tags, text
+from tunedata.functions.reward import breakdown_text, explain_reward, reward_function, with_rewards
 
 TEXTS = rules.random_texts(3000) + ["", " ", "<info></info>", "<python></python>", "```python\n```"]
 
@@ -200,3 +201,31 @@ def test_sample_depends_on_key_and_seed_only(spark):
     other = {r.id for r in spark.range(50).filter(sampling.in_sample("id", 0.5, seed=1)).collect()}
     assert few == {i for i in many if i < 50}
     assert few != other
+
+
+def test_registered_rewards_and_text_form(spark):
+    long = " ".join(["w"] * 12)
+    texts = ["", "<python>x</python>", f"<info>{long}</info>", f"<info>{long}</info><python>x</python>", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, response string")
+
+    def length(checks):
+        return F.when(checks.response != "", F.length(checks.response))
+
+    weights = {"format": 2.0, "checks": 1, "all_checks": 0.5, "compliant": 1.0, "length": (0.25, length), "blocks": lambda c: F.size(c.info_blocks)}
+    scored = with_rewards(rows, weights)
+    assert scored.columns == ["i", "response", *(f"reward_{n}" for n in weights), "reward"]
+    for row in scored.collect():
+        plain = [2.0 * row.reward_format, row.reward_checks, 0.5 * row.reward_all_checks, row.reward_compliant]
+        text = texts[row.i] or ""
+        assert row.reward == sum(plain) + 0.25 * len(text) + row.reward_blocks
+        assert row.reward_length == (len(text) or None) and row.reward_blocks == text.count("<info>")
+        assert row.reward_compliant == float(row.reward_format == 3)
+    with pytest.raises(ValueError, match="no reward 'formt'; there are all_checks, checks"):
+        with_rewards(rows, {"formt": 1.0})
+    with pytest.raises(ValueError):
+        with_rewards(rows, {})
+    with pytest.raises(ValueError, match="already"):
+        reward_function("format")(length)
+    shown = {r.i: r.t for r in rows.select("i", breakdown_text(explain_reward("response")).alias("t")).collect()}
+    assert shown[0] == "RewardBreakdown(has_code=False, has_info=False, info_len=False, total=0.0)"
+    assert shown[3] == "RewardBreakdown(has_code=True, has_info=True, info_len=True, total=3.0)"

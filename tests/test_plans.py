@@ -5,6 +5,7 @@ import re
 import pytest
 
 from __spark_entry__ import entry
+from tunedata.operators.limits import first_n
 from tunedata.operators.prep import pair_from_messages, training_rows, with_status
 from tunedata.plans import fixture
 from tunedata.plans.catalog import all_queries as queries
@@ -15,6 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 PYTHON = {
     "eval_metrics", "eval_metrics_all_checks", "eval_by_source", "metrics_report", "syntax_rate",
     "syntax_rate_by_source", "python_valid", "python_valid_column", "prep_report_syntax_gate",
+    "jsonl_roundtrip", "pref_load", "jsonl_quarantine",
 }
 
 
@@ -74,15 +76,19 @@ def test_no_block_text_is_shuffled(spark):
         assert "Exchange" not in plan(queries()[name](spark, FOLDER)), name
 
 
-def test_first_rows_are_chosen_by_narrow_keys(spark):
-    """The top n runs over keys and hashes; the texts behind them are fetched by a join."""
-    for name in ("first_n", "eval_requests"):
-        text = plan(queries()[name](spark, FOLDER))
-        assert "rangepartitioning" not in text, name
-        top = re.search(r"TakeOrderedAndProject\(.*", text).group()
-        output = re.search(r"output=\[(.*)\]", top).group(1)
-        assert "text" not in output and "_raw" not in output, name
-        assert "_tie" in output, name
+def test_first_rows_are_a_filter(spark):
+    """What is left after the keys were looked at is one scan with the n-th key pushed into it."""
+    text = plan(first_n(fixture.table(spark, FOLDER, "conversations"), 50, ("conv_id", "turn")))
+    assert "Exchange" not in text and "Join" not in text and text.count("FileScan") == 1
+    assert "LessThanOrEqual(conv_id," in text
+    requests = plan(queries()["eval_requests"](spark, FOLDER))
+    assert "Join" not in requests and "TakeOrdered" not in requests and requests.count("FileScan") == 1
+
+
+def test_rewards_share_their_patterns(spark):
+    text = plan(queries()["reward_functions"](spark, FOLDER))
+    assert len(re.findall(r"regexp_extract_all\(", text)) == 1
+    assert text.count(r"\A(?:[^<]++|<(?!(?iu:python)>))") == 1
 
 
 def test_row_local_queries_do_not_shuffle_by_key(spark):

@@ -1,12 +1,14 @@
 """Prompt tables, requests, first n, group-relative scores and the salted lookup."""
 
+import datetime
+import decimal
+import re
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tunedata.constants import TAG_SYSTEM_PROMPT
-from tunedata.operators import limits
 from tunedata.operators.limits import first_n
 from tunedata.operators.lookup import attach_by_key
 from tunedata.operators.rollouts import (
@@ -59,22 +61,54 @@ def test_first_n(spark, n):
 
 
 def test_first_n_with_ties_and_repeats(spark):
-    """The same rows from any partitioning, and beyond the bound for a broadcast."""
+    """The same rows from any partitioning."""
     rows = [(i % 3, f"v{i // 2}", None if i % 5 == 0 else i % 7) for i in range(100)] + [(0, "same", 1)] * 30
     frame = spark.createDataFrame(rows, "k int, v string, _order0 int")
-    limits.BROADCAST_KEYS, before = 100, limits.BROADCAST_KEYS
-    try:
-        for n in (5, 40, 101, 200):
-            found = {
-                str(sorted(map(str, first_n(frame.repartition(parts), n, ["k"] if n != 40 else ["_order0", "k"]).collect())))
-                for parts in (1, 4, 16)
-            }
-            assert len(found) == 1
-            assert first_n(frame, n, "k").count() == min(n, len(rows))
-            keys = sorted(r.k for r in first_n(frame, n, "k").collect())
-            assert keys == sorted(k for k, _, _ in rows)[:n]
-    finally:
-        limits.BROADCAST_KEYS = before
+    for n in (5, 40, 101, 200):
+        order = ["k"] if n != 40 else ["_order0", "k"]
+        found = {str(sorted(map(str, first_n(frame.repartition(parts), n, order).collect()))) for parts in (1, 4, 16)}
+        assert len(found) == 1
+        assert first_n(frame, n, "k").count() == min(n, len(rows))
+        keys = sorted(r.k for r in first_n(frame, n, "k").collect())
+        assert keys == sorted(k for k, _, _ in rows)[:n]
+
+
+def test_first_n_of_equal_keys(spark):
+    """A million rows with one key: the hash decides, and copies are repeated without being gathered."""
+    rows = spark.range(1_000_000).selectExpr("1 AS k", "id % 1000 AS v", "'text' AS t")
+    found = first_n(rows, 2_500, "k").groupBy("v").count().collect()
+    assert sorted(r["count"] for r in found) == [500, 1000, 1000]
+    assert {r.v for r in found} == {r.v for r in first_n(rows.repartition(5), 2_500, "k").distinct().collect()}
+    same = spark.range(100_000).selectExpr("1 AS k", "'same' AS t")
+    assert first_n(same, 70_000, "k").count() == 70_000 and first_n(same, 200_000, "k").count() == 100_000
+
+
+KEYS = {
+    "string": ["b", "", "a", "\u00e9", "'", None],
+    "binary": [b"b", b"", b"\x00", None],
+    "boolean": [True, False, None],
+    "int": [3, -1, 0, None],
+    "double": [1.5, -0.1, float("nan"), float("inf"), 1e-300, None],
+    "float": [0.1, 2.5, float("nan"), None],
+    "decimal(20,3)": [decimal.Decimal("1.250"), decimal.Decimal("-7"), None],
+    "date": [datetime.date(2024, 2, 29), datetime.date(1, 1, 1), None],
+    "timestamp": [datetime.datetime(2024, 10, 27, 2, 30, 0, 1), datetime.datetime(1969, 7, 20), None],
+    "timestamp_ntz": [datetime.datetime(2024, 10, 27, 2, 30, 0, 1), datetime.datetime(1969, 7, 20), None],
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_first_n_by_any_type_of_key(spark, kind):
+    rows = [(value, i) for i, value in enumerate(KEYS[kind] * 2)]
+    frame = spark.createDataFrame(rows, f"`a key` {kind}, i int").repartition(3)
+    for n in (0, 1, 3, len(rows) - 1, len(rows) + 1):
+        wanted = [r[0] for r in frame.select("a key").orderBy("a key").limit(n).collect()]
+        found = first_n(frame, n, "a key").orderBy("a key").collect()
+        assert str([r[0] for r in found]) == str(wanted) and len({r.i for r in found}) == len(found)
+        both = first_n(frame, n, ["a key", "i"]).orderBy("a key", "i").collect()
+        assert str(both) == str(frame.orderBy("a key", "i").limit(n).collect())
+    with pytest.raises(ValueError, match="atomic"):
+        first_n(spark.range(3).selectExpr("array(id) AS a"), 1, "a")
 
 
 def test_requests_in_the_order_of_their_prompts(spark):
@@ -139,6 +173,32 @@ def test_lookup_keeps_rows_without_a_match(spark):
     assert found == {1: 10, 2: None, 3: 30}
 
 
+def test_group_relative_scans_once(spark, tmp_path):
+    """The dealt rows serve moments and result: one scan, three exchanges, no row of texts shuffled."""
+    spark.range(2000).selectExpr("id % 3 AS g", "id AS m", "'<info>a</info>' AS response").write.parquet(str(tmp_path / "r"))
+    scored = score_rollouts(spark.read.parquet(str(tmp_path / "r")), ["g", "m"])
+    found = group_relative(scored, "g", ["m"])
+    assert found.filter("advantage <> 0").count() == 0
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+    assert len(re.findall(r"\+- Exchange|:- Exchange", plan)) == 3
+    assert "SortMergeJoin" not in plan
+
+
+def test_moments_of_far_off_rewards(spark):
+    """A large mean and a small spread: sums of squares would lose it."""
+    rows = [("a", i, 1e9 + i % 7) for i in range(500)]
+    frame = spark.createDataFrame(rows, "g string, m int, reward double").repartition(4)
+    expected = relative([r for _, _, r in rows])
+    for row in group_relative(frame, "g", ["m"], spread=16).collect():
+        assert row.advantage == pytest.approx(expected[row.m], abs=1e-6)
+    empty = spark.createDataFrame([("a", 1, None), ("b", 1, None), ("b", 2, 1.0)], "g string, m int, reward double")
+    assert {(r.g, r.m): r.advantage for r in group_relative(empty, "g", ["m"]).collect()} == {
+        ("a", 1): None, ("b", 1): None, ("b", 2): 0.0
+    }
+
+
 def test_score_rollouts_leaves_the_texts_behind(spark):
     rows = spark.createDataFrame([(1, "<info>a</info>"), (2, "")], "id int, response string")
     scored = score_rollouts(rows, ["id"])

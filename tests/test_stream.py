@@ -6,6 +6,7 @@ import pytest
 
 from tunedata.plans import fixture
 from tunedata.streaming.monitor import (
+    compact_reward_windows,
     late_rows,
     read_reward_windows,
     reward_windows,
@@ -20,7 +21,7 @@ def drain(windows, base):
     query.awaitTermination()
     found = read_reward_windows(windows.sparkSession, f"{base}/out", windows.schema).collect()
     assert len({r.window_start for r in found}) == len(found)
-    return {r.window_start: tuple(r) for r in found}, late_rows(query)
+    return {r.window_start: tuple(r) for r in found}, late_rows(windows.sparkSession, f"{base}/out")
 
 
 @pytest.mark.parametrize("layout", ["file", "folder"])
@@ -69,6 +70,45 @@ def test_late_rows_and_restarts(spark, tmp_path):
     } and late == 2
 
 
+def test_bounded_and_continuous_runs_share_output_and_late_rows(spark, tmp_path):
+    """One checkpoint, both kinds of run, a compaction in between: windows and late rows go on."""
+    base = str(tmp_path)
+
+    def read():
+        schema = windows_of(spark, tmp_path).schema
+        rows = read_reward_windows(spark, f"{base}/out", schema).collect()
+        return {r.window_start.minute: r.n for r in rows}
+
+    arrive(spark, tmp_path, "1", [at(1), at(12)])
+    drain(windows_of(spark, tmp_path), tmp_path)
+    arrive(spark, tmp_path, "2", [at(3), at(50)])
+    monitor = start_reward_monitor(windows_of(spark, tmp_path), f"{base}/out", f"{base}/state", every="0 seconds")
+    monitor.processAllAvailable()
+    monitor.stop()
+    assert read() == {0: 2, 10: 1, 50: 1} and late_rows(spark, f"{base}/out") == 0
+    schema = windows_of(spark, tmp_path).schema
+    last = compact_reward_windows(spark, f"{base}/out", schema)
+    assert [p.name for p in (tmp_path / "out").glob("ba*=*")] == [f"base={last}"] and read() == {0: 2, 10: 1, 50: 1}
+    arrive(spark, tmp_path, "3", [at(2), at(51), at(13)])
+    arrive(spark, tmp_path, "4", [at(55)])
+    _, late = drain(windows_of(spark, tmp_path), tmp_path)
+    assert read() == {0: 2, 10: 1, 50: 2, 55: 1} and late == 2
+    _, late = drain(windows_of(spark, tmp_path), tmp_path)
+    assert late == 2
+    compact_reward_windows(spark, f"{base}/out", schema)
+    assert compact_reward_windows(spark, f"{base}/out", schema) > last and read() == {0: 2, 10: 1, 50: 2, 55: 1}
+
+
+def test_half_written_base_is_not_read(spark, tmp_path):
+    arrive(spark, tmp_path, "1", [at(1), at(12)])
+    drain(windows_of(spark, tmp_path), tmp_path)
+    (tmp_path / "out" / "base=99").mkdir()
+    schema = windows_of(spark, tmp_path).schema
+    assert read_reward_windows(spark, str(tmp_path / "out"), schema).count() == 2
+    assert read_reward_windows(spark, str(tmp_path / "none"), schema).count() == 0
+    assert late_rows(spark, str(tmp_path / "none")) == 0
+
+
 def test_keys(spark, tmp_path):
     arrive(spark, tmp_path, "1", [at(1), at(2, source="y"), at(3, "", "y"), at(50)])
     base = str(tmp_path)

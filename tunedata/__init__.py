@@ -10,11 +10,16 @@ from tunedata.functions.fences import (
     python_blocks,
 )
 from tunedata.functions.reward import (
+    Checks,
+    breakdown_text,
     compute_reward,
     explain_reward,
     is_compliant,
+    reward_function,
+    reward_names,
     with_breakdown,
     with_reward,
+    with_rewards,
 )
 from tunedata.functions.syntax import is_valid_python
 from tunedata.functions.tags import (
@@ -43,8 +48,15 @@ from tunedata.operators.syntax import python_validity
 from tunedata.plans.evaluate import evaluate_responses
 from tunedata.plans.prepare import prepare_datasets
 from tunedata.plans.preference import load_preference_pairs
-from tunedata.sources.jsonl import read_jsonl, read_jsonl_tolerant
+from tunedata.sources.jsonl import (
+    located_lines,
+    read_jsonl,
+    read_jsonl_tolerant,
+    read_quarantine,
+    read_training_set,
+)
 from tunedata.streaming.monitor import (
+    compact_reward_windows,
     late_rows,
     read_reward_windows,
     reward_windows,

@@ -1,6 +1,7 @@
 """Command line: ``python -m tunedata COMMAND``; the session takes its settings from spark-defaults.
 
     python -m tunedata prepare  --input raw/ --output data/ [--dpo-ratio 0.5] [--seed 42]
+                                [--gate python html] [--corrupt strip js] [--quarantine]
     python -m tunedata requests --data data/ --order hash --output requests/ [--n-samples 200]
     python -m tunedata evaluate --responses responses/ [--keys source] [--output metrics/]
     python -m tunedata pairs    --data data/
@@ -11,15 +12,20 @@ Tables are read as Parquet if the path ends in .parquet, else as JSON lines.
 from __future__ import annotations
 
 import argparse
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunedata.constants import EVAL_SAMPLES, PAIR_RATIO, SEED
+from tunedata.functions import corrupt
+from tunedata.functions.fences import has_html_block, has_python_block, is_valid_html
 from tunedata.functions.reward import COMPLIANCE_MODES
+from tunedata.functions.syntax import is_valid_python
 from tunedata.operators.metrics import metrics_report
 from tunedata.operators.pairs import informative_pairs, pair_report
+from tunedata.operators.prep import Gate, accept_all
 from tunedata.operators.rollouts import evaluation_requests
 from tunedata.plans.evaluate import evaluate_responses
 from tunedata.plans.prepare import prepare_datasets
@@ -27,6 +33,27 @@ from tunedata.sources.jsonl import read_jsonl, read_training_set
 from tunedata.sources.sinks import write_rows
 
 
+GATES = {
+    "python": has_python_block,
+    "html": has_html_block,
+    "valid-python": is_valid_python,
+    "valid-html": is_valid_html,
+}
+CORRUPTIONS = {
+    "strip": corrupt.strip_fences,
+    "js": corrupt.python_fence_to_js,
+    "xml": corrupt.html_fence_to_xml,
+    "unclosed": corrupt.drop_first_closing_fence,
+}
+
+
+def _gate(names: list[str]) -> Gate:
+    """All named checks together; without any, every response passes."""
+    if not names:
+        return accept_all
+    return lambda response: reduce(Column.__and__, (GATES[name](response) for name in names))
+
+
 def _table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
@@ -35,7 +62,11 @@ def _table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    result = prepare_datasets(spark, args.input, args.output, args.dpo_ratio, args.seed)
+    variants = [CORRUPTIONS[name] for name in args.corrupt or CORRUPTIONS]
+    result = prepare_datasets(
+        spark, args.input, args.output, args.dpo_ratio, args.seed, _gate(args.gate), variants=variants,
+        quarantine=args.quarantine,
+    )
     for name, count in result["stats"].items():
         print(f"{name:>14}: {count}")
 
@@ -68,6 +99,9 @@ def _arguments() -> argparse.ArgumentParser:
     prepare.add_argument("--output", default="data")
     prepare.add_argument("--dpo-ratio", type=float, default=PAIR_RATIO)
     prepare.add_argument("--seed", type=int, default=SEED)
+    prepare.add_argument("--gate", nargs="+", choices=GATES, default=[], help="checks a response must pass")
+    prepare.add_argument("--corrupt", nargs="+", choices=CORRUPTIONS, help="ways to damage a response; default all")
+    prepare.add_argument("--quarantine", action="store_true", help="also write the lines left out, with their place")
     prepare.set_defaults(run=_prepare)
 
     requests = commands.add_parser("requests", help="first rows as generation requests")

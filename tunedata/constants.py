@@ -54,6 +54,8 @@ METRIC_REPORT = (
     ("    ↳ info tag presence : ", "avg_info_score"),
     ("    ↳ info length ok    : ", "avg_len_score"),
 )
+# Fixed value: text form of a reward breakdown.
+REWARD_TEXT = "RewardBreakdown(has_code={}, has_info={}, info_len={}, total={})"
 PREP_REPORT = (
     ("  SFT examples  : ", "sft"),
     ("  DPO pairs     : ", "dpo"),

@@ -19,6 +19,8 @@ from tunedata.functions.chat import chat_prompt, sft_text
 from tunedata.functions.corrupt import VARIANTS, variant_number
 from tunedata.functions.sampling import in_sample, pick
 from tunedata.functions.text import or_empty, strip
+from tunedata.sources.jsonl import PLACE
+from tunedata.sources.sinks import SKIPPED
 
 Gate = Callable[[Column], Column]
 
@@ -107,11 +109,15 @@ def with_status(pairs: DataFrame, gate: Gate = accept_all) -> DataFrame:
 
 
 def row_key(rows: DataFrame) -> Column:
-    """A key for hash sampling where records carry none: the content itself."""
-    content = F.sha2(F.concat_ws("\x00", or_empty("prompt"), or_empty("response")), 256)
+    """A key for hash sampling: the id; where a record has none, the place of its line if the scan
+    tells it, so that equal records are drawn apart; else the content itself."""
+    if set(PLACE) <= set(rows.columns):
+        own = F.concat_ws("\x00", *PLACE)
+    else:
+        own = F.sha2(F.concat_ws("\x00", or_empty("prompt"), or_empty("response")), 256)
     if "id" in rows.columns:
-        return F.coalesce(F.col("id").cast("string"), content)
-    return content
+        return F.coalesce(F.col("id").cast("string"), own)
+    return own
 
 
 def training_rows(
@@ -121,17 +127,28 @@ def training_rows(
     ratio: float = PAIR_RATIO,
     seed: int = SEED,
     variants: Sequence[Callable[[Column | str], Column]] = VARIANTS,
+    quarantine: bool = False,
 ) -> DataFrame:
     """``text, prompt, chosen, rejected`` of the kept rows.
 
-    ``rejected`` is null for rows outside the preference sample.
+    ``rejected`` is null for rows outside the preference sample. With ``quarantine``, all other rows
+    follow with a struct ``skipped`` - status, file, block, line and, of a malformed line, its text
+    ``raw`` - which is null in the kept ones.
     """
     key = row_key(statused) if key is None else key
-    chat = F.col("_chat")
+    chat, kept = F.col("_chat"), F.col("status") == "kept"
+    skipped = []
+    if quarantine:
+        source = {"status": "status", "raw": "raw", **dict(zip(("file", "block", "line"), PLACE))}
+        values = [
+            (F.col(source[name]) if source[name] in statused.columns else F.lit(None)).alias(name) for name in SKIPPED
+        ]
+        skipped = [F.when(~kept, F.struct(*values)).alias("skipped")]
+    rows = statused if quarantine else statused.filter(kept)
     return (
-        statused.filter(F.col("status") == "kept")
-        .select("prompt", "response", key.cast("string").alias("_key"))
+        rows.select("prompt", "response", key.cast("string").alias("_key"), *skipped)
         .select(
+            *(["skipped"] if quarantine else []),
             "response",
             chat_prompt("prompt", system_prompt).alias("_chat"),
             in_sample("_key", ratio, seed).alias("_sampled"),
@@ -144,6 +161,7 @@ def training_rows(
             F.when(
                 F.col("_sampled"), variant_number("response", F.col("_number"), variants)
             ).alias("rejected"),
+            *(["skipped"] if quarantine else []),
         )
     )
 

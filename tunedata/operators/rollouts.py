@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,10 @@ from tunedata.constants import (
     TAG_SYSTEM_PROMPT,
 )
 from tunedata.functions.chat import bare_prompt, chat_prompt
-from tunedata.functions.reward import with_reward
+from tunedata.functions.reward import RewardFunction, with_reward, with_rewards
 from tunedata.functions.text import or_empty
 from tunedata.operators.limits import first_n
-from tunedata.operators.lookup import SPREAD, attach_by_key
+from tunedata.operators.lookup import SPREAD
 
 
 def rollout_prompt() -> Column:
@@ -71,14 +71,19 @@ def evaluation_requests(
 
 
 def score_rollouts(
-    rollouts: DataFrame, ids: Sequence[str], response: str = "response"
+    rollouts: DataFrame,
+    ids: Sequence[str],
+    response: str = "response",
+    rewards: Mapping[str, float | RewardFunction | tuple[float, RewardFunction]] | None = None,
 ) -> DataFrame:
     """``ids`` and ``reward`` of each rollout, without the texts.
 
-    Write the result before :func:`group_relative` where reading the texts again is dear.
+    With ``rewards``, as :func:`with_rewards` takes them, also the column of each of these.
     """
     narrow = rollouts.select(*ids, F.col(response).alias("_text"))
-    return with_reward(narrow, "_text").drop("_text")
+    if rewards is None:
+        return with_reward(narrow, "_text").drop("_text")
+    return with_rewards(narrow, rewards, "_text").drop("_text")
 
 
 def group_relative(
@@ -92,20 +97,55 @@ def group_relative(
     """Add ``advantage = (reward - mean) / (stddev + eps)`` within each group.
 
     Sample standard deviation; a group of one or of equal rewards scores 0. ``member`` identifies
-    a rollout within its group. The statistics are partial aggregates and go back to the rows
-    by a salted join, so one prompt may hold any share of the rollouts. Pass narrow rows, such as
-    :func:`score_rollouts` gives: they are read three times, and texts would be shuffled along.
+    a rollout within its group. One prompt may hold any share of the rollouts: rows are dealt out by
+    (group, salt), the salt being a hash of ``member``; each (group, salt) is reduced to its moments
+    where it lies, a group's moments - ``spread`` rows at most - are merged, and go back to its
+    (group, salt) pairs. The dealt rows serve both sides, so the input is read and scored once.
     """
-    stats = rollouts.groupBy(group).agg(
-        F.avg(reward).alias("_mean"),
-        F.stddev_samp(reward).alias("_deviation"),
-        (F.min(reward) == F.max(reward)).alias("_equal"),
+    # Hash and salt are computed above the exchange as well as in it: both uses then read the same
+    # columns and Spark runs the exchange once. Keys without nulls spare another one for the join.
+    name, salt = F.xxhash64(group), F.pmod(F.xxhash64(*member), F.lit(spread))
+    dealt = rollouts.repartition(name, salt).withColumns({"_name": name, "_salt": salt})
+    moments = dealt.groupBy("_name", group, "_salt").agg(
+        F.count(reward).alias("n"),
+        F.avg(reward).alias("mean"),
+        (F.var_pop(reward) * F.count(reward)).alias("square"),
+        F.min(reward).alias("least"),
+        F.max(reward).alias("most"),
+    )
+    parts, zero = F.col("_parts"), F.lit(0.0)
+    merged = (
+        moments.groupBy(group)
+        .agg(F.collect_list(F.struct("_salt", "n", "mean", "square", "least", "most")).alias("_parts"))
+        .withColumn("_n", F.aggregate(parts, F.lit(0).cast("long"), lambda s, p: s + p["n"]))
+        .withColumn(
+            "_mean",
+            F.aggregate(parts, zero, lambda s, p: s + F.coalesce(p["mean"] * p["n"], zero)) / F.nullif("_n", F.lit(0)),
+        )
+        .withColumn(
+            "_square",
+            F.aggregate(
+                parts,
+                zero,
+                lambda s, p: s + F.coalesce(p["square"] + p["n"] * (p["mean"] - F.col("_mean")) ** 2, zero),
+            ),
+        )
+        .select(
+            F.col(group).alias("_group"),
+            F.xxhash64(group).alias("_hash"),
+            "_mean",
+            F.sqrt(F.col("_square") / F.nullif(F.col("_n") - 1, F.lit(0))).alias("_deviation"),
+            (F.array_min(parts["least"]) == F.array_max(parts["most"])).alias("_equal"),
+            F.explode(parts["_salt"]).alias("_slot"),
+        )
     )
-    score = (F.col(reward) - F.col("_mean")) / (F.coalesce("_deviation", F.lit(0.0)) + F.lit(eps))
+    score = (F.col(reward) - F.col("_mean")) / (F.coalesce("_deviation", zero) + F.lit(eps))
     # A mean of equal numbers may miss them by a rounding error.
-    score = F.when(F.col("_equal") & F.col(reward).isNotNull(), F.lit(0.0)).otherwise(score)
+    score = F.when(F.col("_equal") & F.col(reward).isNotNull(), zero).otherwise(score)
+    same = F.when(F.col(group).isNull(), F.col("_group").isNull()).otherwise(F.col(group) == F.col("_group"))
+    placed = (F.col("_name") == F.col("_hash")) & (F.col("_salt") == F.col("_slot")) & same
     return (
-        attach_by_key(rollouts, stats, group, spread_by=member, spread=spread)
+        dealt.join(merged.hint("shuffle_hash"), placed, "left")
         .withColumn("advantage", score)
-        .drop("_mean", "_deviation", "_equal")
+        .drop("_group", "_name", "_hash", "_salt", "_slot", "_mean", "_deviation", "_equal")
     )

@@ -19,7 +19,14 @@ from tunedata.functions.fences import (
     is_valid_html,
     python_blocks,
 )
-from tunedata.functions.reward import explain_reward, is_compliant, with_breakdown, with_reward
+from tunedata.functions.reward import (
+    breakdown_text,
+    explain_reward,
+    is_compliant,
+    with_breakdown,
+    with_reward,
+    with_rewards,
+)
 from tunedata.functions.sampling import in_sample
 from tunedata.functions.syntax import is_valid_python
 from tunedata.functions.tags import code_blocks, info_length_ok
@@ -43,13 +50,14 @@ from tunedata.plans.fixture import (
     document_responses,
     event_time,
     json_lines,
+    kind_lines,
     responses,
     rollout_stream,
     table,
 )
 from tunedata.plans.preference import load_preference_pairs
-from tunedata.plans.prepare import write_prepared
-from tunedata.sources.jsonl import SFT_RECORD, decode_lines, read_jsonl
+from tunedata.plans.prepare import prepare_datasets, write_prepared
+from tunedata.sources.jsonl import SFT_RECORD, decode_lines, located_lines, read_jsonl
 from tunedata.sources.sinks import write_rows
 from tunedata.streaming.monitor import read_reward_windows, reward_windows, start_reward_monitor
 
@@ -161,6 +169,21 @@ def reward_breakdown_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def reward_text(spark: SparkSession, folder: str) -> DataFrame:
+    explained = responses(spark, folder).select(*ROW, explain_reward("response").alias("checks"))
+    return explained.select(*ROW, breakdown_text("checks").alias("breakdown"))
+
+
+@query
+def reward_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """Three registered rewards with weights, and their sum."""
+    scored = with_rewards(
+        document_responses(spark, folder), {"format": 1.0, "checks": 0.5, "all_checks": 2.0}
+    )
+    return scored.drop("response")
+
+
 @query
 def reward_weighted(spark: SparkSession, folder: str) -> DataFrame:
     return with_reward(responses(spark, folder))
@@ -316,6 +339,34 @@ def jsonl_scan_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def jsonl_value_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompts of every JSON kind before conversations: what Python holds for false gives way."""
+    statused = prep.with_status(prep.pair_from_messages(decode_lines(kind_lines(spark, folder))))
+    return statused.select("doc_id", "status", "prompt", "response")
+
+
+@query
+def jsonl_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines left out by preparation, written by the job that writes the training sets.
+
+    Each is found again by its place: ``found`` tells whether that line of that file holds it.
+    """
+    base = scratch_path(spark, "quarantine")
+    json_lines(_pairs(spark, folder)).select("value").write.text(f"{base}/raw")
+    sets = prepare_datasets(spark, f"{base}/raw", f"{base}/sets", quarantine=True)
+    at = {"_file": "file", "_block": "block", "_line": "line"}
+    lines = located_lines(spark, f"{base}/raw").select(
+        F.col("value").alias("there"), *(F.col(c).alias(f"at_{name}") for c, name in at.items())
+    )
+    left_out = sets["quarantine"]
+    same = [F.col(name) == F.col(f"at_{name}") for name in at.values()]
+    found = F.coalesce(F.col("there") == F.col("raw"), F.col("there").isNotNull())
+    return left_out.join(lines, same, "left").select(
+        "status", F.coalesce("raw", F.lit("")).alias("raw"), F.coalesce(found, F.lit(False)).alias("found")
+    )
+
+
 @query
 def jsonl_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation records as JSON lines, decoded, paired and templated."""

@@ -98,10 +98,29 @@ def json_lines(pairs: DataFrame) -> DataFrame:
     return pairs.select("conv_id", damaged.alias("value"))
 
 
+# A prompt of each JSON kind; the first seven are nothing to Python.
+KINDS = ("null", "false", "0", "-0.0", "[]", "{}", '""', "true", "7", "0.5", '["a"]', '{"a":1}', '"false"', '"0"', '"null"')
+
+
+def kind_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, value``: documents as conversation lines whose own prompt is of each JSON kind."""
+    kinds = F.array(*(F.lit(kind) for kind in KINDS))
+    kind = F.get(kinds, (F.col("doc_id") % len(KINDS)).cast("int"))
+    talk = F.to_json(
+        F.array(
+            F.struct(F.lit("student").alias("role"), F.col("text").alias("content")),
+            F.struct(F.lit("tutor").alias("role"), F.concat(F.lit("re: "), "text").alias("content")),
+        )
+    )
+    line = F.concat(F.lit('{"prompt":'), kind, F.lit(',"response":"own","conversation":'), talk, F.lit("}"))
+    return table(spark, folder, "documents").select("doc_id", line.alias("value"))
+
+
 def document_records(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as conversation records: each line a message, roles in turn.
 
-    Own prompts are absent, null, blank or filled, and some records have no conversation.
+    Own prompts are absent, null, blank or filled, and some records have no conversation. Where the
+    conversation does not count, the text is in the record's own fields.
     """
     number = F.col("doc_id")
     roles = F.array(F.lit("student"), F.lit("tutor"), F.lit("system"))
@@ -116,8 +135,8 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number % 4 == 0, "")
         .when(number % 4 == 1, F.lit(None))
         .when(number % 4 == 2, "  ")
-        .otherwise(F.concat(F.lit(" own prompt "), number.cast("string")))
+        .otherwise(F.concat(F.lit(" own prompt "), "text"))
         .alias("prompt"),
-        F.when(number % 3 == 0, "").otherwise("own response\n").alias("response"),
+        F.when(number % 12 == 0, "").otherwise(F.concat(F.lit("own response\n"), "text")).alias("response"),
         F.when(number % 10 != 9, said).alias("conversation"),
     )

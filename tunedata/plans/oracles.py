@@ -11,12 +11,13 @@ from tunedata.constants import (
     INFERENCE_SYSTEM_PROMPT,
     METRIC_REPORT,
     PREP_REPORT,
+    REWARD_TEXT,
     SYSTEM_START,
     TAG_SYSTEM_PROMPT,
     TURN_END,
     USER_START,
 )
-from tunedata.plans.fixture import DOCUMENT_SQL, EVENT_EPOCH, PAIR_SQL, RESPONSE_SQL
+from tunedata.plans.fixture import DOCUMENT_SQL, EVENT_EPOCH, KINDS, PAIR_SQL, RESPONSE_SQL
 
 # Patterns, in the checking database's syntax.
 _TAG_PAIR = "(?is)<{tag}>(.*?)</{tag}>"
@@ -187,8 +188,8 @@ _PYTHON_FENCES_PARSE = (
 
 _RECORDS = f"""records AS (
   SELECT doc_id, cast(doc_id AS varchar) AS id, str_split(text, chr(10)) AS lines,
-    CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE ' own prompt ' || doc_id END AS own_prompt,
-    CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'own response' || chr(10) END AS own_response FROM documents),
+    CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE ' own prompt ' || text END AS own_prompt,
+    CASE WHEN doc_id % 12 = 0 THEN '' ELSE 'own response' || chr(10) || text END AS own_response FROM documents),
 said AS (
   SELECT *, own_prompt = '' AND doc_id % 10 <> 9 AS talk,
     list_filter(lines, lambda x, i: i % 3 = 1) AS asked,
@@ -222,6 +223,8 @@ _METRIC_TEXT = _report(
         },
     },
 )
+_REWARD_TEXT = "concat('" + REWARD_TEXT.format("', t[1], '", "', t[2], '", "', t[3], '", "', printf('%.1f', reward_total), '") + "')"
+_KIND_TEXT = "CASE kind " + " ".join(f"WHEN {i} THEN '{kind.strip(chr(34))}'" for i, kind in enumerate(KINDS)) + " END"
 _PREP_TEXT = _report(PREP_REPORT, {n: n for n in ("sft", "dpo", "skipped")}, "Dataset stats:")
 
 
@@ -264,6 +267,14 @@ def all_oracles() -> dict[str, str]:
 SELECT conv_id, turn, has_code, has_info, info_len, reward_total AS total FROM scored""",
         "reward_breakdown_documents": f"""WITH {_DOCUMENTS}, {_CHECKS}
 SELECT doc_id, has_code, has_info, info_len, reward_total, reward, reward = 3 AS compliant FROM scored""",
+        "reward_text": f"""WITH {_RESPONSES}, {_CHECKS},
+shown AS (SELECT *, list_transform([has_code, has_info, info_len], lambda x: CASE WHEN x THEN 'True' ELSE 'False' END) AS t
+  FROM scored)
+SELECT conv_id, turn, {_REWARD_TEXT} AS breakdown FROM shown""",
+        "reward_functions": f"""WITH {_DOCUMENTS}, {_CHECKS}
+SELECT doc_id, source, reward AS reward_format, reward_total AS reward_checks,
+  cast((reward_total = 3)::int AS double) AS reward_all_checks,
+  reward + 0.5::double * reward_total + 2 * (reward_total = 3)::int AS reward FROM scored""",
         "reward_weighted": f"""WITH {_RESPONSES}, {_CHECKS}
 SELECT conv_id, turn, response, reward FROM scored""",
         "compliant_modes": f"""WITH {_RESPONSES}, {_CHECKS}
@@ -316,6 +327,19 @@ UNION ALL SELECT conv_id, turn, 1, 'user', text FROM conversations WHERE role =
   FROM pairs WHERE conv_id % 11 <> 0)
 SELECT conv_id, status, CASE status WHEN 'malformed' THEN '' ELSE prompt END AS prompt,
   CASE status WHEN 'malformed' THEN '' ELSE response END AS response FROM tagged""",
+        "jsonl_value_kinds": f"""WITH kinds AS (
+  SELECT doc_id, text, doc_id % {len(KINDS)} AS kind FROM documents),
+chosen AS (SELECT doc_id, CASE WHEN kind < 7 THEN {_strip("text")} ELSE {_KIND_TEXT} END AS prompt,
+    CASE WHEN kind < 7 THEN {_strip("'re: ' || text")} ELSE 'own' END AS response FROM kinds)
+SELECT doc_id, CASE WHEN prompt = '' OR response = '' THEN 'empty' ELSE 'kept' END AS status, prompt, response
+FROM chosen""",
+        "jsonl_quarantine": f"""WITH {_PAIRS}, lines AS (
+  SELECT conv_id, prompt, response, cast(json_object('prompt', prompt, 'response', response) AS varchar) AS line
+  FROM pairs WHERE conv_id % 11 <> 0),
+damaged AS (SELECT *, conv_id % 5 = 0 OR conv_id % 7 = 0 AS bad, CASE WHEN conv_id % 5 = 0 THEN substr(line, 1, 20)
+    ELSE line || ' junk' END AS raw FROM lines)
+SELECT CASE WHEN bad THEN 'malformed' ELSE 'empty' END AS status, CASE WHEN bad THEN raw ELSE '' END AS raw,
+  true AS found FROM damaged WHERE bad OR prompt = '' OR response = ''""",
         "jsonl_conversations": f"WITH {_training(_RECORDS, 'id')} SELECT * FROM training",
         "sft_rows": f"WITH {_TRAINING} SELECT text, prompt, chosen FROM training",
         "text_only": f"WITH {_TRAINING} SELECT text FROM training",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tunedata.functions.reward import with_breakdown
+from tunedata.sources.files import file_exists, numbered_folders, remove, write_small_file
+
+LATE = "_late"
 
 MEANS = (
     "n", "avg_reward", "avg_reward_total", "avg_code_score", "avg_info_score", "avg_len_score",
@@ -53,43 +58,114 @@ def reward_windows(
     )
 
 
+class RewardMonitor:
+    """A running monitor: a streaming query that keeps its late rows with the batch that dropped them.
+
+    All else is the query's own (``status``, ``lastProgress``, ``isActive``, ...).
+    """
+
+    def __init__(self, spark: SparkSession, output: str):
+        self._spark = spark
+        self._output = output
+        self._kept: set[int] = set()
+        self.query: StreamingQuery | None = None
+
+    def __getattr__(self, name: str) -> Any:
+        return getattr(self.query, name)
+
+    def keep_late_rows(self) -> None:
+        """Write the counts of finished batches that have none yet, each to a file of its own."""
+        for progress in list(self.query.recentProgress) if self.query is not None else []:
+            batch = progress["batchId"]
+            dropped = sum(state["numRowsDroppedByWatermark"] for state in progress["stateOperators"])
+            # A batch without new rows may report once more; only a first report or a count is written.
+            if batch not in self._kept or dropped:
+                path = f"{self._output}/{LATE}/batch={batch}.json"
+                write_small_file(self._spark, path, json.dumps({"batch": batch, "late": dropped}))
+                self._kept.add(batch)
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:
+        ended = self.query.awaitTermination(timeout)
+        self.keep_late_rows()
+        return ended
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.keep_late_rows()
+
+
 def start_reward_monitor(
     windows: DataFrame, output: str, checkpoint: str, every: str | None = "1 minute"
-) -> StreamingQuery:
+) -> RewardMonitor:
     """Write the windows of a stream to a Parquet table; read it by :func:`read_reward_windows`.
 
-    With a period, closed windows are appended, exactly once. ``every=None`` handles what is there
-    and stops; such a run delivers the windows that are still open as well: every batch writes those
-    that it changed to a folder of its own, over again if it is repeated. ``checkpoint`` and ``output``
-    must be on storage that all executors share; a restart with the same checkpoint goes on where it
-    was. Rows later than the delay are dropped; :func:`late_rows` counts them.
+    Every batch writes the windows that it changed to a folder of its own, over again if it is
+    repeated. With a period the monitor goes on; ``every=None`` handles what is there and stops. Both
+    kinds of run may follow each other on one ``output`` and ``checkpoint``, which must be on storage
+    that all executors share; a restart goes on where the last run was. Rows later than the delay are
+    dropped, and their number is kept with the batch: :func:`late_rows`. Only a crash between the end
+    of a batch and the start of the next can lose the number of that one batch.
     """
-    stream = windows.writeStream.option("checkpointLocation", checkpoint)
-    if every is not None:
-        appended = stream.format("parquet").option("path", output).outputMode("append")
-        return appended.trigger(processingTime=every).start()
+    output = output.rstrip("/")
+    monitor = RewardMonitor(windows.sparkSession, output)
 
     def write(changed: DataFrame, number: int) -> None:
+        monitor.keep_late_rows()
         changed.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
-    return stream.foreachBatch(write).outputMode("update").trigger(availableNow=True).start()
+    stream = windows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).outputMode("update")
+    timed = stream.trigger(availableNow=True) if every is None else stream.trigger(processingTime=every)
+    monitor.query = timed.start()
+    return monitor
+
+
+def _parts(spark: SparkSession, output: str) -> tuple[int, list[tuple[int, str]]]:
+    """The newest whole ``base`` (-1 without one), and the folders to read: base and later batches."""
+    bases = [b for b, path in numbered_folders(spark, output, "base") if file_exists(spark, f"{path}/_SUCCESS")]
+    base = max(bases, default=-1)
+    later = [part for part in numbered_folders(spark, output, "batch") if part[0] > base]
+    return base, ([(base, f"{output}/base={base}")] if base >= 0 else []) + sorted(later)
 
 
 def read_reward_windows(spark: SparkSession, output: str, schema: StructType) -> DataFrame:
     """The windows below ``output``, each as its latest batch left it."""
-    rows = spark.read.parquet(output)
-    if "batch" not in rows.columns:
-        return rows.select(schema.names)
+    output = output.rstrip("/")
+    _, parts = _parts(spark, output)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch|base)=(\d+)/[^/]*$", 1).cast("long")
+    rows = spark.read.schema(schema).parquet(*(path for _, path in parts)).select("*", number.alias("_batch"))
     names = [name for name in schema.names if name not in MEANS]
-    latest = rows.groupBy(*names).agg(F.max("batch").alias("_latest"))
+    latest = rows.groupBy(*names).agg(F.max("_batch").alias("_latest"))
     latest = latest.select(*[F.col(name).alias(f"_{name}") for name in names], "_latest")
-    same = F.col("batch") == F.col("_latest")
+    same = F.col("_batch") == F.col("_latest")
     for name in names:
         same &= F.col(name).eqNullSafe(F.col(f"_{name}"))
     return rows.join(latest, same).select(schema.names)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the batches of a query still in its progress history dropped as too late."""
-    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
-    return sum(state["numRowsDroppedByWatermark"] for state in states)
+def compact_reward_windows(spark: SparkSession, output: str, schema: StructType) -> int:
+    """Gather all batches written so far in one table, ``base=N`` for the last of them; returns N.
+
+    Readers take the newest base that was written to the end and the batches after it. The batches
+    gathered and older bases are removed afterwards, so a failure at any point loses nothing. Run it
+    when the monitor is not repeating a batch, that is after a clean stop or between two batches.
+    """
+    output = output.rstrip("/")
+    base, parts = _parts(spark, output)
+    last = parts[-1][0] if parts else -1
+    if last > base:
+        read_reward_windows(spark, output, schema).write.mode("overwrite").parquet(f"{output}/base={last}")
+        for kind in ("batch", "base"):
+            for number, path in numbered_folders(spark, output, kind):
+                if number < last or (kind == "batch" and number == last):
+                    remove(spark, path)
+    return last
+
+
+def late_rows(spark: SparkSession, output: str) -> int:
+    """Rows that all batches of all runs on ``output`` dropped as too late."""
+    folder = f"{output.rstrip('/')}/{LATE}"
+    if not file_exists(spark, folder):
+        return 0
+    return spark.read.schema("batch long, late long").json(f"{folder}/*.json").agg(F.sum("late")).first()[0] or 0
