@@ -1,10 +1,12 @@
 import collections
 import math
+import random
 import re
 
 import numpy as np
 import pytest
-from llm_cases import FOLDER, documents, frame, remainder, write_tables
+from llm_cases import FOLDER, documents, frame, given, remainder, write_tables
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tunedata.llm import lm, stages
@@ -66,6 +68,30 @@ def test_predictive_probabilities_sum_to_one():
         floors.sweep(totals, np.random.default_rng(turn))
 
 
+def test_unknown_words_are_one_symbol(spark):
+    """Invented words score below any text of known ones, and the gain over the base is not theirs."""
+    rows = [(r[0], r[1], "en", "s", 1, *"abcdefg") for r in given()]
+    known = [r for r in rows if remainder(r[0], 7) != 2]
+    words = " ".join(r[1] for r in known[:40]).split()
+    draw = random.Random(3)
+    probes = {
+        9001: " ".join(words[200:212]),
+        9002: " ".join(f"qz{draw.randrange(10**9)}x" for _ in range(12)),
+        9003: " ".join(words[200:206] + [f"qz{draw.randrange(10**9)}x" for _ in range(6)]),
+    }
+    docs = frame(spark, rows + [(k, t, "en", "s", 1, *"abcdefg") for k, t in probes.items()])
+    held = (id_remainder(7) == 2) | (F.col("doc_id") > 9000)
+    for head in (50, lm.HEAD):
+        found = {r.doc_id: r for r in lm.score(docs, held, head=head).collect()}
+        real, invented, half = (found[k] for k in (9001, 9002, 9003))
+        assert real.n_known == 13 and invented.n_known == 1 and half.n_known == 7
+        assert invented.score < half.score < real.score
+        # The unknown symbol is about as rare as a word seen once.
+        assert invented.score / 13 < -3
+        whole = [r for r in found.values() if r.held_out and r.doc_id < 9000 and r.n_known == r.n_tokens and r.n_tokens > 20]
+        assert len(whole) >= 3 and sum(r.score for r in whole) > sum(r.base_score for r in whole)
+
+
 def test_seating_follows_the_process():
     """Mean number of tables against customers seated one at a time."""
     random = np.random.default_rng(4)

@@ -1,18 +1,20 @@
 import collections
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given as gives
 from hypothesis import settings
 from hypothesis import strategies as st
 from llm_cases import FOLDER, documents, frame, given
 
-from tunedata.llm import substrings
+from tunedata.llm import ngram_join, substrings
 from tunedata.llm.components import components
-from tunedata.llm.decontaminate import contaminations, decontaminate
+from tunedata.llm.decontaminate import MASKS, contaminations, decontaminate
 from tunedata.llm.hashing import shingles, word_hashes
 from tunedata.llm.ngram_join import linked, one_per_group
 from tunedata.llm.substrings import removals, without_repeats
@@ -71,6 +73,32 @@ def test_links_match_brute_force(spark, edits):
     assert collections.Counter(map(tuple, found)) == collections.Counter(brute_components(rows))
 
 
+@pytest.mark.parametrize("heavy", [2, 256])
+def test_large_groups_of_copies_and_near_copies(spark, monkeypatch, heavy):
+    """Copies make entries once, near copies meet few hubs, salted columns lose no link."""
+    monkeypatch.setattr(ngram_join, "HEAVY_LEAST", heavy)
+    monkeypatch.setattr(ngram_join, "HEAVY_SHARE", 1 << 40 if heavy == 2 else 4096)
+    draw = random.Random(heavy)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base), "en", "s", 1, *"abcdefg") for i in range(1500)]
+    for i in range(400):
+        own = list(base)
+        own[draw.randrange(60)] = f"own{i}"
+        rows.append((2000 + i, " ".join(own), "en", "s", 1, *"abcdefg"))
+    rows += [(3000 + i, None if i % 2 else " ", "en", "s", 1, *"abcdefg") for i in range(600)]
+    rows += [(4000 + i, f"x{i} y z", "en", "s", 1, *"abcdefg") for i in range(20)]
+    counted = []
+    keep = ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda d, n: counted.append((n, d.count())) or keep(d, n))
+    found = {r[0]: (r[1], r[2]) for r in linked(frame(spark, rows)).collect()}
+    assert len(found) == len(rows)
+    assert {found[i][1] for i in (*range(1500), *range(2000, 2400))} == {0}
+    assert all(found[i] == (0, i) for i in range(3000, 3600)) and all(found[i] == (1, i) for i in range(4000, 4020))
+    sizes = [dict(counted[::-1])[n] for n in ("shared",)] + [c for n, c in counted if n == "pairs"]
+    # 401 distinct sets of 56 n-grams, 15 of which enter; a pair per row, and next to none afterwards.
+    assert sizes[0] <= 401 * 15 and sizes[1] <= 401 and sizes[2] <= 401
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = documents()
     docs = frame(spark, rows)
@@ -208,6 +236,62 @@ def test_contaminations(spark):
     )
 
 
+def cut(text):
+    """Tokens: runs of letters and digits, single characters of scripts without spaces."""
+    spaced = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}])", r" \1 ", (text or "").lower())
+    return regex.findall(r"[\p{L}\p{N}]+", spaced)
+
+
+def brute_contaminations(rows, items, share=0.5):
+    """(doc, item) -> (matches, tokens), by trying every alignment that a mask allows."""
+    found = {}
+    for doc, text in rows:
+        words = cut(text)
+        for item, item_text in items:
+            own = cut(item_text)
+            if not own or not words:
+                continue
+            if len(own) < 8:
+                runs = [words[i : i + len(own)] for i in range(len(words))] if len(own) >= 4 else [words]
+                if own in runs:
+                    found[doc, item] = (len(own), len(own))
+                continue
+            most = 0
+            for shift in range(-len(own), len(words)):
+                same = [0 <= i + shift < len(words) and words[i + shift] == w for i, w in enumerate(own)]
+                seeds = (
+                    all(same[i + gap] and same[i + gap + 1] for gap in mask)
+                    for mask in MASKS
+                    for i in range(len(own) - mask[-1] - 1)
+                )
+                if any(seeds):
+                    most = max(most, sum(same))
+            if most >= math.ceil(len(own) * share) and most:
+                found[doc, item] = (most, len(own))
+    return found
+
+
+def test_rows_matches_and_tokens_match_brute_force(spark):
+    """Items of every length, substitutions of every share, short items, scripts without spaces."""
+    draw = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)] + ["a", "b"]
+    items = [(i, " ".join(draw.choices(vocabulary, k=k))) for i, k in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 20, 30])]
+    items += [(50, "the quick brown fox"), (51, "这是一个测试项目"), (52, "北京"), (53, "ภาษาไทย"), (54, "…"), (55, "b a b a b a b a b a")]
+    rows = [(0, "The quick, brown FOX!"), (1, "see the quick brown fox run"), (2, "他说这是一个测试项目。好的"), (3, "北京"), (4, "去北京")]
+    rows += [(5, "ภาษาไทย"), (6, items[0][1]), (7, items[2][1]), (8, f"x {items[2][1]}"), (9, f"x {items[3][1]} y"), (10, "a b " * 30)]
+    for i, (_, text) in enumerate(items[:13] * 4):
+        own = text.split()
+        for _ in range(i // 13 * len(own) // 5):
+            own[draw.randrange(len(own))] = draw.choice(vocabulary)
+        rows.append((100 + i, " ".join([*draw.choices(vocabulary, k=9), *own, *draw.choices(vocabulary, k=9)])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.n_matches, r.n_tokens) for r in contaminations(docs, benchmark).collect()}
+    expected = brute_contaminations(rows, items)
+    assert found == expected and {(0, 50), (1, 50), (2, 51), (3, 52), (5, 53), (7, 2)} <= set(expected)
+    assert (4, 52) not in expected and (8, 2) not in expected and (9, 3) in expected
+
+
 def test_exact_items_in_the_given_rows(spark):
     items = given("benchmark", "item_id, text")
     docs = given()

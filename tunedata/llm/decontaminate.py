@@ -5,6 +5,9 @@ and ignores those between them; the kept tokens of every window of every documen
 benchmark item are hashed and joined. A hit fixes an alignment of item and document, and an item
 counts as contained where at least ``share`` of its tokens agree with the document under it, so
 substituted words are tolerated both by the seeds and by the verdict.
+
+Items shorter than the masks have to be found whole: their tokens, hashed in one, meet the runs of
+that many tokens of every document.
 """
 
 from __future__ import annotations
@@ -20,13 +23,18 @@ from tunedata.llm.common import broadcast_if_small, internal, materialize
 MASKS = ((0, 4, 8), (0, 4, 6), (0, 2, 7))
 SHARE = 0.5
 SEED_ROWS = 500_000
+# Items of fewer tokens than this count only where they make up the whole document.
+LEAST_RUN = 4
 _SEPARATOR = r"[^\p{L}\p{N}]+"
+# Scripts that are written without spaces: every character is a token.
+_UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}])"
 
 
 def tokens(text: str | Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(F.lower(F.coalesce(column, F.lit(""))), _SEPARATOR), "")
+    """Lower-case runs of letters and digits; single characters in scripts without spaces."""
+    column = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    spaced = F.when(column.rlike(_UNSPACED), F.regexp_replace(column, _UNSPACED, " $1 ")).otherwise(column)
+    return F.array_remove(F.split(spaced, _SEPARATOR), "")
 
 
 def _span(mask: tuple[int, ...]) -> int:
@@ -83,6 +91,38 @@ def _offset(place: Column, count: Column) -> Column:
     return found
 
 
+def _whole_items(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc_key, item_key, matches, n): the items with fewer tokens than any mask that stand whole in a text.
+
+    ``words`` has item_key and item_words. A run of tokens is told by two hashes, 128 bits together.
+    """
+    n = F.size("item_words")
+    short = words.filter((n > 0) & (n < min(_span(mask) for mask in MASKS)))
+
+    def named(run: Column) -> Column:
+        return F.struct(F.xxhash64(run).alias("seed"), F.xxhash64(F.lit(1), run).alias("check"))
+
+    items = short.select("item_key", n.alias("n"), F.inline(F.array(named(F.col("item_words")))))
+    lengths = [row["n"] for row in items.select("n").distinct().orderBy("n").collect()]  # 7 at most
+    if not lengths:
+        return items.select(F.col("item_key").alias("doc_key"), "item_key", F.col("n").alias("matches"), "n").limit(0)
+    cut = texts.select("text_key", tokens("text").alias("words"))
+
+    def runs(length: int) -> Column:
+        if length < LEAST_RUN:
+            whole = F.array(F.col("words"))
+            return F.when(F.size("words") == length, whole).otherwise(F.slice(whole, 1, 0))
+        starts = F.slice(F.col("words"), 1, F.greatest(F.size("words") - (length - 1), F.lit(0)))
+        return F.transform(starts, lambda _, i: F.slice("words", i + 1, length))
+
+    found = cut.select("text_key", F.explode(F.concat(*(runs(length) for length in lengths))).alias("run"))
+    hashed = found.select("text_key", named(F.col("run")).alias("h")).select("text_key", "h.seed", "h.check")
+    known = items.select("item_key", "n", F.col("seed").alias("s"), F.col("check").alias("c"))
+    same = (F.col("seed") == F.col("s")) & (F.col("check") == F.col("c"))
+    hits = hashed.join(broadcast_if_small(known, SEED_ROWS), same).select("text_key", "item_key", "n").distinct()
+    return hits.select(F.col("text_key").alias("doc_key"), "item_key", F.col("n").alias("matches"), "n")
+
+
 def contaminations(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -94,9 +134,11 @@ def contaminations(
 ) -> DataFrame:
     """One row per document row and item it contains: key, item, n_matches, n_tokens.
 
-    Null and empty texts contain nothing. Items with fewer tokens than the shortest mask (8) are
-    too short to be told from ordinary text and match nothing. Repeated documents and items give
-    rows of their own; an empty table on either side gives an empty result.
+    Null and empty texts contain nothing. An item with fewer tokens than the shortest mask (8) is
+    contained where all its tokens follow each other in the document; with fewer than ``LEAST_RUN``
+    (4), which ordinary text is full of, only where they are the whole document. An item without a
+    token matches nothing. Repeated documents and items give rows of their own; an empty table on
+    either side gives an empty result.
 
     The seeds of all documents meet those of the benchmark, which are broadcast if counting shows
     at most ``SEED_ROWS`` and shuffled otherwise. Only hits, which are few, are written; texts are
@@ -148,7 +190,8 @@ def contaminations(
         .agg(F.max("matches").alias("matches"), F.max("n").alias("n"))
         .filter(F.col("matches") >= F.ceil(F.col("n") * share))
     )
-    judged, _ = materialize(judged, "contaminated")
+    whole = _whole_items(texts, words)
+    judged, _ = materialize(judged.unionByName(whole.select(judged.columns)), "contaminated")
     verdicts = broadcast_if_small(judged)
     named = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("own_key")).join(
         verdicts, F.col("own_key") == F.col("doc_key")

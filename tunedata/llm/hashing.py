@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIECE = 8_000_000  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 
 # 64-bit constants: odd base of the polynomial, its inverse modulo 2**64, one value per byte.
 _BASE = 0x9E3779B97F4A7C15

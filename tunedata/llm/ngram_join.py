@@ -7,20 +7,24 @@ formed as a whole:
   the product that the size bound leaves: two sets with overlap / union >= t share one of their
   first n - ceil(t n) + 1 n-grams in any common order. Rare n-grams come first in it; how rare, a
   table of fixed size tells, which counts n-grams by the leading bits of their hashes.
-* Within a block every row is first paired with few hubs only. Verified pairs join rows to groups,
-  and the remaining entries of the block, between rows of different groups, are made afterwards.
-  Sizes and positions discard pairs that cannot reach the threshold any more.
-* What is left gets its whole overlap counted, and is discarded below the bound.
+* Entries are shuffled once. Columns that this table shows to be very frequent are split by a salt,
+  and of a text with very many copies one row makes entries, so that no block holds a hot key.
+* Every row first meets the hub of each of its columns, a set with many copies if there is one, and of
+  these hubs the one with which it shares most columns. Verified pairs join rows to groups.
+* Only entries of columns whose rows are then in different groups enter the product. It accumulates
+  the overlap of each pair; sizes and the last shared positions discard pairs that cannot reach the
+  threshold, and for the others what follows these positions is added.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +32,7 @@ from pyspark.sql import types as T
 from tunedata.llm.common import add_up, broadcast_if_small, discard, internal, materialize, pack_arrays, unpack_array
 from tunedata.llm.components import components
 from tunedata.llm.hashing import mix, shingles, word_hashes
+from tunedata.operators.lookup import attach_by_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -35,6 +40,12 @@ WIDTH = 5
 PERCENT = 75
 CELL_BITS = 20
 CELL_BLOCKS = 64
+# A cell of n-grams that holds this share of all is split by a salt; so are texts with that many copies.
+HEAVY_SHARE = 4096
+HEAVY_LEAST = 256
+SPREAD = 64
+GRAM_BYTES = 6
+COPIED_TEXTS = 1024
 # Fixed numbers; a column's hub is the row that is smallest after flipping bits by one of them.
 FLIPS = (0, 0x2545F4914F6CDD1D, -0x61C8864680B583EB, 0x3C6EF372FE94F82A)
 MAX_ROWS = 20_000
@@ -68,13 +79,13 @@ def _pick(key: str, text: str) -> Column:
 
 
 def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Per row: key, pick, n, sid; per task and block of cells: block, counts."""
+    """Per row: key, pick, n, sid, at (its number); per task and block of cells: block, counts."""
     rows = docs.select(F.col(key).alias("key"), _pick(key, text), _content(text))
-    names = ["key", "pick", "n", "sid", "block", "counts"]
+    names = ["key", "pick", "n", "sid", "at", "block", "counts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
-        kind = None
+        kind, at = None, TaskContext.get().partitionId() << 40
         for batch in batches:
             kind = batch.schema.field(0).type
             n, sid, waiting, waits = [], [], [], 0
@@ -90,28 +101,51 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
             size = batch.num_rows
             arrays = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64())]
-            arrays += [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
+            arrays += [pa.array(np.arange(at, at + size)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
+            at += size
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         if kind is not None:
-            arrays = [pa.nulls(CELL_BLOCKS, kind), *[pa.nulls(CELL_BLOCKS, pa.int64())] * 3]
+            arrays = [pa.nulls(CELL_BLOCKS, kind), *[pa.nulls(CELL_BLOCKS, pa.int64())] * 4]
             arrays += pack_arrays(range(CELL_BLOCKS), counts.reshape(CELL_BLOCKS, -1)).columns
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     # The rows that carry counts have no key, whatever the table says of its own.
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType)])
-    for name, kind in (("pick", "long"), ("n", "long"), ("sid", "long"), ("block", "integer"), ("counts", "binary")):
+    for name, kind in (("pick", "long"), ("n", "long"), ("sid", "long"), ("at", "long"), ("block", "integer"), ("counts", "binary")):
         schema = schema.add(name, kind)
     return rows.mapInArrow(run, schema)
 
 
-def _rarity(cells: DataFrame) -> np.ndarray:
-    """One byte per cell: how often its n-grams occur, on a logarithmic scale."""
+class Rarity(NamedTuple):
+    """Per cell: how often its n-grams occur, on a logarithmic scale of one byte; whether very often."""
 
-    levels = np.zeros((CELL_BLOCKS, (1 << CELL_BITS) // CELL_BLOCKS), np.uint8)
+    levels: np.ndarray
+    heavy: np.ndarray
+
+
+def _rarity(cells: DataFrame) -> Rarity:
+    total = np.zeros((CELL_BLOCKS, (1 << CELL_BITS) // CELL_BLOCKS), np.int64)
     for row in add_up(cells, "block", "counts", "<i8").collect():
-        total = unpack_array(row["value"], "<i8")
-        levels[row["key"]] = np.minimum(6 * np.log2(total + 1.0), 255).astype(np.uint8)
-    return levels.ravel()
+        total[row["key"]] = unpack_array(row["value"], "<i8")
+    counts = total.ravel()
+    levels = np.minimum(6 * np.log2(counts + 1.0), 255).astype(np.uint8)
+    return Rarity(levels, counts >= max(HEAVY_LEAST, int(counts.sum()) // HEAVY_SHARE))
+
+
+def _ordered_grams(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    return grams[np.argsort(levels[_cell(grams)], kind="stable")]
+
+
+def _copied(rows: DataFrame) -> dict[int, int]:
+    """The pick of one row for each of the sets that most rows have; at most ``COPIED_TEXTS``.
+
+    Spark's frequent-items sketch names them; they are counted exactly.
+    """
+    names = rows.filter("n > 0").agg(F.expr(f"approx_top_k(sid, {COPIED_TEXTS}, {4 * COPIED_TEXTS})").alias("top"))
+    names = names.select(F.explode("top.item").alias("name"))
+    found = rows.join(F.broadcast(names), F.col("sid") == F.col("name"), "left_semi").groupBy("sid")
+    counted = found.agg(F.count(F.lit(1)).alias("copies"), F.min("pick").alias("pick")).filter("copies > 1")
+    return {row["sid"]: row["pick"] for row in counted.collect()}
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -119,28 +153,40 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _entries(docs: DataFrame, text: str, width: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """Entries of the matrix that the size bound leaves: gram, sid, n, place (from 0, rare first)."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 1 MB, whatever the input
+def _entries(
+    docs: DataFrame, key: str, text: str, width: int, percent: int, rarity: Rarity, copied: dict[int, int]
+) -> DataFrame:
+    """Entries of the matrix that the size bound leaves: gram, salt, sid, copied, pos.
+
+    ``pos`` holds the set's size in its upper and the place of the gram (from 0, rare first) in its
+    lower half. ``salt`` is -1 but in heavy cells. Sets in ``copied`` enter by one row only.
+    """
+    # About 2 MB and 1,024 numbers, whatever the input.
+    shared = docs.sparkSession.sparkContext.broadcast((rarity.levels, rarity.heavy, copied))
 
     def columns(found: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
         counts = [len(first) for first, _, _ in found]
-        gram = np.concatenate([first for first, _, _ in found]).view(np.int64)
+        grams = np.concatenate([first for first, _, _ in found])
         sid = np.repeat(np.array([x for _, x, _ in found], np.int64), counts)
-        n = np.repeat(np.array([x for _, _, x in found], np.int32), counts)
-        place = np.concatenate([np.arange(x, dtype=np.int32) for x in counts])
+        n = np.repeat(np.array([x for _, _, x in found], np.int64), counts)
+        place = np.concatenate([np.arange(x) for x in counts])
+        many = np.isin(sid, list(shared.value[2]))
+        own = (mix(sid.view(np.uint64)) % np.uint64(SPREAD)).astype(np.int32)
+        salt = np.where(shared.value[1][_cell(grams)], own, np.int32(-1))
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (gram, sid, n, place)], names=["gram", "sid", "n", "place"]
+            [pa.array(x) for x in (grams.view(np.int64), salt, sid, many, (n << 32) | place)],
+            names=["gram", "salt", "sid", "copied", "pos"],
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
         for batch in batches:
-            for grams in _sets(batch, 0, width):
-                if len(grams):
-                    order = np.argsort(shared.value[_cell(grams)], kind="stable")
-                    first = grams[order[: prefix_length(len(grams), percent)]]
-                    found.append((first, set_id(grams), len(grams)))
+            picks = batch.column(0).to_pylist()
+            for pick, grams in zip(picks, _sets(batch, 1, width)):
+                sid = set_id(grams)
+                if len(grams) and shared.value[2].get(sid, pick) == pick:
+                    first = _ordered_grams(grams, shared.value[0])[: prefix_length(len(grams), percent)]
+                    found.append((first, sid, len(grams)))
                     size += len(first)
                 if size >= MAX_ROWS:
                     yield columns(found)
@@ -148,18 +194,135 @@ def _entries(docs: DataFrame, text: str, width: int, percent: int, levels: np.nd
         if found:
             yield columns(found)
 
-    return docs.select(_content(text)).mapInArrow(run, "gram bigint, sid bigint, n int, place int")
+    # Without nulls, lest a join filter one use of the shuffled entries and not the other.
+    kinds = {"gram": "bigint", "salt": "int", "sid": "bigint", "copied": "boolean", "pos": "bigint"}
+    fields = ", ".join(f"{name} {kind} NOT NULL" for name, kind in kinds.items())
+    return docs.select(_pick(key, text), _content(text)).mapInArrow(run, fields)
+
+
+def _size(pos: str) -> Column:
+    return F.shiftright(pos, 32)
+
+
+def _place(pos: str) -> Column:
+    return F.col(pos).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _reaches(x: str, y: str, percent: int) -> Column:
+    """If this is the first column that two rows share, what follows still reaches the bound.
+
+    Of a pair that reaches it, the first shared column passes, and those that pass come before those
+    that do not, so no pair is lost.
+    """
+    rest = F.least(_size(x) - _place(x), _size(y) - _place(y))
+    return rest * (100 + percent) >= (_size(x) + _size(y)) * percent
+
+
+def _shared_columns(entries: DataFrame) -> DataFrame:
+    """Entries of columns with several rows, with the hub of their block: gram, salt, copied, sid, pos,
+    rank, hub, hub_pos.
+
+    The dealt entries serve both the hubs and the rows, so they are made and shuffled once. Rows of a
+    salted column stay even if alone in their block.
+    """
+    dealt = entries.repartition("gram", "salt")
+    flips = F.array(*[F.lit(x).cast("bigint") for x in FLIPS])
+    flip = F.element_at(flips, (F.pmod("gram", F.lit(len(FLIPS))) + 1).cast("int"))
+    mixed = F.col("sid").bitwiseXOR(flip)
+    # Smallest for sets with many copies.
+    rank = F.when(F.col("copied"), F.shiftright(mixed, 2) - F.lit(1 << 62)).otherwise(F.shiftright(mixed, 2))
+    # Conditions on aggregates, and both uses reading all columns: Spark then runs the exchange once.
+    blocks = (
+        dealt.groupBy("gram", "salt")
+        .agg(
+            F.min(rank).alias("rank"),
+            F.min_by("sid", rank).alias("hub"),
+            F.min_by("pos", rank).alias("hub_pos"),
+            F.min("sid").alias("low"),
+            F.max("sid").alias("high"),
+            F.max("salt").alias("block"),
+        )
+        .filter("low <> high OR block >= 0")
+        .drop("low", "high", "block")
+    )
+    found = dealt.join(blocks.hint("shuffle_hash"), ["gram", "salt"])
+    return found.select("gram", "salt", "copied", "sid", "pos", "rank", "hub", "hub_pos").distinct()
+
+
+def _first_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each row with the hub with which it shares most columns."""
+    columns = ["sid", "pos", "hub", "hub_pos"]
+    # A salted column's hub is the first of those of its blocks.
+    heavy = shared.filter("salt >= 0")
+    tops = heavy.groupBy("gram").agg(F.min_by("hub", "rank").alias("hub"), F.min_by("hub_pos", "rank").alias("hub_pos"))
+    rows = attach_by_key(heavy.select("gram", "sid", "pos"), tops, "gram", ["sid"]).select(columns)
+    rows = rows.unionByName(shared.filter("salt < 0").select(columns))
+    met = rows.filter((F.col("sid") != F.col("hub")) & _reaches("pos", "hub_pos", percent)).groupBy("sid", "hub")
+    best = met.agg(F.count(F.lit(1)).alias("count")).groupBy("sid").agg(F.max_by("hub", "count").alias("hub"))
+    return best.select(*_ordered("sid", "hub")).distinct()
+
 
+def _open_entries(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(gram, salt, sid, pos, root): entries of columns whose rows are in several groups, and of salted ones."""
+    placed = (
+        shared.select("gram", "salt", "sid", "pos")
+        .join(roots, F.col("sid") == F.col("node"), "left")
+        .select("gram", "salt", "sid", "pos", F.coalesce("root", "sid").alias("root"))
+    )
+    dealt = placed.repartition("gram", "salt")
+    blocks = dealt.groupBy("gram", "salt").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.max("salt").alias("block"),
+        F.max(F.greatest("sid", F.col("pos"))).alias("most"),  # never null: read for the exchange's sake
+    )
+    blocks = blocks.filter("(low <> high OR block >= 0) AND most IS NOT NULL").select("gram", "salt")
+    # Not a semi-join: Spark would move that below the exchange.
+    return dealt.join(blocks.hint("shuffle_hash"), ["gram", "salt"])
+
+
+def _product(shared: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, str]:
+    """Pairs of rows of different groups that can reach the threshold, with their overlap so far:
+    (a, b, count, after_a, after_b). What follows the places ``after_*`` is not counted yet."""
+    found, path = materialize(_open_entries(shared, roots), "open")
+    heavy = found.filter("salt >= 0")
+    mixed = heavy.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    open_entries = found.filter("salt < 0").unionByName(
+        heavy.join(mixed.select("gram"), "gram", "left_semi").select(found.columns)
+    )
+    left = open_entries.select("gram", *(F.col(c).alias(f"{c}_a") for c in ("sid", "pos", "root")))
+    right = open_entries.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("sid", "pos", "root")))
+    both = left.join(right, "gram").filter((F.col("root_a") < F.col("root_b")) & _reaches("pos_a", "pos_b", percent))
+    overlap = both.groupBy(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("count"),
+        F.max(_place("pos_a")).alias("after_a"),
+        F.max(_place("pos_b")).alias("after_b"),
+        F.max(_size("pos_a")).alias("n_a"),
+        F.max(_size("pos_b")).alias("n_b"),
+    )
+    most = F.col("count") + F.least(F.col("n_a") - F.col("after_a"), F.col("n_b") - F.col("after_b")) - 1
+    return overlap.filter(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).drop("n_a", "n_b"), path
+
+
+def _members(docs: DataFrame, key: str, text: str, width: int, rarity: Rarity, wanted: DataFrame) -> DataFrame:
+    """sid and grams, rare first, of the sets in ``wanted`` (pick), which names one row for each.
 
-def _members(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """sid and grams of the sets in ``wanted`` (pick), which names one row for each."""
+    A gram goes by 48 bits of its hash: two sets of 1,000 are told apart but for one in 10^8 pairs.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(rarity.levels)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows share a pick
         for batch in batches:
             sids, found, size = [], [], 0
             for grams in _sets(batch, 0, width):
-                sids.append(set_id(grams))
-                found.append(grams.view(np.int64))
+                sid = set_id(grams)
+                if sid in seen:
+                    continue
+                seen.add(sid)
+                sids.append(sid)
+                ordered = _ordered_grams(grams, shared.value).astype("<u8")
+                found.append(ordered.view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes())
                 size += len(grams)
                 if size >= MAX_ROWS:
                     yield pa.RecordBatch.from_pydict({"sid": sids, "grams": found})
@@ -168,47 +331,34 @@ def _members(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame
                 yield pa.RecordBatch.from_pydict({"sid": sids, "grams": found})
 
     rows = docs.select(_pick(key, text), _content(text)).join(broadcast_if_small(wanted), "pick", "left_semi")
-    sets = rows.select("text").mapInArrow(run, "sid bigint, grams array<bigint>")
-    return sets.groupBy("sid").agg(F.first("grams").alias("grams"))
-
+    return rows.select("text").mapInArrow(run, "sid bigint NOT NULL, grams binary NOT NULL")
 
-def _links(
-    docs: DataFrame, key: str, text: str, width: int, percent: int, pairs: DataFrame, rows: DataFrame
-) -> DataFrame:
-    """The pairs (a, b) whose whole overlap reaches the threshold; ``rows`` has pick and sid."""
-    asked_for = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    chosen = rows.join(asked_for, "sid", "left_semi").groupBy("sid").agg(F.min("pick").alias("pick"))
-    wanted, asked = materialize(chosen.select("pick"), "wanted")
-    members, path = materialize(_members(docs, key, text, width, wanted), "members")
-    left = members.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
-    right = members.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
-    sizes = F.size("left"), F.size("right")
-    near = F.least(*sizes) * 100 >= F.greatest(*sizes) * percent
-    common = F.size(F.array_intersect("left", "right"))
-    both = pairs.join(left, "a").join(right, "b").filter(near)
-    found, kept = materialize(
-        both.filter(common * (100 + percent) >= (sizes[0] + sizes[1]) * percent).select("a", "b"), "links"
-    )
-    discard(docs.sparkSession, asked, path)
-    return found
 
+def _unpacked(grams: pa.BinaryScalar, after: int) -> np.ndarray:
+    rows = np.frombuffer(grams.as_buffer(), np.uint8).reshape(-1, GRAM_BYTES)[after + 1 :]
+    return np.pad(rows, ((0, 0), (0, 8 - GRAM_BYTES))).view("<u8").ravel()
 
-def _ordered(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+def _alike(percent: int):
+    """Keep the pairs whose overlap, with what follows the counted places, reaches the threshold."""
 
-def _close(percent: int) -> Column:
-    """Sets of these sizes can be similar at all."""
-    return F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, count, after_a, after_b = (batch.column(i).to_pylist() for i in range(5))
+            kept = []
+            for at, left, right in zip(range(batch.num_rows), batch.column(5), batch.column(6)):
+                sizes = len(left.as_buffer()) + len(right.as_buffer())
+                rest = np.intersect1d(_unpacked(left, after_a[at]), _unpacked(right, after_b[at]), assume_unique=True)
+                if (count[at] + len(rest)) * (100 + percent) * GRAM_BYTES >= sizes * percent:
+                    kept.append(at)
+            if kept:
+                yield pa.RecordBatch.from_pydict({"a": [a[i] for i in kept], "b": [b[i] for i in kept]})
 
+    return run
 
-def _reaches(percent: int) -> Column:
-    """If this is the first column that the rows share, what follows still reaches the bound.
 
-    Of a pair that reaches it, the first shared column passes, so no pair is lost.
-    """
-    rest = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    return rest * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def linked(
@@ -219,69 +369,53 @@ def linked(
     A row's set: the distinct shingles of ``width`` words (ASCII white space between, A-Z in lower
     case), or all its words as one where there are fewer. Rows link when
     100 * overlap >= percent * union; component_id is the smallest key that links lead to. Rows without a word are
-    alone and have n_shingles 0. Equal sets, repeated rows included, are one row of the matrix, so
-    copies cost nothing beyond their first. Null keys are kept and never name a component unless all
-    its keys are null. An empty table gives an empty result; other columns are not read.
+    alone and have n_shingles 0. Equal sets, repeated rows included, are one row of the matrix; of the
+    sets with most copies, one row makes the entries. Null keys are kept and never name a component
+    unless all its keys are null. An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
-    sets, sets_path = materialize(_read_sets(docs, key, text, width), "sets")
-    rows = sets.filter(F.col("block").isNull()).select("key", "pick", "n", "sid")
-    levels = _rarity(sets.filter(F.col("block").isNotNull()).select("block", "counts"))
-    entries = _entries(docs, text, width, percent, levels)  # made twice: dearer to write than to make
-
-    flips = F.array(*[F.lit(x).cast("bigint") for x in FLIPS])
-    flip = F.element_at(flips, (F.pmod("gram", F.lit(len(FLIPS))) + 1).cast("int"))
-    hubs = (
-        entries.select("gram", F.col("sid").bitwiseXOR(flip).alias("x"))
-        .groupBy("gram")
-        .agg(F.min("x").alias("low"), F.max("x").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("gram", F.col("low").bitwiseXOR(flip).alias("hub"))
-    )
-    shared, shared_path = materialize(entries.join(hubs, "gram"), "shared")
-
-    hub_entries = shared.filter(F.col("sid") == F.col("hub")).select("gram", "sid", "n", "place").distinct()
-    a, b = shared.alias("a"), hub_entries.alias("b")
-    same = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.sid") != F.col("b.sid"))
-    starred = a.join(b, same & _close(percent) & _reaches(percent))
-    first, first_path = materialize(starred.select(*_ordered("a.sid", "b.sid")).distinct(), "pairs")
-    links = _links(docs, key, text, width, percent, first, rows)
-    roots = components(links)
-
-    # What the hubs have not settled: entries of a column whose rows are still in several groups.
-    placed = (
-        shared.select("gram", "sid", "n", "place")
-        .join(roots, F.col("sid") == F.col("node"), "left")
-        .select("gram", "sid", "n", "place", F.coalesce("root", "sid").alias("root"))
-    )
-    mixed = (
-        placed.groupBy("gram")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("gram")
-    )
-    open_entries, open_path = materialize(placed.join(mixed, "gram", "left_semi").distinct(), "open")
-    a, b = open_entries.alias("a"), open_entries.alias("b")
-    apart = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") < F.col("b.root"))
-    product = a.join(b, apart & _close(percent) & _reaches(percent))
-    bounded = product.select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
+    sets, _ = materialize(_read_sets(docs, key, text, width), "sets")
+    rows = sets.filter(F.col("block").isNull()).select("key", "pick", "n", "sid", "at")
+    rarity = _rarity(sets.filter(F.col("block").isNotNull()).select("block", "counts"))
+    entries = _entries(docs, key, text, width, percent, rarity, _copied(rows))
+    shared, shared_path = materialize(_shared_columns(entries), "shared")
+    picks = rows.filter("n > 0").groupBy("sid").agg(F.min("pick").alias("pick"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` whose whole overlap reaches the threshold: (a, b)."""
+        asked_for = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+        wanted, asked = materialize(picks.join(asked_for, "sid", "left_semi").select("pick"), "wanted")
+        members = _members(docs, key, text, width, rarity, wanted)  # shuffled once for both sides
+        left = members.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
+        right = members.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
+        n = F.octet_length("left"), F.octet_length("right")
+        near = F.least(*n).cast("long") * 100 >= F.greatest(*n).cast("long") * percent
+        both = pairs.join(left, "a").join(right, "b").filter(near)
+        both = both.select("a", "b", *(F.col(c).cast("long").alias(c) for c in ("count", "after_a", "after_b")), "left", "right")
+        found, _ = materialize(both.mapInArrow(_alike(percent), "a bigint, b bigint").distinct(), "links")
+        discard(spark, asked)
+        return found
+
+    first, first_path = materialize(_first_pairs(shared, percent), "pairs")
+    uncounted = [F.lit(0).alias("count"), F.lit(-1).alias("after_a"), F.lit(-1).alias("after_b")]
+    roots = components(verified(first.select("a", "b", *uncounted)))
+    product, open_path = _product(shared, roots, percent)
+    # A pair of the product is unordered; those that were tried already have failed.
     tried = first.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
-    second = bounded.select(*_ordered("x", "y")).join(
-        tried, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"
-    )
-    second, second_path = materialize(second, "pairs")
-    more = _links(docs, key, text, width, percent, second, rows)
+    same = (F.least("a", "b") == F.col("ta")) & (F.greatest("a", "b") == F.col("tb"))
+    second, second_path = materialize(product.join(tried, same, "left_anti"), "pairs")
+    more = verified(second)
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     discard(spark, shared_path, first_path, open_path, second_path)
 
-    grouped = rows.join(roots, F.col("sid") == F.col("node"), "left").select(
-        "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root")
-    )
-    names = grouped.groupBy("root").agg(F.min("key").alias("name")).withColumnRenamed("root", "r")
-    return grouped.join(names, F.col("root") == F.col("r"), "left").select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("key")).alias("component_id"),
+    # Copies share a set and a root; both may be hot.
+    some = attach_by_key(rows.filter("n > 0"), roots.withColumnRenamed("node", "sid"), "sid", ["at"])
+    grouped = some.select("key", "n", "at", F.coalesce("root", "sid").alias("root"))
+    names = grouped.groupBy("root").agg(F.min("key").alias("name"))
+    named = attach_by_key(grouped, names, "root", ["at"]).select("key", "n", "name")
+    alone = rows.filter("n = 0").select("key", "n", F.col("key").alias("name"))
+    return named.unionByName(alone).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("name").alias("component_id")
     )
 
 

@@ -212,6 +212,7 @@ def sharded_documents(
         F.crc32(data).alias("text_crc32"),
         F.unhex(F.md5(data)).alias("digest"),
     )
+    narrow, _ = materialize(narrow, "digests")  # texts are read and hashed once
     placed = even_shards(narrow, "digest", ["key", "digest"], shards, rounds)
     return placed.select(
         F.col("key").alias(key),
