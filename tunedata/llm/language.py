@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import internal
+from tunedata.llm.common import internal, tidied
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -147,4 +147,4 @@ def identify(
     schema = docs.select("*").schema  # one of its own, since add() changes it
     for name, kind in zip(names, ("string", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
-    return ready.mapInArrow(_predict(dictionaries, text, names, level, margin), schema)
+    return ready.mapInArrow(tidied(_predict(dictionaries, text, names, level, margin)), schema)

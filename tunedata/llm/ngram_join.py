@@ -29,7 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunedata.llm.common import add_up, broadcast_if_small, discard, internal, materialize, pack_arrays, unpack_array
+from tunedata.llm.common import (
+    add_up,
+    broadcast_if_small,
+    discard,
+    internal,
+    materialize,
+    pack_arrays,
+    tidied,
+    unpack_array,
+)
 from tunedata.llm.components import components
 from tunedata.llm.hashing import mix, shingles, word_hashes
 from tunedata.operators.lookup import attach_by_key
@@ -113,7 +122,7 @@ def _read_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType)])
     for name, kind in (("pick", "long"), ("n", "long"), ("sid", "long"), ("at", "long"), ("block", "integer"), ("counts", "binary")):
         schema = schema.add(name, kind)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 class Rarity(NamedTuple):
@@ -197,7 +206,7 @@ def _entries(
     # Without nulls, lest a join filter one use of the shuffled entries and not the other.
     kinds = {"gram": "bigint", "salt": "int", "sid": "bigint", "copied": "boolean", "pos": "bigint"}
     fields = ", ".join(f"{name} {kind} NOT NULL" for name, kind in kinds.items())
-    return docs.select(_pick(key, text), _content(text)).mapInArrow(run, fields)
+    return docs.select(_pick(key, text), _content(text)).mapInArrow(tidied(run), fields)
 
 
 def _size(pos: str) -> Column:
@@ -331,7 +340,7 @@ def _members(docs: DataFrame, key: str, text: str, width: int, rarity: Rarity, w
                 yield pa.RecordBatch.from_pydict({"sid": sids, "grams": found})
 
     rows = docs.select(_pick(key, text), _content(text)).join(broadcast_if_small(wanted), "pick", "left_semi")
-    return rows.select("text").mapInArrow(run, "sid bigint NOT NULL, grams binary NOT NULL")
+    return rows.select("text").mapInArrow(tidied(run), "sid bigint NOT NULL, grams binary NOT NULL")
 
 
 def _unpacked(grams: pa.BinaryScalar, after: int) -> np.ndarray:
@@ -392,7 +401,7 @@ def linked(
         near = F.least(*n).cast("long") * 100 >= F.greatest(*n).cast("long") * percent
         both = pairs.join(left, "a").join(right, "b").filter(near)
         both = both.select("a", "b", *(F.col(c).cast("long").alias(c) for c in ("count", "after_a", "after_b")), "left", "right")
-        found, _ = materialize(both.mapInArrow(_alike(percent), "a bigint, b bigint").distinct(), "links")
+        found, _ = materialize(both.mapInArrow(tidied(_alike(percent)), "a bigint, b bigint").distinct(), "links")
         discard(spark, asked)
         return found
 
