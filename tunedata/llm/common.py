@@ -72,17 +72,16 @@ def open_shared(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def tidied(run, keep: bool = False):
+def tidied(run):
     """``run`` for mapInArrow, which gives memory back when a task ends: Spark keeps Python workers, and
     what allocators hold would add up over the stages of a job. So would an encoder that another
-    operator has left (``token_files``); with ``keep`` it stays for the next task."""
+    operator has left (``token_files``)."""
 
     def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            if not keep:
-                sys.modules.pop("_tunedata_encoders", None)
+            sys.modules.pop("_tunedata_encoders", None)
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
                 ctypes.CDLL(None).malloc_trim(0)

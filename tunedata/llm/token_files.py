@@ -23,7 +23,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import open_shared, scratch, tidied
+from tunedata.llm.common import open_shared, scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -32,7 +32,7 @@ HEADER = "<4sBBxxI"  # magic, version, bits, ids per block
 TRAILER = "<QQQ4s"  # ids, documents, begin of the index, magic
 BLOCK_IDS = 1 << 16
 END_ID = 0
-MEMO = 250_000
+MEMO = 500_000
 CHUNK = 1_000_000
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -295,7 +295,7 @@ def write_tokens(
                 names=list(found),
             )
 
-    return ordered.mapInArrow(tidied(write, keep=True), MANIFEST)
+    return ordered.mapInArrow(write, MANIFEST)
 
 
 def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
