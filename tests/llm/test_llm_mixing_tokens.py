@@ -1,13 +1,15 @@
+import hashlib
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from hypothesis import given as gives
 from hypothesis import settings
 from hypothesis import strategies as st
-from llm_cases import documents, frame
+from llm_cases import CLASH, documents, frame
 
 from tunedata.llm import mixing
 from tunedata.llm import token_files as tf
@@ -29,28 +31,72 @@ def fill(sizes, weights, budget, cap):
     return [min(cap * s, w * high) for s, w in zip(sizes, weights, strict=True)]
 
 
+def fair_queue(rows):
+    """Copies taken of each row (by its place in ``rows``): a plain queue, cut at the budget."""
+    size = [len(WORD.findall(row[1] or "")) for row in rows]
+    names = sorted({row[3] for row in rows}, key=lambda s: (s is None, s))
+    copies = []
+    for turn, name in enumerate(names):
+        own = [i for i, row in enumerate(rows) if row[3] == name]
+        own.sort(key=lambda i: (hashlib.md5(str(first_known(*rows[i][:2])).encode()).digest(), size[i]))
+        served = 0
+        for _ in range(3):
+            for i in own:
+                served += size[i]
+                copies.append((Fraction(served, (5, 2, 1)[turn % 3]), turn, i))
+    taken, left = Counter(), sum(size)
+    for *_, i in sorted(c for c in copies if size[c[2]]):
+        left -= size[i]
+        if left < 0:
+            break
+        taken[i] += 1
+    return size, taken
+
+
+def first_known(*values):
+    return next((v for v in values if v is not None), "")
+
+
 def test_targets_and_shares(spark):
     rows = documents() + [(9000 + i, "w " * (i % 50), "en", f"big{i % 2}", 0, *"abcdefg") for i in range(400)]
     found = mixing.mixed_sizes(frame(spark, rows)).collect()
-    assert len(found) == len(rows)
+    size, taken = fair_queue(rows)
+    expected = Counter((row[0], size[i], size[i] * taken[i]) for i, row in enumerate(rows))
+    assert Counter((r.doc_id, r.size, r.taken) for r in found) == expected
     sizes = Counter()
-    for row in rows:
-        sizes[row[3]] += len(WORD.findall(row[1] or ""))
+    for i, row in enumerate(rows):
+        sizes[row[3]] += size[i]
     names = sorted(sizes, key=lambda s: (s is None, s))
     weights = [(5, 2, 1)[i % 3] for i in range(len(names))]
     targets = fill([sizes[s] for s in names], weights, sum(sizes.values()), 3)
     target = dict(zip(names, targets, strict=True))
     source = {r[0]: r[3] for r in rows}
-    taken, largest = Counter(), Counter()
     for row in found:
         s = source[row.doc_id] if row.doc_id is not None else "src3"
         assert row.source_size == sizes[s]
         assert row.target == pytest.approx(target[s], rel=1e-9)
-        assert row.taken <= 3 * row.size and (row.size == 0 or row.taken % row.size == 0)
-        taken[s] += row.taken
-        largest[s] = max(largest[s], row.size)
-    for s in names:
-        assert target[s] - largest[s] - 1e-6 <= taken[s] <= target[s] + 1e-6
+        assert row.taken <= 3 * row.size
+    total = sum(sizes.values())
+    assert total - max(size) < sum(r.taken for r in found) <= total
+
+
+def test_budget_is_spent_and_sources_come_near_their_targets(spark):
+    rows = [(i, "w " * (i % 30 + 1), "en", f"s{i % 7}", 0, *CLASH) for i in range(7000)]
+    found = mixing.mixed_sizes(frame(spark, rows)).collect()
+    assert 0 <= sum(r.size for r in found) - sum(r.taken for r in found) < 30
+    taken, target = Counter(), {}
+    for r in found:
+        taken[r.doc_id % 7] += r.taken
+        target[r.doc_id % 7] = r.target
+    assert all(abs(taken[s] - target[s]) <= 60 for s in target)
+
+
+def test_many_rows_without_ids(spark):
+    rows = [(None, "w " * (i % 40) + str(i), "en", None, 0, *CLASH) for i in range(600)]
+    docs = frame(spark, rows)
+    size, taken = fair_queue(rows)
+    expected = Counter({rows[i][1]: n for i, n in taken.items()})
+    assert Counter(r.text for r in mixing.mix(docs).collect()) == expected
 
 
 def test_result_does_not_depend_on_buckets_or_partitions(spark):
@@ -60,18 +106,23 @@ def test_result_does_not_depend_on_buckets_or_partitions(spark):
 
 
 def test_mix_takes_what_the_sizes_say(spark):
-    rows = [r for r in documents() if r[0] not in (None, 1010)]
+    rows = documents()
     docs = frame(spark, rows)
     found = mixing.mix(docs)
     assert found.columns == docs.columns
-    copies = Counter(r.doc_id for r in found.collect())
-    expected = {r.doc_id: r.taken // r.size for r in mixing.mixed_sizes(docs).collect() if r.taken}
-    assert copies == expected and max(copies.values()) <= 3
+    _, taken = fair_queue(rows)
+    expected = Counter()
+    for i, n in taken.items():
+        expected[rows[i][:4]] += n
+    assert Counter((r.doc_id, r.text, r.lang, r.source) for r in found.collect()) == expected
 
 
 def test_mix_of_repeated_rows_and_of_nothing(spark):
     rows = [(7, "a b c", "en", "s", 5, *"abcdefg")] * 4
-    assert mixing.mix(frame(spark, rows)).count() >= 1
+    assert mixing.mix(frame(spark, rows)).count() == 4
+    rows += [(7, "x y z", "en", "t", 5, *"abcdefg"), (7, "d e f", "en", "s", 5, *"abcdefg")]
+    found = Counter((r.source, r.text) for r in mixing.mix(frame(spark, rows)).collect())
+    assert sum(found.values()) == 6 and found["t", "x y z"] <= 3 and found["s", "d e f"] <= 3
     assert mixing.mix(frame(spark, [])).collect() == []
     assert mixing.mixed_sizes(frame(spark, [])).collect() == []
 

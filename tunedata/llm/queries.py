@@ -148,7 +148,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
     "op6_mixing": rf"""
-WITH d AS (SELECT doc_id, source, {_WORDS} AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+WITH d AS (SELECT doc_id, source, {_WORDS} AS size, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS place
            FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              row_number() OVER (ORDER BY source NULLS LAST) AS turn FROM d GROUP BY source),
@@ -160,16 +160,19 @@ x AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER b
                     after AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source NULLS LAST
                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 l AS (SELECT *, max(split) OVER () AS level FROM x),
-c AS (SELECT d.doc_id, d.size, l.source_size, l.weight, l.level,
+c AS (SELECT d.doc_id, d.size, l.source_size, l.turn, 10 // l.weight AS pace,
              least(CAST(3 * l.source_size AS DOUBLE), l.weight * l.level) AS target,
              sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size
                                ROWS UNBOUNDED PRECEDING) AS served
-      FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source)
+      FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source),
+k AS (SELECT size, turn, (served + unnest([0, 1, 2]) * source_size) * pace AS finish FROM c WHERE size > 0),
+m AS (SELECT finish, turn, sum(size) OVER (ORDER BY finish, turn ROWS UNBOUNDED PRECEDING) AS spent FROM k),
+e AS (SELECT min(finish * 1000000 + turn) AS first_out FROM m WHERE spent > (SELECT sum(size) FROM d))
 SELECT doc_id, size, source_size, target,
-       CAST(size * (CAST(CAST(served AS DOUBLE) / weight <= level AS INT)
-                  + CAST(CAST(served + source_size AS DOUBLE) / weight <= level AS INT)
-                  + CAST(CAST(served + 2 * source_size AS DOUBLE) / weight <= level AS INT)) AS BIGINT) AS taken
-FROM c""",
+       CAST(size * (CAST(served * pace * 1000000 + turn < first_out AS INT)
+                  + CAST((served + source_size) * pace * 1000000 + turn < first_out AS INT)
+                  + CAST((served + 2 * source_size) * pace * 1000000 + turn < first_out AS INT)) AS BIGINT) AS taken
+FROM c, e""",
 }
 
 
