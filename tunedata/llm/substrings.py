@@ -3,16 +3,21 @@
 A position's bucket holds all positions at which the same bytes follow; its identifier names it
 everywhere. Identifiers for 2m bytes come from those for m bytes at the position and at m bytes
 later, so every refinement reuses the previous ones. They are 64-bit fingerprints in place of ranks:
-no order between tasks is needed to compare them.
-
-1. Initial buckets are those of 32 bytes. Only anchors are kept: of every window of ``width`` bytes
-   the position with the smallest identifier. Equal windows have equal anchors, and an anchor stands
-   for the run of windows that share it. Buckets with a single anchor are final and leave.
-2. Buckets are refined by identifiers of later offsets up to the whole run of windows. Runs in one
-   refined bucket are repeated as a whole.
-3. Where runs differ, buckets are refined by what lies before and behind the anchor for a good half
-   of a window; parts whose bucket is single leave.
-4. What is left is refined to single windows: a window is repeated if its bucket has two positions.
+no order between tasks is needed to compare them, and buckets meet by sorting rows on them.
+
+Windows are the strings of ``width`` bytes. A window is named by its anchor, the position of its
+smallest 32-byte identifier, and by how far it begins before the anchor. Equal windows have equal
+anchors and distances, so one row stands for all windows of one anchor: one in about 85 bytes.
+
+1. The initial bucket of a row is the 32 bytes at its anchor, which all its windows hold.
+2. Rows that are alone in their bucket are settled: none of their windows is repeated. So are rows
+   whose whole run of windows is equal to another one: all of them are.
+3. Where runs in a bucket differ, one row of each kind goes on. Its distances are halved, and each half
+   is refined to the bucket of all bytes that its windows have in common, by identifiers of later
+   offsets; then 2 is applied again, down to single windows.
+
+Halves are cut at fixed distances, not at the ends of a run, so that equal windows of two runs are
+always in the same bucket. Beyond the first step a row carries its own few hundred bytes.
 """
 
 from __future__ import annotations
@@ -24,21 +29,26 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import discard, materialize
+from tunedata.llm.common import discard, internal, materialize, tidied
+from tunedata.operators.lookup import attach_by_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WIDTH = 200
 GRAM = 32
+LARGEST = 256
 CHUNK = 1 << 17
-MAX_ROWS = 50_000
+PARTS = 400
+HOT_ROWS = 10_000
+HOT_BUCKETS = 4096
+SPREAD = 64
 _POSITION = np.uint64((1 << 24) - 1)
 
 _VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
-_FACTORS = np.random.default_rng(13).integers(1, 1 << 63, (8, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = np.random.default_rng(13).integers(1, 1 << 63, (9, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _combine(first: np.ndarray, later: np.ndarray, level: int) -> np.ndarray:
@@ -49,32 +59,34 @@ def _combine(first: np.ndarray, later: np.ndarray, level: int) -> np.ndarray:
 
 
 class Buckets:
-    """Identifiers of all positions of some bytes, for 32, 64 and 128 bytes.
+    """Identifiers of all positions of some bytes, for 32, 64, 128 and 256 bytes.
 
     Zeros behind the end let each array have one element per byte; identifiers that reach them are
-    never used, since only windows within a text are looked at.
+    never used, since only strings within a text are looked at.
     """
 
     def __init__(self, data: np.ndarray):
-        ids = _VALUES[np.concatenate([data, np.zeros(128, np.uint8)])]
+        ids = _VALUES[np.concatenate([data, np.zeros(LARGEST, np.uint8)])]
         self.by: dict[int, np.ndarray] = {}
-        size = 1
-        for level in range(7):
+        size, level = 1, 0
+        while size < LARGEST:
             ids = _combine(ids[:-size], ids[size:], level)
-            size *= 2
-            self.by[size] = ids
-        self.size = len(data)
+            size, level = size * 2, level + 1
+            if size >= GRAM:
+                self.by[size] = ids
 
-    def span(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """Identifier of ``length`` bytes (64 to 256) from two buckets that overlap."""
-        half = 128 if length >= 128 else 64
-        ids = self.by[half]
-        return _combine(ids[starts], ids[starts + (length - half)], 7)
+    def cover(self, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two buckets that together hold ``lengths`` bytes (32 to 512)."""
+        first, later = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
+        for size, ids in self.by.items():
+            own = (lengths >= size) & ((lengths < 2 * size) | (size == LARGEST))
+            first[own] = ids[starts[own]]
+            later[own] = ids[starts[own] + lengths[own] - size]
+        return first, later
 
-    def window(self, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits for ``width`` bytes (128 to 256)."""
-        ids = self.by[128]
-        return ids[starts], ids[starts + (width - 128)]
+    def one(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """One identifier of ``lengths`` bytes."""
+        return _combine(*self.cover(starts, lengths), 8)
 
 
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -90,8 +102,8 @@ def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, ends: np.ndarray, width: int) -> dict[str, np.ndarray]:
     """Anchors of the texts that lie in ``data`` one after the other, ending at ``ends``.
 
-    first, last: the windows, by their starts, that share the anchor; gram: its bucket; run, rest:
-    the bucket of the whole run; left, right: those of the bytes before and behind; at: its place.
+    at: the anchor's place; low, high: how far before it the last and the first of its windows begin;
+    core: the bucket of its 32 bytes; one, two: buckets that hold all its windows.
     """
     starts = np.concatenate([[0], ends[:-1]])
     counts = np.maximum(ends - starts - width + 1, 0)
@@ -105,23 +117,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, width: int) -> dict[str, np.ndar
     edge = np.flatnonzero(np.diff(at)) + 1
     first, last = begin[np.concatenate([[0], edge])], begin[np.concatenate([edge - 1, [len(begin) - 1]])]
     at = at[np.concatenate([[0], edge])]
-    length = last - first + width
-    # Three buckets of 128 bytes cover a run: runs have at most 2 * width - GRAM bytes.
-    ids = buckets.by[128]
-    middle = first + np.minimum(length - 128, 120)
-    shape = ((first - at) * 1024 + length).astype(np.uint64)
-    rest = _combine(_combine(ids[middle], ids[first + length - 128], 7), shape, 6)
-    half = (width - GRAM) // 2
-    return {
-        "first": first,
-        "last": last,
-        "at": at,
-        "gram": gram[at],
-        "run": ids[first],
-        "rest": rest,
-        "left": buckets.span(np.maximum(at - half, 0), half + GRAM),
-        "right": buckets.span(np.minimum(at, len(data) - 1), half + GRAM),
-    }
+    one, two = buckets.cover(first, last - first + width)
+    return {"at": at, "low": at - last, "high": at - first, "core": gram[at], "one": one, "two": two}
 
 
 def _pieces(column: pa.BinaryArray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
@@ -148,12 +145,15 @@ def _pieces(column: pa.BinaryArray, width: int) -> Iterator[tuple[np.ndarray, np
         row = end
 
 
-ANCHOR = "mark bigint, first int, last int, at int, gram bigint, run bigint, rest bigint, left bigint, right bigint"
+ROW = "mark bigint, at int, low smallint, high smallint, cell smallint, core bigint, one bigint, two bigint"
+PART = "mark bigint, at int, low smallint, high smallint, cell smallint, size smallint, piece binary"
 
 
-def _read_anchors(texts: DataFrame, width: int) -> DataFrame:
-    names = [part.split()[0] for part in ANCHOR.split(", ")]
+def _columns(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
 
+def _read_anchors(texts: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(0).to_numpy(zero_copy_only=False)
@@ -161,50 +161,128 @@ def _read_anchors(texts: DataFrame, width: int) -> DataFrame:
                 found = anchors(data, ends, width)
                 if not found:
                     continue
-                text = np.searchsorted(ends, found["first"], "right")
+                text = np.searchsorted(ends, found["at"], "right")
                 shift = np.concatenate([[0], ends[:-1]])[text] - offset
-                arrays = [pa.array(marks[row + text])]
-                arrays += [pa.array((found[c] - shift).astype(np.int32)) for c in ("first", "last", "at")]
-                arrays += [pa.array(found[c].view(np.int64)) for c in names[4:]]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                arrays = [pa.array(marks[row + text]), pa.array((found["at"] - shift).astype(np.int32))]
+                arrays += [pa.array(found[c].astype(np.int16)) for c in ("low", "high")]
+                arrays += [pa.array(np.zeros(len(text), np.int16))]
+                arrays += [pa.array(found[c].view(np.int64)) for c in ("core", "one", "two")]
+                yield pa.RecordBatch.from_arrays(arrays, names=_columns(ROW))
 
-    return texts.mapInArrow(run, ANCHOR)
+    return texts.mapInArrow(tidied(run), ROW)
 
 
-def _read_windows(texts: DataFrame, width: int) -> DataFrame:
-    """Identifiers of the windows at the starts given as ranges: (mark, start, one, two)."""
+def _cut_out(texts: DataFrame, width: int) -> DataFrame:
+    """Parts from (mark, text, places): the bytes that the windows of each place cover."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, texts_, ranges = (batch.column(i) for i in range(3))
-            rows: list[tuple[np.ndarray, ...]] = []
-            size = 0
-            for at in range(batch.num_rows):
-                data = np.frombuffer(texts_[at].as_buffer(), np.uint8)
-                spans = np.array([(r["a"], r["b"]) for r in ranges[at].as_py()], np.int64)
-                for begin in range(0, max(len(data) - width + 1, 0), CHUNK):
-                    low = np.maximum(spans[:, 0], begin)
-                    high = np.minimum(spans[:, 1], min(begin + CHUNK, len(data) - width + 1) - 1)
-                    parts = [np.arange(a, b + 1) for a, b in zip(low, high, strict=True) if a <= b]
-                    if not parts:
-                        continue
-                    starts = np.unique(np.concatenate(parts))
-                    buckets = Buckets(data[begin : begin + CHUNK + width])
-                    one, two = buckets.window(starts - begin, width)
-                    mark = np.full(len(starts), marks[at].as_py(), np.int64)
-                    rows.append((mark, starts.astype(np.int32), one.view(np.int64), two.view(np.int64)))
-                    size += len(starts)
-                    if size >= MAX_ROWS:
-                        yield joined(rows)
-                        rows, size = [], 0
-            if rows:
-                yield joined(rows)
+            for row in range(batch.num_rows):
+                mark, text = batch.column(0)[row].as_py(), batch.column(1)[row].as_buffer()
+                places = batch.column(2)[row].as_py()
+                for begin in range(0, len(places), 5000):
+                    own = [(p["at"], p["low"], p["high"]) for p in places[begin : begin + 5000]]
+                    at, low, high = zip(*own, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([mark] * len(own), pa.int64()),
+                            pa.array(at, pa.int32()),
+                            pa.array(low, pa.int16()),
+                            pa.array(high, pa.int16()),
+                            pa.array([0] * len(own), pa.int16()),
+                            pa.array([width - GRAM + 1] * len(own), pa.int16()),
+                            pa.array([text[a - h : a - w + width].to_pybytes() for a, w, h in own], pa.binary()),
+                        ],
+                        names=_columns(PART),
+                    )
+
+    return texts.mapInArrow(tidied(run), PART)
+
+
+def _halves(parts: DataFrame, width: int) -> DataFrame:
+    """The two halves of each part that hold windows, with the buckets of the bytes that a half's
+    windows have in common and of all its bytes."""
 
-    def joined(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        arrays = [pa.array(np.concatenate(part)) for part in zip(*rows, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=["mark", "start", "one", "two"])
-
-    return texts.mapInArrow(run, "mark bigint, start int, one bigint, two bigint")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, PARTS):
+                batch = whole.slice(begin, PARTS)
+                mark, at, low, high, cell, size = (
+                    batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6)
+                )
+                bytes_ = [p.as_buffer() for p in batch.column(6)]
+                data = np.frombuffer(b"".join(bytes_), np.uint8)
+                buckets = Buckets(data)
+                origin = np.cumsum([0] + [len(p) for p in bytes_[:-1]])
+                half = (size + 1) // 2
+                for from_, count in ((cell, half), (cell + half, size - half)):
+                    to = from_ + count - 1
+                    least, most = np.maximum(low, from_), np.minimum(high, to)
+                    own = np.flatnonzero(least <= most)
+                    if not len(own):
+                        continue
+                    least, most, upto, start = least[own], most[own], to[own], from_[own]
+                    base = origin[own] + high[own]
+                    core = buckets.one(base - start, start - upto + width)
+                    one, two = buckets.cover(base - most, most - least + width)
+                    cuts = zip(own, high[own] - most, high[own] - least + width, strict=True)
+                    kept = [bytes_[i][int(a) : int(b)].to_pybytes() for i, a, b in cuts]
+                    shorts = (x.astype(np.int16) for x in (least, most, start))
+                    arrays = [pa.array(mark[own]), pa.array(at[own].astype(np.int32)), *map(pa.array, shorts)]
+                    arrays += [pa.array(x.view(np.int64)) for x in (core, one, two)]
+                    arrays += [pa.array(count[own].astype(np.int16)), pa.array(kept, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*_columns(ROW), "size", "piece"])
+
+    return parts.mapInArrow(tidied(run), f"{ROW}, size smallint, piece binary")
+
+
+def _settle(rows: DataFrame, *carried: str) -> tuple[DataFrame, str] | None:
+    """Rows that share their bucket: ``shared`` if the whole run is found elsewhere, ``open`` if the
+    row is the one of its kind that has to be refined; rows that are neither are left out.
+
+    At most ``HOT_BUCKETS`` buckets can hold more than that part of all rows: their list is
+    broadcast, and their rows meet what is known of the bucket under ``SPREAD`` salts.
+    """
+    spark, bucket, kind = rows.sparkSession, ["cell", "core"], ["low", "high", "one", "two"]
+    look = F.xxhash64(*kind)
+    several = rows.groupBy(*bucket).agg(
+        F.count(F.lit(1)).alias("n"), (F.min(look) != F.max(look)).alias("mixed")
+    )
+    several, several_path = materialize(several.filter("n > 1"), "buckets")
+    total = several.agg(F.sum("n")).first()[0]
+    if total is None:
+        discard(spark, several_path)
+        return None
+    hot = F.col("n") > max(HOT_ROWS, total // HOT_BUCKETS)
+
+    def salts(is_hot: Column) -> Column:
+        return F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(-1))))
+
+    own = rows.withColumn("own", F.xxhash64("mark", "at"))
+    salted = own.join(F.broadcast(several.filter(hot).select(*bucket, F.lit(True).alias("hot"))), bucket, "left")
+    salted = salted.withColumn("salt", F.when(F.col("hot"), F.pmod("own", F.lit(SPREAD)).cast("int")).otherwise(-1))
+    slots = several.select(*bucket, "mixed", salts(hot).alias("salt"))
+    kept, kept_path = materialize(salted.drop("hot").join(slots, [*bucket, "salt"]), "kept")
+
+    twins = kept.groupBy(*bucket, *kind).agg(
+        F.count(F.lit(1)).alias("places"), F.min("own").alias("chosen"), F.max("salt").alias("top")
+    )
+    twins = twins.filter("places > 1").select(*bucket, *kind, "chosen", salts(F.col("top") >= 0).alias("salt"))
+    shared = F.col("chosen").isNotNull()
+    goes_on = F.col("mixed") & (F.col("chosen").isNull() | (F.col("own") == F.col("chosen")))
+    placed = (
+        kept.join(twins, [*bucket, *kind, "salt"], "left")
+        .withColumn("shared", shared)
+        .withColumn("open", goes_on)
+        .filter("shared or open")
+        .select(
+            "mark", "at", "low", "high", "cell", "shared", "open",
+            *[F.when(F.col("open"), F.col(c)).alias(c) for c in carried],
+        )
+    )
+    found = materialize(placed, "placed")
+    discard(spark, several_path, kept_path)
+    return found
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -219,93 +297,84 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(mark, a, b): half-open byte ranges that windows found elsewhere cover, for (mark, text, pick).
+    """(mark, a, b): half-open byte ranges that windows found elsewhere cover, for (mark, text).
 
-    ``text`` is binary and never null. Equal texts have equal marks; each of their rows counts as a
-    place of its own, but the ranges come out once. ``pick`` tells the rows of a mark apart.
+    ``text`` is binary and never null, one row per mark; ranges may overlap and come out repeatedly.
     """
     spark = texts.sparkSession
-    every, every_path = materialize(_read_anchors(texts.select("mark", "text"), width), "anchors")
-    several = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    own = F.xxhash64("mark", "first").alias("own")
-    kept, kept_path = materialize(every.join(several, "gram", "left_semi").select("*", own), "anchors")
-    discard(spark, every_path)
-
-    runs = kept.groupBy("gram", "run", "rest").agg(
-        F.count(F.lit(1)).alias("places"), F.min("own").alias("chosen")
-    )
-    kinds = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
-    placed, placed_path = materialize(
-        kept.join(runs, ["gram", "run", "rest"]).join(kinds, "gram"), "anchors"
-    )
-    discard(spark, kept_path)
-    whole = placed.filter(F.col("places") > 1).select(
-        "mark", F.col("first").alias("a"), (F.col("last") + width).alias("b")
-    )
+    tables: list[DataFrame] = []
+    paths: list[str] = []
 
-    # One place of each kind of run in buckets with several kinds.
-    half = (width - GRAM) // 2
-    unlike = placed.filter((F.col("kinds") > 1) & (F.col("own") == F.col("chosen")))
-    sides = []
-    for side, low, high in (
-        ("left", F.col("first"), F.least("last", F.col("at") - half)),
-        ("right", F.greatest("first", F.col("at") - half + 1), F.col("last")),
-    ):
-        part = unlike.select("mark", side, "own", low.alias("a"), high.alias("b")).filter("a <= b")
-        shared = part.groupBy(side).agg(F.min("own").alias("low"), F.max("own").alias("high"))
-        sides.append(
-            part.join(shared.filter("low <> high").select(side), side, "left_semi").select("mark", "a", "b")
+    def add(placed: tuple[DataFrame, str]) -> DataFrame:
+        rows, path = placed
+        spans = rows.filter("shared").select(
+            "mark", (F.col("at") - F.col("high")).alias("a"), (F.col("at") - F.col("low") + width).alias("b")
         )
-    ranges = sides[0].unionByName(sides[1]).distinct()
-    lists = ranges.groupBy("mark").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
-    # Of equal texts one row is read, so that many copies neither meet in one task nor repeat its work.
-    firsts = texts.groupBy("mark").agg(F.min("pick").alias("pick"))
-    ranges, ranges_path = materialize(lists.join(firsts, "mark"), "ranges")
-    wanted = texts.join(ranges, ["mark", "pick"]).select("mark", "text", "ranges")
-    windows, windows_path = materialize(_read_windows(wanted, width), "windows")
-    place = F.xxhash64("mark", "start")
-    twice = (
-        windows.groupBy("one", "two")
-        .agg(F.min(place).alias("low"), F.max(place).alias("high"))
-        .filter("low <> high")
-        .select("one", "two")
-    )
-    single = windows.join(twice, ["one", "two"], "left_semi").select(
-        "mark", F.col("start").alias("a"), (F.col("start") + width).alias("b")
-    )
-    found, _ = materialize(whole.unionByName(single).distinct(), "spans")
-    discard(spark, placed_path, ranges_path, windows_path)
+        tables.append(spans)
+        paths.append(path)
+        return rows.filter("open")
+
+    placed = _settle(_read_anchors(texts, width))
+    if placed is not None:
+        places = add(placed).groupBy("mark").agg(F.collect_list(F.struct("at", "low", "high")).alias("places"))
+        parts, last = materialize(_cut_out(texts.join(places, "mark").select("mark", "text", "places"), width), "parts")
+        for step in range((width - GRAM).bit_length()):
+            halves, halves_path = materialize(_halves(parts.select(*_columns(PART)), width), "halves")
+            if step == 0:
+                discard(spark, last)
+            placed = _settle(halves, "size", "piece")
+            discard(spark, halves_path)
+            if placed is None:
+                break
+            parts = add(placed)
+            if parts.isEmpty():
+                break
+    if not tables:
+        return spark.createDataFrame([], "mark bigint, a int, b int")
+    every = tables[0]
+    for rows in tables[1:]:
+        every = every.unionByName(rows)
+    found, _ = materialize(every, "spans")
+    discard(spark, *paths)
     return found
 
 
-def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _per_text(docs: DataFrame, text: str, width: int, run, schema: str) -> tuple[DataFrame, Column]:
+    """What ``run`` makes of (mark, text, n, spans), one row per distinct text, and the mark of a row of
+    ``docs``: of equal texts one is looked at."""
+    spark = docs.sparkSession
     content = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     mark = F.xxhash64(content)
-    return docs.select(
-        F.col(key).alias("key"),
-        content.alias("text"),
-        mark.alias("mark"),
-        F.xxhash64(mark, F.col(key).cast("string")).alias("pick"),
-    )
-
-
-def _with_spans(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    rows = _texts(docs, key, text)
-    spans = repeated_spans(rows.select("mark", "text", "pick"), width)
-    lists = spans.groupBy("mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return rows.join(lists, "mark", "left").select("key", "text", "spans")
-
-
-def _removed(spans: pa.Array, at: int) -> np.ndarray:
-    values = spans[at].as_py() or []
+    rows = docs.select(mark.alias("mark"), content.alias("text"))
+    distinct = rows.groupBy("mark").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    texts, texts_path = materialize(distinct, "texts")
+    spans = repeated_spans(texts.filter(F.length("text") >= width).select("mark", "text"), width)
+    lists = spans.groupBy("mark").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    ready = texts.join(lists, "mark", "left").select("mark", "text", "n", "spans")
+    found, _ = materialize(ready.mapInArrow(tidied(run), schema), "per_text")
+    discard(spark, texts_path)
+    return found, mark
+
+
+def _removed(batch: pa.RecordBatch, at: int, size: int, width: int) -> np.ndarray:
+    if batch.column(2)[at].as_py() > 1 and size >= width:
+        return np.array([[0, size]])
+    values = batch.column(3)[at].as_py() or []
     return merged(np.array([(s["a"], s["b"]) for s in values], np.int64).reshape(-1, 2))
 
 
 def _kept(data: bytes, runs: np.ndarray) -> bytes:
-    edges = np.concatenate([[0], runs.ravel(), [len(data)]])
+    edges = np.concatenate([[0], runs.ravel(), [len(data)]]).astype(np.int64)
     return b"".join(data[a:b] for a, b in edges.reshape(-1, 2).tolist())
 
 
+def _attach(docs: DataFrame, key: str, mark: Column, found: DataFrame, names: list[str]) -> DataFrame:
+    (own,) = internal(found.withColumn(key, F.lit(0)), "text_mark")
+    rows = docs.select(key, mark.alias(own))
+    # The salt need not tell rows apart, only spread those of one text.
+    return attach_by_key(rows, found.withColumnRenamed("mark", own), own, [key], SPREAD).select(key, *names)
+
+
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -316,25 +385,23 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     """
     if not 128 <= width <= 256:
         raise ValueError("width must be from 128 to 256 bytes")
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for at in range(batch.num_rows):
                 data = batch.column(1)[at].as_py()
-                runs = _removed(batch.column(2), at)
+                runs = _removed(batch, at, len(data), width)
                 kept = _kept(data, runs)
                 rows.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
             if rows:
                 columns = [pa.array(c) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["mark", *names])
 
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    ready = _with_spans(docs, key, text, width)
-    schema = ready.select(F.col("key").alias(key)).schema
-    for name, kind in zip(names, ("long", "long", "long", "string"), strict=True):
-        schema = schema.add(name, kind)
-    return ready.mapInArrow(run, schema)
+    schema = "mark bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    found, mark = _per_text(docs, text, width, run, schema)
+    return _attach(docs, key, mark, found, names)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -342,10 +409,11 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [
-                _kept(batch.column(1)[at].as_py(), _removed(batch.column(2), at)) for at in range(batch.num_rows)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=[key, "kept"])
+            kept = []
+            for at in range(batch.num_rows):
+                data = batch.column(1)[at].as_py()
+                kept.append(_kept(data, _removed(batch, at, len(data), width)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["mark", "kept"])
 
-    ready = _with_spans(docs, key, text, width)
-    return ready.mapInArrow(run, ready.select(F.col("key").alias(key)).schema.add("kept", "binary"))
+    found, mark = _per_text(docs, text, width, run, "mark bigint, kept binary")
+    return _attach(docs, key, mark, found, ["kept"])
