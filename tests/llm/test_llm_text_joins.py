@@ -186,6 +186,21 @@ def test_pieces_of_long_texts(spark, monkeypatch):
     assert collections.Counter(map(tuple, found)) == collections.Counter(brute_removals(rows, 200))
 
 
+def test_passage_of_all_rows_and_hot_buckets(spark, monkeypatch):
+    """A passage that all rows share, in unlike surroundings, with its buckets dealt out by salts."""
+    monkeypatch.setattr(substrings, "HOT_ROWS", 5)
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdef ") for _ in range(500))
+    rows = []
+    for i in range(150):
+        before, behind = ("".join(draw.choice("uvwxyz ") for _ in range(draw.randrange(0, 260))) for _ in range(2))
+        cut = draw.choice([0, 0, 7, 299, 301])
+        rows.append((i, before + passage[cut:] + behind, "en", "s", 1, *"abcdefg"))
+    rows += [(1000 + i, passage * 3, "en", "s", 1, *"abcdefg") for i in range(40)]
+    found = removals(frame(spark, rows)).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter(brute_removals(rows, 200))
+
+
 def test_what_is_left(spark):
     rows = passages(9)
     kept = {r.doc_id: bytes(r.kept) for r in without_repeats(frame(spark, rows)).collect()}

@@ -60,6 +60,16 @@ def test_payloads_come_back(spark):
     assert all(bytes(r.payload) == html[r.page_id] for r in found if r.page_id is not None)
 
 
+def test_files_follow_the_format(spark):
+    """The bytes on disk are a dictionary frame and record frames, compressed once."""
+    folder = scratch(spark, "warc-test")
+    written = warc.write_warc(spark.createDataFrame(pages(), SCHEMA), folder).collect()
+    for path, records in written:
+        with open(path.removeprefix("file://"), "rb") as stream:
+            data = stream.read()
+        assert data[:4] == b"\x5d\x2a\x4d\x18" and len(read(data)) == records
+
+
 def test_empty_table(spark):
     assert warc.archive_pages(spark.createDataFrame([], SCHEMA)).collect() == []
 
@@ -124,3 +134,62 @@ def test_reader_takes_trained_and_compressed_dictionaries():
 def test_reader_refuses(broken):
     with pytest.raises(warc.WarcError):
         read(broken)
+
+
+def foreign(kind, block, *more):
+    headers = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{kind}>"), ("WARC-Date", "2021-01-01T00:00:00Z")]
+    return warc.encode_record(headers + list(more), block)
+
+
+def foreign_records():
+    body = b"<p>found elsewhere</p>"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+    chunked = b"HTTP/1.1 404 Gone\r\nTransfer-Encoding: chunked\r\n\r\n4\r\n<p>f\r\n12;x=1\r\n"
+    chunked += body[4:] + b"\r\n0\r\n\r\n"
+    message = ("Content-Type", "application/http; msgtype=response")
+    digest = ("WARC-Payload-Digest", "sha1:" + warc.payload_digest(body))
+    return [
+        foreign("warcinfo", b"software: other\r\n"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", ("Content-Type", "application/http")),
+        foreign(
+            "response", http, message, digest, ("WARC-Concurrent-To", "<a>"), ("WARC-Concurrent-To", "<b>"),
+            ("WARC-Block-Digest", "sha256:" + hashlib.sha256(http).hexdigest()), ("WARC-Target-URI", "http://x/"),
+        ),
+        foreign("response", chunked, message, digest),
+        foreign("response", chunked, message, ("WARC-Payload-Digest", "md5:" + hashlib.md5(chunked[49:]).hexdigest())),
+        foreign("resource", body, ("Content-Type", "text/html")),
+        foreign("revisit", b"", digest, ("WARC-Refers-To", "<urn:uuid:response>")),
+        foreign("metadata", b"fetch: 3\r\n", ("X-Folded", "one\r\n two")),
+        foreign("conversion", b"", ("WARC-Payload-Digest", "blake9:zz")),
+    ]
+
+
+@pytest.mark.parametrize("lead", [b"", warc.skippable_frame(b"")])
+def test_archives_of_others(spark, tmp_path, lead):
+    frames = [zstandard.ZstdCompressor().compress(r) for r in foreign_records()]
+    other = b"\x50\x2a\x4d\x18\x03\x00\x00\x00abc"
+    path = tmp_path / "other.warc.zst"
+    path.write_bytes(lead + frames[0] + other + other + b"".join(frames[1:]) + other)
+    found = warc.read_warc(spark.createDataFrame([(f"file://{path}", None)], "path string, records bigint")).collect()
+    kinds = "warcinfo request response response response resource revisit metadata conversion"
+    assert [r.record_type for r in found] == kinds.split()
+    body = b"<p>found elsewhere</p>"
+    assert [bytes(r.payload) for r in found[2:6]] == [body] * 4
+    assert [r.http_status for r in found] == [None, None, 200, 404, 404, None, None, None, None]
+    assert found[6].payload_bytes is None and found[6].refers_to_record == "<urn:uuid:response>"
+    assert found[0].payload_digest is None and found[2].payload_digest == warc.payload_digest(body)
+    headers = [h for h, _ in read(path.read_bytes())]
+    assert headers[2]["warc-concurrent-to"] == "<a> <b>" and headers[7]["x-folded"] == "one two"
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        foreign("resource", b"x", ("WARC-Block-Digest", "sha1:AAAA")),
+        foreign("response", b"HTTP/1.1 200 OK\r\n\r\nx", ("Content-Type", "application/http"),
+                ("WARC-Payload-Digest", "md5:00")),
+    ],
+)
+def test_wrong_digests_of_others(broken):
+    with pytest.raises(warc.WarcError):
+        read(archive([broken]))

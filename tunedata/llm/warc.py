@@ -3,6 +3,10 @@
 File layout, as in the public WARC-zstd convention: a skippable frame (magic 0x184D2A5D) holding
 the dictionary, then one Zstandard frame per record. Each writing task trains the dictionary of
 its own file on the first records it sees, a sample bounded in bytes.
+
+The reader takes archives of others as well: files without a dictionary, other skippable frames in
+between, all record types, HTTP messages (the payload is what follows the HTTP headers), folded and
+repeated WARC-Concurrent-To headers, and digests by SHA-1, SHA-256 or MD5 in base32 or hex.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed values of the format.
 SKIPPABLE_MAGIC = 0x184D2A5D
+SKIPPABLE_FIRST = 0x184D2A50
+SKIPPABLE_LAST = 0x184D2A5F
+REPEATABLE = "warc-concurrent-to"
+DIGESTS = ("sha1", "sha256", "md5")
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -58,8 +66,61 @@ def encode_record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def digest_agrees(stated: str, data: bytes) -> bool:
+    """Whether ``algorithm:value`` is a digest of ``data``; unknown algorithms are not checked."""
+    name, _, value = stated.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in DIGESTS:
+        return True
+    own = hashlib.new(name, data, usedforsecurity=False).digest()
+    value = value.strip()
+    return value.lower() == own.hex() or value.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+
+
+def _without_chunks(body: bytes) -> bytes | None:
+    """The body of an HTTP message that was sent in chunks; None if it is not made of chunks."""
+    parts, at = [], 0
+    while True:
+        line, found, _ = body[at : at + 1024].partition(b"\r\n")
+        size = line.partition(b";")[0].strip()
+        if not found or not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return None
+        at += len(line) + 2
+        if int(size, 16) == 0:
+            return b"".join(parts)
+        parts.append(body[at : at + int(size, 16)])
+        at += int(size, 16)
+        if body[at : at + 2] != b"\r\n":
+            return None
+        at += 2
+
+
+def split_http(headers: dict[str, str], block: bytes) -> tuple[int | None, list[bytes]]:
+    """HTTP status and the possible payloads of a block, the preferred one first.
+
+    Archives differ in whether the digest of a message that was sent in chunks is that of its body
+    with or without them, so both are given. A block that is no HTTP message is its own payload.
+    """
+    kind = headers.get("content-type", "").partition(";")[0].strip().lower()
+    if kind != "application/http":
+        return None, [block]
+    end = re.search(rb"\r?\n\r?\n", block)
+    head, body = (block[: end.start()], block[end.end() :]) if end else (block, b"")
+    first = re.match(rb"HTTP/[0-9.]+ +([0-9]{3})", head)
+    status = int(first[1]) if first else None
+    if re.search(rb"(?im)^transfer-encoding:.*chunked", head):
+        plain = _without_chunks(body)
+        if plain is not None:
+            return status, [plain, body]
+    return status, [body]
+
+
 def decode_record(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of one record; raises WarcError."""
+    """Headers (names in lower case) and block of one record; raises WarcError.
+
+    Values of the one header that may be repeated are joined by blanks. Lengths and digests are
+    checked, but for payloads that are not here (revisits) or not whole (WARC-Truncated).
+    """
     head, found, rest = data.partition(b"\r\n\r\n")
     if not found:
         raise WarcError("no end of headers")
@@ -67,15 +128,22 @@ def decode_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if not re.fullmatch(rb"WARC/1\.[01]", first):
         raise WarcError("no version line")
     headers: dict[str, str] = {}
+    unfolded: list[bytes] = []
     for line in lines:
+        if line[:1] in (b" ", b"\t") and unfolded:
+            unfolded[-1] += b" " + line.strip()
+        else:
+            unfolded.append(line)
+    for line in unfolded:
         name, found, value = line.partition(b":")
         if not found or not name or name != name.strip():
             raise WarcError("malformed header line")
         try:
             key = name.decode("ascii").lower()
-            if key in headers:
+            if key in headers and key != REPEATABLE:
                 raise WarcError(f"repeated header {key}")
-            headers[key] = value.strip().decode("utf-8")
+            own = value.strip().decode("utf-8")
+            headers[key] = f"{headers[key]} {own}" if key in headers else own
         except UnicodeDecodeError as error:
             raise WarcError("undecodable header") from error
     for need in ("warc-type", "warc-record-id", "warc-date", "content-length"):
@@ -87,8 +155,11 @@ def decode_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise WarcError("Content-Length does not match the record")
     block = rest[:length]
-    if headers["warc-type"] == "response" and "warc-payload-digest" in headers:
-        if headers["warc-payload-digest"] != "sha1:" + payload_digest(block):
+    if not digest_agrees(headers.get("warc-block-digest", ""), block):
+        raise WarcError("block digest does not match")
+    if headers["warc-type"] != "revisit" and "warc-truncated" not in headers:
+        stated = headers.get("warc-payload-digest", "")
+        if not any(digest_agrees(stated, payload) for payload in split_http(headers, block)[1]):
             raise WarcError("payload digest does not match")
     return headers, block
 
@@ -105,30 +176,48 @@ def skippable_frame(dictionary: bytes) -> bytes:
     return struct.pack("<II", SKIPPABLE_MAGIC, len(dictionary)) + dictionary
 
 
-def read_dictionary(stream: io.BufferedIOBase) -> bytes:
-    """Consume the leading skippable frame."""
+def read_dictionary(stream: io.BufferedIOBase) -> tuple[bytes, bytes]:
+    """The dictionary of the leading skippable frame (empty if the file begins with another frame),
+    and what has been read beyond it."""
     head = stream.read(8)
     if len(head) != 8:
-        raise WarcError("no dictionary frame")
+        raise WarcError("no frame")
     magic, size = struct.unpack("<II", head)
     if magic != SKIPPABLE_MAGIC:
-        raise WarcError("the file does not begin with a dictionary frame")
+        return b"", head
     dictionary = stream.read(size)
     if len(dictionary) != size:
         raise WarcError("dictionary cut short")
     if dictionary[:4] == b"\x28\xb5\x2f\xfd":  # the dictionary itself may be compressed
         dictionary = zstandard.ZstdDecompressor().decompressobj().decompress(dictionary)
-    return dictionary
+    return dictionary, b""
+
+
+def _after_skippable(stream: io.BufferedIOBase, rest: bytes) -> bytes:
+    """``rest`` and what follows in the stream, without leading skippable frames."""
+    while True:
+        rest += stream.read(8 - len(rest)) if len(rest) < 8 else b""
+        if len(rest) < 8:
+            return rest
+        magic, size = struct.unpack("<II", rest[:8])
+        if not SKIPPABLE_FIRST <= magic <= SKIPPABLE_LAST:
+            return rest
+        rest = rest[8:]
+        while size > len(rest):
+            size -= len(rest)
+            rest = stream.read(min(size, READ_BYTES))
+            if not rest:
+                raise WarcError("skippable frame cut short")
+        rest = rest[size:]
 
 
 def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
     """All records of an archive, one frame at a time; memory holds one record."""
-    dictionary = read_dictionary(stream)
+    dictionary, rest = read_dictionary(stream)
     data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
     decompressor = zstandard.ZstdDecompressor(dict_data=data)
-    rest = b""
     while True:
-        rest = rest or stream.read(READ_BYTES)
+        rest = _after_skippable(stream, rest or stream.read(READ_BYTES))
         if not rest:
             return
         frame, parts = decompressor.decompressobj(), []
@@ -185,7 +274,7 @@ def _writer(folder: str, date: str, level: int):
         data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compressor = zstandard.ZstdCompressor(level=level, dict_data=data, write_checksum=True)
         count = 0
-        with where.open_output_stream(inner) as out:
+        with where.open_output_stream(inner, compression=None) as out:
             out.write(skippable_frame(dictionary))
             for part in (sample, records):
                 for record in part:
@@ -271,7 +360,8 @@ def _with_base32(write):
 
 RECORD = (
     "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, "
-    "payload_digest string, refers_to bigint, record_id string, refers_to_record string"
+    "payload_digest string, refers_to bigint, record_id string, refers_to_record string, "
+    "http_status int"
 )
 
 
@@ -280,27 +370,29 @@ def _reader(with_payload: bool):
         return None if value is None else int(value)
 
     def row(headers: dict[str, str], block: bytes) -> tuple:
-        digest = headers.get("warc-payload-digest", "")
-        if not digest.startswith("sha1:"):
-            raise WarcError("no SHA-1 payload digest")
+        status, (payload, *_) = split_http(headers, block)
+        stated = headers.get("warc-payload-digest")
+        # A bare digest is SHA-1, others keep their names.
+        digest = None if stated is None else stated.removeprefix("sha1:")
         size = number(headers.get("x-payload-bytes"))
         kind = headers["warc-type"]
-        if kind == "response" and size is not None and size != len(block):
+        if kind == "response" and size is not None and size != len(payload):
             raise WarcError("payload length does not match")
         return (
             number(headers.get("x-page-id")),
             headers.get("warc-target-uri"),
             kind,
-            block if with_payload else None,
-            len(block) if size is None else size,
-            digest.removeprefix("sha1:"),
+            payload if with_payload else None,
+            (None if kind == "revisit" else len(payload)) if size is None else size,
+            digest,
             number(headers.get("x-refers-to-page")),
             headers["warc-record-id"],
             headers.get("warc-refers-to"),
+            status,
         )
 
     kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
-    kinds += [pa.string(), pa.string()]
+    kinds += [pa.string(), pa.string(), pa.int32()]
     names = [part.split()[0] for part in RECORD.split(", ")]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -315,7 +407,7 @@ def _reader(with_payload: bool):
             for path, expected in zip(listed.column("path").to_pylist(), counts, strict=True):
                 where, inner = open_shared(path)
                 rows, size, seen = [], 0, 0
-                with where.open_input_stream(inner, buffer_size=READ_BYTES) as stream:
+                with where.open_input_stream(inner, compression=None, buffer_size=READ_BYTES) as stream:
                     for headers, block in read_records(stream):
                         rows.append(row(headers, block))
                         seen += 1
@@ -336,7 +428,8 @@ def read_warc(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
 
     Each task streams its archives: dictionary first, then one frame per record. A broken frame,
     header, length, digest or record count fails the job. ``payload`` is what the record itself
-    carries: empty for a revisit.
+    carries: what follows the HTTP headers of a message, the whole block of other records, as a rule
+    nothing for a revisit. Records of all types are returned; what they do not state is null.
     """
     files = manifest.select("path", F.col("records").cast("bigint").alias("records"))
     # A given number of tasks: AQE would merge the few small rows of a manifest into one task that reads all archives.
