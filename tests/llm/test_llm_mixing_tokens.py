@@ -1,10 +1,13 @@
 import hashlib
+import json
+import random
 import re
 import zlib
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given as gives
 from hypothesis import settings
@@ -178,6 +181,34 @@ def test_encoder_equals_the_library(parts):
 ENCODER = tf.Encoder(default_tokenizer(), memo=50)
 
 
+def test_texts_of_a_column_are_encoded_together():
+    """White space of all kinds at cuts, special tokens, empty texts and a column that is a slice."""
+    kinds = ["a", " ", "  ", "\n", "\xa0", "\u2003", "\u3000", "\x85", "é", "的", "\x1c", ".", "'s", "1", "<|endoftext|>", "\t"]
+    draw = random.Random(5)
+    texts = ["".join(draw.choice(kinds) for _ in range(draw.randint(0, 12))) for _ in range(5000)]
+    whole = pa.array(["left out", *texts, "", "also left out"], pa.string())
+    found = ENCODER.encode_column(whole.slice(1, len(texts) + 1))
+    plain = ENCODER.tokenizer.encode_batch([*texts, ""], add_special_tokens=False)
+    assert [ids.tolist() for ids in found] == [one.ids for one in plain]
+    assert ENCODER.encode([]) == [] and ENCODER.encode(["", ""])[1].tolist() == []
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    """One that lower-cases and one that knows a token with a space: neither may be cut."""
+    with open(default_tokenizer(), encoding="utf-8") as source:
+        spec = json.load(source)
+    lower = spec | {"normalizer": {"type": "Lowercase"}}
+    wide = json.loads(json.dumps(spec))
+    wide["added_tokens"].append(wide["added_tokens"][0] | {"id": 50257, "content": "two words"})
+    for n, other in enumerate((lower, wide)):
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(other), encoding="utf-8")
+        encoder = tf.Encoder(str(path))
+        texts = ["Some TEXT with two words in it", "", "A b"]
+        plain = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert not encoder.cuts and [ids.tolist() for ids in encoder.encode(texts)] == [one.ids for one in plain]
+
+
 def test_tokens_match_the_library(spark):
     rows = documents()
     found = tf.read_tokens(

@@ -7,18 +7,19 @@ says where these begin. Any block can be read and unpacked by itself.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,11 +34,17 @@ TRAILER = "<QQQ4s"  # ids, documents, begin of the index, magic
 BLOCK_IDS = 1 << 16
 END_ID = 0
 MEMO = 500_000
-CHUNK = 1_000_000
+CHUNK = 4_000_000
 
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_SEGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+MEMO_BYTES = 64  # longer segments are not remembered
+TOGETHER = 4096  # segments encoded in one call
+
+# Unicode's white space, as the byte-level pre-tokenizer knows it.
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONE = re.compile(f" ?[^{_SPACE}]+")
+_ASCII_SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+_WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_OTHER_SPACE = [0xC285, 0xC2A0]
 
 
 def bits_for(vocabulary: int) -> int:
@@ -166,12 +173,51 @@ class TokenReader:
             begin = end
 
 
+def _begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where segments begin in the bytes of texts that begin at ``starts``, and last the end.
+
+    A segment begins with each text and at each step from non-space to ASCII space; where the character
+    before is other white space there is no such step.
+    """
+    marks = np.zeros(len(data) + 1, bool)
+    space = _ASCII_SPACE[data]
+    steps = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    marks[steps] = True
+    wide = steps[data[steps - 1] >= 0x80].astype(np.int64)
+    if len(wide):
+        low = (data[wide - 2].astype(np.int32) << 8) | data[wide - 1]
+        code = (data[np.maximum(wide - 3, 0)].astype(np.int32) << 16) | low
+        marks[wide[np.isin(low, _OTHER_SPACE) | np.isin(code, _WIDE_SPACE)]] = False
+    marks[starts] = True
+    marks[len(data)] = True
+    return np.flatnonzero(marks)
+
+
+def _can_be_cut(path: str) -> bool:
+    """Whether the tokenizer is one that never joins characters across a step from non-space to space."""
+    with open(path, encoding="utf-8") as source:
+        spec = json.load(source)
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    return (
+        spec.get("normalizer") is None
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space", True)
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        and not any(
+            t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(f"[{_SPACE}]", t["content"])
+            for t in spec.get("added_tokens", ())
+        )
+    )
+
+
 class Encoder:
     """Byte-level BPE of whole texts by the tokenizers library, remembering what it has encoded.
 
-    The tokenizer never joins characters across a step from non-space to space, so a text is cut
-    there and each piece encoded by itself; a plain word with ASCII punctuation behind it is cut
-    once more between the two, as the tokenizer does. Pieces that were seen before are looked up.
+    The tokenizer never joins characters across a step from non-space to space, so texts are cut
+    there. Of a batch each distinct segment (an Arrow dictionary tells) is looked up once; those not
+    seen before are encoded many at a time, as lines of one text. Other tokenizers get whole texts.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -179,48 +225,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = _can_be_cut(path)
         self.memo = memo
-        self.segments: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, missing: set[str]) -> None:
-        pieces, segments = self.pieces, self.segments
-        cuts: list[tuple[str, str, str]] = []  # segment and its one or two encoded parts
-        unknown: set[str] = set()
-        for segment in missing:
-            match = _SIMPLE.fullmatch(segment)
-            if match is None:
-                first, second = segment, ""
-            else:
-                first, second = match.groups()
-            cuts.append((segment, first, second))
-            if first not in pieces:
-                unknown.add(first)
-            if second and second not in pieces:
-                unknown.add(second)
-        parts = list(unknown)
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        for piece, encoding in zip(parts, found, strict=True):
-            pieces[piece] = array("I", encoding.ids).tobytes()
-        for segment, first, second in cuts:
-            segments[segment] = pieces[first] + pieces[second] if second else pieces[first]
+        self.segments: dict[bytes, bytes] = {}
+        self.newline = self._plain(["\n"])[0]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, "<u4") for one in found]
+
+    def _encoded(self, missing: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        lone: list[str] = []
+        rest: list[str] = []
+        for segment in map(bytes.decode, missing):
+            (lone if _LONE.fullmatch(segment) else rest).append(segment)
+        for at in range(0, len(lone), TOGETHER):
+            group = lone[at : at + TOGETHER]
+            (ids,) = self._plain(["\n".join(group)])
+            ends = np.flatnonzero(ids == self.newline[0])
+            if len(self.newline) != 1 or len(ends) != len(group) - 1:  # a line end was joined with its neighbour
+                rest += group
+                continue
+            raw, begin = ids.tobytes(), 0
+            for segment, end in zip(group, [*ends.tolist(), len(ids)], strict=True):
+                yield segment.encode(), raw[4 * begin : 4 * end]
+                begin = end + 1
+        for segment, ids in zip(rest, self._plain(rest), strict=True):
+            yield segment.encode(), ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.segments) > self.memo:  # they are soon put together again from the pieces
-            self.segments.clear()
-        if len(self.pieces) > 2 * self.memo:
-            self.pieces.clear()
-        cut = [_SEGMENT.findall(text) for text in texts]
-        get = self.segments.get
-        found = [list(map(get, one)) for one in cut]
-        missing = {s for one, ids in zip(cut, found, strict=True) if None in ids for s, i in zip(one, ids) if i is None}
+        return self.encode_column(pa.array(texts, pa.string()))
+
+    def encode_column(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of every text of a column without nulls."""
+        if not self.cuts:
+            return self._plain(texts.to_pylist())
+        _, places, content = texts.buffers()
+        if not len(texts) or content is None:
+            return [np.zeros(0, "<u4")] * len(texts)
+        places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(content, np.uint8)[places[0] : places[-1]]
+        if not len(data):
+            return [np.zeros(0, "<u4")] * len(texts)
+        places = places - places[0]
+        begins = _begins(data, places)
+        cut = pa.Array.from_buffers(
+            pa.binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        which = cut.indices.to_numpy(zero_copy_only=False)
+        distinct = cut.dictionary.to_pylist()
+        found = list(map(self.segments.get, distinct))
+        missing = [segment for segment, ids in zip(distinct, found, strict=True) if ids is None]
         if missing:
-            self._learn(missing)
-            get = self.segments.__getitem__
-            for n, (one, ids) in enumerate(zip(cut, found, strict=True)):
-                if None in ids:
-                    found[n] = [i or get(s) for s, i in zip(one, ids)]
-        return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
+            if len(self.segments) + len(missing) > self.memo:
+                self.segments.clear()
+            new = dict(self._encoded(missing))
+            found = [new[segment] if ids is None else ids for segment, ids in zip(distinct, found, strict=True)]
+            if len(new) <= self.memo:
+                self.segments.update((k, v) for k, v in new.items() if len(k) <= MEMO_BYTES)
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        own = counts[which]
+        ends = np.cumsum(own)
+        from_pool = (np.cumsum(counts) - counts)[which] - (ends - own)
+        ids = pool[np.arange(ends[-1]) + np.repeat(from_pool, own)]
+        bounds = np.append(0, ends)[np.searchsorted(begins, places)]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 def _worker_encoder(path: str) -> Encoder:
@@ -231,20 +301,17 @@ def _worker_encoder(path: str) -> Encoder:
     return held[path]
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Keys and texts, about ``CHUNK`` characters at a time."""
-    keys, texts, size = [], [], 0
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, pa.StringArray]]:
+    """Keys and texts, about ``CHUNK`` bytes at a time; a longer text comes alone."""
     for batch in batches:
-        for at in range(batch.num_rows):
-            text = batch.column(1)[at].as_py() or ""
-            keys.append(batch.column(0)[at].as_py())
-            texts.append(text)
-            size += len(text)
-            if size >= CHUNK or len(texts) >= 5000:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-    if texts:
-        yield keys, texts
+        texts = batch.column(1).cast(pa.string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < len(texts):
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+            yield batch.column(0).slice(begin, end - begin).to_pylist(), texts.slice(begin, end - begin)
+            begin = end
 
 
 MANIFEST = "part int, path string, ids bigint, documents bigint"
@@ -284,7 +351,7 @@ def write_tokens(
                 where.create_dir(inner.rpartition("/")[0], recursive=True)
                 out = where.open_output_stream(inner)
                 writer = TokenWriter(out, bits, block_ids)
-            for one, ids in zip(keys, encoder.encode(texts), strict=True):
+            for one, ids in zip(keys, encoder.encode_column(texts), strict=True):
                 writer.add(one, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             writer.close()
