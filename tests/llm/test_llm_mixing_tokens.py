@@ -181,9 +181,10 @@ def test_encoder_equals_the_library(parts):
 ENCODER = tf.Encoder(default_tokenizer(), memo=50)
 
 
-def test_texts_of_a_column_are_encoded_together():
+@pytest.mark.parametrize("special", [[], ["<|endoftext|>"]])
+def test_texts_of_a_column_are_encoded_together(special):
     """White space of all kinds at cuts, special tokens, empty texts and a column that is a slice."""
-    kinds = ["a", " ", "  ", "\n", "\xa0", "\u2003", "\u3000", "\x85", "é", "的", "\x1c", ".", "'s", "1", "<|endoftext|>", "\t"]
+    kinds = ["a", " ", "  ", "\n", "\xa0", "\u2003", "\u3000", "\x85", "é", "的", "\x1c", ".", "'s", "'reb", "1", "Z", "[", "\t", *special]
     draw = random.Random(5)
     texts = ["".join(draw.choice(kinds) for _ in range(draw.randint(0, 12))) for _ in range(5000)]
     whole = pa.array(["left out", *texts, "", "also left out"], pa.string())

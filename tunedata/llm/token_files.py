@@ -33,7 +33,7 @@ HEADER = "<4sBBxxI"  # magic, version, bits, ids per block
 TRAILER = "<QQQ4s"  # ids, documents, begin of the index, magic
 BLOCK_IDS = 1 << 16
 END_ID = 0
-MEMO = 500_000
+MEMO = 1_000_000
 CHUNK = 4_000_000
 
 MEMO_BYTES = 64  # longer segments are not remembered
@@ -43,6 +43,8 @@ TOGETHER = 4096  # segments encoded in one call
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LONE = re.compile(f" ?[^{_SPACE}]+")
 _ASCII_SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+_ASCII_LETTER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+_ASCII_MARK = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F) & ~_ASCII_LETTER
 _WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _OTHER_SPACE = [0xC285, 0xC2A0]
 
@@ -173,13 +175,16 @@ class TokenReader:
             begin = end
 
 
-def _begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _begins(data: np.ndarray, starts: np.ndarray, at_marks: bool) -> np.ndarray:
     """Where segments begin in the bytes of texts that begin at ``starts``, and last the end.
 
     A segment begins with each text and at each step from non-space to ASCII space; where the character
-    before is other white space there is no such step.
+    before is other white space there is no such step. With ``at_marks`` one begins also where an ASCII
+    letter is followed by a digit or punctuation.
     """
     marks = np.zeros(len(data) + 1, bool)
+    if at_marks:
+        marks[1:-1] = _ASCII_LETTER[data[:-1]] & _ASCII_MARK[data[1:]]
     space = _ASCII_SPACE[data]
     steps = np.flatnonzero(space[1:] & ~space[:-1]) + 1
     marks[steps] = True
@@ -193,10 +198,8 @@ def _begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks)
 
 
-def _can_be_cut(path: str) -> bool:
-    """Whether the tokenizer is one that never joins characters across a step from non-space to space."""
-    with open(path, encoding="utf-8") as source:
-        spec = json.load(source)
+def _can_be_cut(spec: dict) -> bool:
+    """Whether the tokenizer is one that never joins characters across the steps where segments begin."""
     before, model = spec.get("pre_tokenizer") or {}, spec["model"]
     return (
         spec.get("normalizer") is None
@@ -215,9 +218,11 @@ def _can_be_cut(path: str) -> bool:
 class Encoder:
     """Byte-level BPE of whole texts by the tokenizers library, remembering what it has encoded.
 
-    The tokenizer never joins characters across a step from non-space to space, so texts are cut
-    there. Of a batch each distinct segment (an Arrow dictionary tells) is looked up once; those not
-    seen before are encoded many at a time, as lines of one text. Other tokenizers get whole texts.
+    The tokenizer never joins characters across a step from non-space to space, or from a letter to a
+    digit or punctuation outside its own special tokens, so texts are cut there. Of a batch each distinct
+    segment (an Arrow dictionary tells) is looked up once; those not seen before are encoded many at a
+    time, as lines of one text. Other tokenizers get whole texts. ``memo`` bounds the segments remembered:
+    when half of them are new, those not met since the last time are forgotten.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -225,9 +230,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = _can_be_cut(path)
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        self.cuts = _can_be_cut(spec)
+        self.special = [token["content"].encode() for token in spec.get("added_tokens", ())]
         self.memo = memo
         self.segments: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.newline = self._plain(["\n"])[0]
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
@@ -268,7 +277,8 @@ class Encoder:
         if not len(data):
             return [np.zeros(0, "<u4")] * len(texts)
         places = places - places[0]
-        begins = _begins(data, places)
+        raw = data.tobytes()
+        begins = _begins(data, places, not any(token in raw for token in self.special))
         cut = pa.Array.from_buffers(
             pa.binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(data)]
         ).dictionary_encode()
@@ -277,11 +287,15 @@ class Encoder:
         found = list(map(self.segments.get, distinct))
         missing = [segment for segment, ids in zip(distinct, found, strict=True) if ids is None]
         if missing:
-            if len(self.segments) + len(missing) > self.memo:
-                self.segments.clear()
-            new = dict(self._encoded(missing))
+            new = {}
+            for segment, ids in zip(missing, map(self.older.get, missing), strict=True):
+                if ids is not None:
+                    new[segment] = ids
+            new.update(self._encoded([segment for segment in missing if segment not in new]))
             found = [new[segment] if ids is None else ids for segment, ids in zip(distinct, found, strict=True)]
-            if len(new) <= self.memo:
+            if len(self.segments) + len(new) > self.memo // 2:
+                self.segments, self.older = {}, self.segments
+            if len(new) <= self.memo // 2:
                 self.segments.update((k, v) for k, v in new.items() if len(k) <= MEMO_BYTES)
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), "<u4")
