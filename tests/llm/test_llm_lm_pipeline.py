@@ -177,3 +177,39 @@ def test_queries_match_their_sql(spark, name):
     rows = found.toPandas()[columns].sort_values(columns).reset_index(drop=True)
     expected = expected[columns].sort_values(columns).reset_index(drop=True)
     assert len(rows) == len(expected) and (rows.astype(str) == expected.astype(str)).all().all()
+
+
+def test_words_outside_the_head_are_dishes(spark):
+    """Which words are broadcast changes no score, and rare words are scored by their contexts."""
+    rows = documents()
+    # "wolf" follows "the", "lamb" follows "of": equally rare, and told apart by their contexts only.
+    rows += [(8000 + i, t, "en", "s", 1, *"abcdefg") for i in range(6) for t in ["see the wolf", "out of lamb"]]
+    probes = {9001: "see the wolf", 9002: "see the lamb", 9003: "out of lamb", 9004: "out of wolf"}
+    docs = frame(spark, rows + [(k, t, "en", "s", 1, *"abcdefg") for k, t in probes.items()])
+    held = F.col("doc_id").isNotNull() & (F.col("doc_id") > 9000)
+    scores = []
+    for head in (0, 50, lm.HEAD):
+        found = lm.score(docs, held, head=head, samples=2, burn_in=1).collect()
+        scores.append(sorted((str(r.doc_id), r.n_known, r.score) for r in found))
+        own = {r.doc_id: r.score for r in found}
+        assert own[9001] > own[9002] and own[9003] > own[9004]
+    for other in scores[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in scores[0]]
+        assert np.allclose([r[2] for r in other], [r[2] for r in scores[0]], rtol=1e-5)
+
+
+def test_model_rows_hold_a_distribution(spark):
+    """Probabilities of all words and of the unknown one, per leaf, sum to one; rows and head agree."""
+    texts = frame(spark, [r for r in documents() if r[1]]).select(F.col("text").cast("binary").alias("text"))
+    counts = lm.count_words(texts)
+    words = counts.count()
+    vocabulary = lm._vocabulary(counts, words, 5)
+    edges = lm._block_edges(counts, words)
+    model, samples, head = lm.sample_contexts(texts, vocabulary, edges, words, 1, 2)
+    unknown = samples.from_root @ samples.unknown
+    assert np.allclose(head.sum(axis=0, dtype=float) + unknown, 1, atol=1e-6)
+    leaves = spark.range(vocabulary.leaves).select(F.col("id").cast("int").alias("leaf"))
+    rows = model.crossJoin(leaves).select("word", "leaf", lm._probability(samples).alias("p")).collect()
+    place = {int(np.int64(w)): i for i, w in enumerate(vocabulary.words.view(np.int64))}
+    assert len(rows) == words * vocabulary.leaves
+    assert np.allclose([r.p for r in rows], [head[place[r.word], r.leaf] for r in rows], rtol=1e-4)
