@@ -54,6 +54,8 @@ HEAVY_SHARE = 4096
 HEAVY_LEAST = 256
 SPREAD = 64
 GRAM_BYTES = 6
+# Entries hold the upper 48 bits, with the cell's; members hold the lower ones.
+ENTRY_BITS = np.uint64(0xFFFFFFFFFFFF0000)
 COPIED_TEXTS = 1024
 # Fixed numbers; a column's hub is the row that is smallest after flipping bits by one of them.
 FLIPS = (0, 0x2545F4914F6CDD1D, -0x61C8864680B583EB, 0x3C6EF372FE94F82A)
@@ -179,6 +181,7 @@ def _entries(
         sid = np.repeat(np.array([x for _, x, _ in found], np.int64), counts)
         n = np.repeat(np.array([x for _, _, x in found], np.int64), counts)
         place = np.concatenate([np.arange(x) for x in counts])
+        grams &= ENTRY_BITS
         many = np.isin(sid, list(shared.value[2]))
         own = (mix(sid.view(np.uint64)) % np.uint64(SPREAD)).astype(np.int32)
         salt = np.where(shared.value[1][_cell(grams)], own, np.int32(-1))
