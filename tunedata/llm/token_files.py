@@ -24,7 +24,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunedata.llm.common import open_shared, scratch
+from tunedata.llm.common import open_shared, release_memory, scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,6 +37,7 @@ MEMO = 1_000_000
 CHUNK = 4_000_000
 
 MEMO_BYTES = 64  # longer segments are not remembered
+MEMO_SIZE = 1 << 26  # bytes of all that are
 TOGETHER = 4096  # segments encoded in one call
 
 # Unicode's white space, as the byte-level pre-tokenizer knows it.
@@ -215,14 +216,19 @@ def _can_be_cut(spec: dict) -> bool:
     )
 
 
+def _pieces(segments: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([segments, ids], names=["segment", "ids"])
+
+
 class Encoder:
     """Byte-level BPE of whole texts by the tokenizers library, remembering what it has encoded.
 
     The tokenizer never joins characters across a step from non-space to space, or from a letter to a
     digit or punctuation outside its own special tokens, so texts are cut there. Of a batch each distinct
     segment (an Arrow dictionary tells) is looked up once; those not seen before are encoded many at a
-    time, as lines of one text. Other tokenizers get whole texts. ``memo`` bounds the segments remembered:
-    when half of them are new, those not met since the last time are forgotten.
+    time, as lines of one text. Other tokenizers get whole texts. ``memo`` bounds the segments remembered,
+    ``MEMO_SIZE`` their bytes: when either is reached, those not met since the last time are forgotten.
+    They lie in Arrow arrays: as Python objects they would take several times their bytes.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -235,32 +241,54 @@ class Encoder:
         self.cuts = _can_be_cut(spec)
         self.special = [token["content"].encode() for token in spec.get("added_tokens", ())]
         self.memo = memo
-        self.segments: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known = _pieces(pa.array([], pa.binary()), pa.array([], pa.list_(pa.uint32())))
+        self.met = np.zeros(0, bool)
         self.newline = self._plain(["\n"])[0]
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4") for one in found]
 
-    def _encoded(self, missing: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        lone: list[str] = []
-        rest: list[str] = []
-        for segment in map(bytes.decode, missing):
-            (lone if _LONE.fullmatch(segment) else rest).append(segment)
-        for at in range(0, len(lone), TOGETHER):
-            group = lone[at : at + TOGETHER]
-            (ids,) = self._plain(["\n".join(group)])
-            ends = np.flatnonzero(ids == self.newline[0])
+    def _encoded(self, segments: list[str]) -> pa.Array:
+        """The ids of every segment, a list each."""
+        lone: list[int] = []
+        rest: list[int] = []
+        for at, segment in enumerate(segments):
+            (lone if _LONE.fullmatch(segment) else rest).append(at)
+        order: list[int] = []
+        counts, found = [np.zeros(1, np.int64)], []
+        for begin in range(0, len(lone), TOGETHER):
+            group = lone[begin : begin + TOGETHER]
+            (ids,) = self._plain(["\n".join([segments[at] for at in group])])
+            line_end = ids == self.newline[0]
+            ends = np.flatnonzero(line_end)
             if len(self.newline) != 1 or len(ends) != len(group) - 1:  # a line end was joined with its neighbour
                 rest += group
                 continue
-            raw, begin = ids.tobytes(), 0
-            for segment, end in zip(group, [*ends.tolist(), len(ids)], strict=True):
-                yield segment.encode(), raw[4 * begin : 4 * end]
-                begin = end + 1
-        for segment, ids in zip(rest, self._plain(rest), strict=True):
-            yield segment.encode(), ids.tobytes()
+            order += group
+            counts.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+            found.append(ids[~line_end])
+        for begin in range(0, len(rest), TOGETHER):
+            group = rest[begin : begin + TOGETHER]
+            own = self._plain([segments[at] for at in group])
+            order += group
+            counts.append(np.array([len(ids) for ids in own]))
+            found += own
+        ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found))).take(pa.array(np.argsort(order)))
+
+    def _remember(self, pieces: pa.RecordBatch, met: np.ndarray) -> None:
+        """Keep ``pieces``; ``met`` says which of them were met since some were last forgotten."""
+        lengths = pc.binary_length(pieces.column(0)).to_numpy()
+        sizes = lengths + 4 * pc.list_value_length(pieces.column(1)).to_numpy().astype(np.int64) + 9
+        keep = lengths <= MEMO_BYTES
+        if keep.sum() > self.memo or sizes[keep].sum() > MEMO_SIZE:
+            keep &= met
+            met = np.zeros(len(met), bool)
+            # Of what was met, the latest, up to half of either bound.
+            later = np.cumsum(np.where(keep, sizes, 0)[::-1])[::-1]
+            keep &= (np.cumsum(keep[::-1])[::-1] <= self.memo // 2) & (later <= MEMO_SIZE // 2)
+        self.known, self.met = pieces if keep.all() else pieces.filter(pa.array(keep)), met[keep]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.encode_column(pa.array(texts, pa.string()))
@@ -282,28 +310,21 @@ class Encoder:
         cut = pa.Array.from_buffers(
             pa.binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(data)]
         ).dictionary_encode()
-        which = cut.indices.to_numpy(zero_copy_only=False)
-        distinct = cut.dictionary.to_pylist()
-        found = list(map(self.segments.get, distinct))
-        missing = [segment for segment, ids in zip(distinct, found, strict=True) if ids is None]
-        if missing:
-            new = {}
-            for segment, ids in zip(missing, map(self.older.get, missing), strict=True):
-                if ids is not None:
-                    new[segment] = ids
-            new.update(self._encoded([segment for segment in missing if segment not in new]))
-            found = [new[segment] if ids is None else ids for segment, ids in zip(distinct, found, strict=True)]
-            if len(self.segments) + len(new) > self.memo // 2:
-                self.segments, self.older = {}, self.segments
-            if len(new) <= self.memo // 2:
-                self.segments.update((k, v) for k, v in new.items() if len(k) <= MEMO_BYTES)
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        pool = np.frombuffer(b"".join(found), "<u4")
-        own = counts[which]
-        ends = np.cumsum(own)
-        from_pool = (np.cumsum(counts) - counts)[which] - (ends - own)
-        ids = pool[np.arange(ends[-1]) + np.repeat(from_pool, own)]
-        bounds = np.append(0, ends)[np.searchsorted(begins, places)]
+        pieces = self.known
+        at = pc.fill_null(pc.index_in(cut.dictionary, pieces.column(0)), -1).to_numpy().copy()
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            at[missing] = np.arange(len(pieces), len(pieces) + len(missing))
+            segments = cut.dictionary.take(pa.array(missing))
+            new = _pieces(segments, self._encoded([segment.decode() for segment in segments.to_pylist()]))
+            pieces = _pieces(*(pa.concat_arrays([pieces.column(i), new.column(i)]) for i in range(2)))
+        met = np.zeros(len(pieces), bool)
+        met[: len(self.met)] = self.met
+        met[at] = True
+        found = pieces.column(1).take(pa.array(at).take(cut.indices))
+        self._remember(pieces, met)
+        ids = found.flatten().to_numpy()
+        bounds = found.offsets.to_numpy()[np.searchsorted(begins, places)]
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
@@ -367,6 +388,7 @@ def write_tokens(
                 writer = TokenWriter(out, bits, block_ids)
             for one, ids in zip(keys, encoder.encode_column(texts), strict=True):
                 writer.add(one, np.append(ids, np.uint32(end_id)))
+            release_memory()  # the encoder stays for the worker's next task, what a chunk took does not
         if writer is not None:
             writer.close()
             out.close()
